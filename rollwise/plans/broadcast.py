@@ -1,0 +1,22 @@
+"""Size-checked broadcast of a join side.
+
+A side is broadcast only after counting that it holds at most ``max_rows``
+rows (the count stops reading once it has seen ``max_rows + 1``). Beyond the
+bound the side is returned untouched and Spark plans a shuffled sort-merge
+join, where AQE splits skewed partitions at run time.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 200_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
