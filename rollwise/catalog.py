@@ -8,10 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators import dashboard as D
+from .operators.fulfillment import daily_min_price, fulfillment_report
+from .operators.inventory import inventory_report
 from .operators.sales import sales_report, sales_states, sales_strict
 from .session import apply_conf
 from .sources import fixtures as fx
-from .specs import PLATFORMS, platform
+from .specs import platform
 from .windows import DateWindow
 
 # Parameters of the dashboard checks (one tenant, the reference's windows moved
@@ -63,11 +65,36 @@ def _sales(mkt: str) -> Query:
     return lambda spark, sf_dir: build_sales(spark, sf_dir, mkt)
 
 
+def build_inventory(spark: SparkSession, sf_dir: str, mkt: str) -> DataFrame:
+    apply_conf(spark)
+    cities, cat = dims(spark, sf_dir)
+    return inventory_report(fx.inventory_feed(spark, sf_dir, mkt), cities, cat, platform(mkt))
+
+
+def build_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_conf(spark)
+    return daily_min_price(fx.sales_feed(spark, sf_dir, "zepto"), platform("zepto"))
+
+
+def build_fulfillment(spark: SparkSession, sf_dir: str, mkt: str) -> DataFrame:
+    apply_conf(spark)
+    cities, cat = dims(spark, sf_dir)
+    prices = build_prices(spark, sf_dir) if mkt == "zepto" else None
+    return fulfillment_report(fx.fulfillment_feed(spark, sf_dir, mkt), cities, cat, platform(mkt), prices)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "r1_blinkit_sales_report": _sales("blinkit"),
         "r2_instamart_sales_report": _sales("instamart"),
         "r3_zepto_sales_report": _sales("zepto"),
+        "r4_blinkit_inventory_report": lambda s, d: build_inventory(s, d, "blinkit"),
+        "r5_instamart_inventory_report": lambda s, d: build_inventory(s, d, "instamart"),
+        "r6_zepto_inventory_report": lambda s, d: build_inventory(s, d, "zepto"),
+        "r7_blinkit_fulfillment_report": lambda s, d: build_fulfillment(s, d, "blinkit"),
+        "r8_instamart_fulfillment_report": lambda s, d: build_fulfillment(s, d, "instamart"),
+        "r9_zepto_fulfillment_report": lambda s, d: build_fulfillment(s, d, "zepto"),
+        "m8_daily_min_price": build_prices,
         "r10_blinkit_sales_strict": _strict(sales_strict),
         "r11_blinkit_sales_states": _strict(sales_states),
         "d1_brand_daily_sales": _dash(D.brand_daily_sales, WINDOW),
@@ -95,11 +122,16 @@ def oracle_sql() -> dict[str, str]:
         "r1_blinkit_sales_report": O.sales_report("blinkit"),
         "r2_instamart_sales_report": O.sales_report("instamart"),
         "r3_zepto_sales_report": O.sales_report("zepto"),
+        "r4_blinkit_inventory_report": O.inventory_report("blinkit"),
+        "r5_instamart_inventory_report": O.inventory_report("instamart"),
+        "r6_zepto_inventory_report": O.inventory_report("zepto"),
+        "r7_blinkit_fulfillment_report": O.fulfillment_report("blinkit"),
+        "r8_instamart_fulfillment_report": O.fulfillment_report("instamart"),
+        "r9_zepto_fulfillment_report": O.fulfillment_report("zepto"),
+        "m8_daily_min_price": O.daily_min_price(),
         "r10_blinkit_sales_strict": O.strict_sales(STRICT_REDSHIFT_COLUMNS),
         "r11_blinkit_sales_states": O.strict_sales(STRICT_STATES_COLUMNS),
     }
     sql.update(O.dashboards())
     return sql
 
-
-_ = PLATFORMS

@@ -250,3 +250,103 @@ def dashboards() -> dict[str, str]:
       AND CAST(date AS DATE) BETWEEN DATE '{WINDOW.start}' AND DATE '{WINDOW.end}'
     GROUP BY 1""",
     }
+
+
+# -------------------------------------------------------------- inventory
+def inventory_report(mkt: str) -> str:
+    stock = "CAST(FLOOR(b.l_extendedprice / 100) AS DOUBLE)"
+    if mkt == "blinkit":
+        front, total, pid = "COALESCE(b.qty, 0.0)", f"COALESCE(b.qty, 0.0) + {stock}", "COALESCE(scd.blinkit_prid, '')"
+    else:
+        front, total = "0.0", stock
+        pid = f"COALESCE(scd.{PRODUCTID[mkt]}, 'Unknown')"
+    cat = "COALESCE(scd.category, b.feed_cat, 'Unknown')" if mkt == "zepto" else "COALESCE(scd.category, 'Unknown')"
+    brand = "COALESCE(scd.brand, b.feed_brand, 'Unknown')" if mkt == "zepto" else "COALESCE(scd.brand, 'Unknown')"
+    lines = f"""
+    SELECT b.org AS organizationid, {_item(mkt)} AS itemid,
+           COALESCE(b.n_name, 'Unknown') AS backendfacilityname, b.ship_week AS reportdate,
+           COALESCE(b.item_name, 'Unknown') AS itemname, {pid} AS productid,
+           {cat} AS category, COALESCE(scd.sub__category, 'Unknown') AS subcategory, {brand} AS brand,
+           COALESCE(scd.brand_internal_sku_code, 'Unknown') AS brand_internal_sku_code,
+           COALESCE(scm.brand_s_choice, 'Unknown') AS brands_choice,
+           COALESCE(scd.active, 0) <> 0 AS active,
+           {total} AS total_quantity, CAST({front} AS DOUBLE) AS frontendinvqty, {stock} AS backendinvqty
+    {_enriched(mkt)}"""
+    daily = f"""
+    SELECT organizationid, itemid, backendfacilityname, reportdate,
+           MIN(itemname) AS itemname, MIN(productid) AS productid, MIN(category) AS category,
+           MIN(subcategory) AS subcategory, MIN(brand) AS brand,
+           MIN(brand_internal_sku_code) AS brand_internal_sku_code, MIN(brands_choice) AS brands_choice,
+           MIN(active) AS active,
+           {xsum('total_quantity')} AS total_quantity, {xsum('frontendinvqty')} AS frontendinvqty,
+           {xsum('backendinvqty')} AS backendinvqty
+    FROM lines GROUP BY organizationid, itemid, backendfacilityname, reportdate"""
+    return _with(mkt, f"lines AS ({lines})", f"daily AS ({daily})") + """
+    SELECT itemid, backendfacilityname, reportdate, itemname, productid, category, subcategory, brand,
+           organizationid, brand_internal_sku_code, brands_choice, active,
+           total_quantity, frontendinvqty, backendinvqty,
+           GREATEST(LAG(backendinvqty, 1, 0.0) OVER w - backendinvqty, 0.0) AS run_rate_backend,
+           GREATEST(LAG(total_quantity, 1, 0.0) OVER w - total_quantity, 0.0) AS run_rate_total
+    FROM daily
+    WINDOW w AS (PARTITION BY organizationid, itemid, backendfacilityname ORDER BY reportdate)"""
+
+
+# ------------------------------------------------------------ fulfillment
+FUL_KEYS = "itemid, ponumber, po_status, brand_internal_sku_code, brands_choice, organizationid, orderdate"
+FUL_ORDER = ("backendfacilityname, quantity, grn_quantity, total_amount, fill_rate_sku, mrp, "
+             "appointmentdate, expirydate, itemname, productid")
+
+
+def daily_min_price() -> str:
+    return f"""
+    WITH b AS ({base('zepto')})
+    SELECT lower(b.sku_mixed) AS sku, b.ship_week AS orderdate, MIN(b.unit_price) AS mrp
+    FROM b GROUP BY 1, 2"""
+
+
+def fulfillment_report(mkt: str) -> str:
+    ordered = "CASE WHEN b.l_linenumber = 7 THEN 0.0 ELSE b.l_quantity END"
+    remaining = "CASE WHEN b.l_linenumber = 7 THEN NULL ELSE CAST(FLOOR(b.l_quantity * b.l_discount * 5) AS DOUBLE) END"
+    appointment = "CASE WHEN b.l_linenumber = 6 THEN NULL ELSE b.po_week + b.l_linenumber END"
+    expiry = "CASE WHEN b.l_linenumber = 6 THEN NULL ELSE b.po_week + 30 END"
+    epoch = "DATE '1970-01-01'"
+    po = "'PO-' || CAST(b.l_orderkey % 20 AS VARCHAR)"
+    if mkt == "zepto":
+        grn = f"COALESCE({ordered}, 0.0) - COALESCE({remaining}, 0.0)"
+        fill_feed = f"COALESCE(1.0 - COALESCE({remaining}, 0.0) / NULLIF({ordered}, 0.0), 0.0)"
+        measures = f"""
+           COALESCE(p.mrp, 0.0) AS mrp, COALESCE({appointment}, {epoch}) AS appointmentdate,
+           {epoch} AS expirydate, COALESCE(b.n_name, 'Unknown') AS backendfacilityname,
+           COALESCE({ordered}, 0.0) AS quantity, COALESCE({grn}, 0.0) AS grn_quantity,
+           COALESCE(p.mrp, 0.0) * COALESCE({ordered}, 0.0) AS total_amount,
+           COALESCE({fill_feed}, 0.0) AS fill_rate_sku"""
+        status = "'Unknown'"
+        extra = """
+    LEFT JOIN price p ON lower(b.sku_mixed) = p.sku AND b.po_week = p.orderdate"""
+    else:
+        measures = f"""
+           COALESCE(b.unit_price, 0.0) AS mrp, COALESCE({appointment}, {epoch}) AS appointmentdate,
+           COALESCE({expiry}, {epoch}) AS expirydate, COALESCE(b.n_name, 'Unknown') AS backendfacilityname,
+           COALESCE({ordered}, 0.0) AS quantity,
+           COALESCE({ordered}, 0.0) - COALESCE({remaining}, 0.0) AS grn_quantity,
+           COALESCE(b.l_extendedprice, 0.0) AS total_amount,
+           COALESCE(1.0 - COALESCE({remaining}, 0.0) / NULLIF(COALESCE({ordered}, 0.0), 0.0), 0.0) AS fill_rate_sku"""
+        status = "COALESCE(b.o_orderstatus, 'Unknown')"
+        extra = ""
+    lines = f"""
+    SELECT {_item(mkt)} AS itemid, {po} AS ponumber, {status} AS po_status,
+           COALESCE(scd.brand_internal_sku_code, 'Unknown') AS brand_internal_sku_code,
+           COALESCE(scm.brand_s_choice, 'Unknown') AS brands_choice, b.org AS organizationid,
+           b.po_week AS orderdate, COALESCE(b.item_name, 'Unknown') AS itemname,
+           COALESCE(scd.{PRODUCTID[mkt]}, 'Unknown') AS productid, {measures}
+    {_enriched(mkt)}{extra}"""
+    ctes = [f"lines AS ({lines})"]
+    if mkt == "zepto":
+        price = f"""
+    SELECT lower(b.sku_mixed) AS sku, b.ship_week AS orderdate, MIN(b.unit_price) AS mrp
+    FROM b GROUP BY 1, 2"""
+        ctes.insert(0, f"price AS ({price})")
+    return _with(mkt, *ctes) + f"""
+    SELECT * EXCLUDE (rn) FROM (
+      SELECT *, ROW_NUMBER() OVER (PARTITION BY {FUL_KEYS} ORDER BY {FUL_ORDER}) AS rn FROM lines)
+    WHERE rn = 1"""

@@ -31,7 +31,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in SQL_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
