@@ -111,6 +111,7 @@ def queries() -> dict[str, Query]:
         "d12_daily_category_totals_previous_month": _dash(D.daily_category_totals_previous_month, WINDOW),
         "d13_daily_target": _d13,
     }
+    q.update(job_queries())
     return q
 
 
@@ -133,5 +134,148 @@ def oracle_sql() -> dict[str, str]:
         "r11_blinkit_sales_states": O.strict_sales(STRICT_STATES_COLUMNS),
     }
     sql.update(O.dashboards())
+    sql.update(job_oracle_sql())
     return sql
 
+
+
+# ------------------------------------------------------- tables and streams
+# These run a job into a fresh folder below the shared checkpoint root and
+# return the table read back, so the check compares what a reader would see.
+from .plans.backfill import backfill, refresh_strict_view  # noqa: E402
+from .plans.incremental import (compact_month, partial_rows, read_merged, split_merge,  # noqa: E402
+                                write_batch)
+from .session import scratch_path  # noqa: E402
+from .sources.report_io import read_report  # noqa: E402
+from .streaming.incremental import stream_report  # noqa: E402
+from .streaming.run_rate import current_run_rates, run_rate_stream  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+def _inputs(spark: SparkSession, sf_dir: str, kind: str, mkt: str):
+    apply_conf(spark)
+    cities, cat = dims(spark, sf_dir)
+    feed = fx.feed(spark, sf_dir, kind, mkt)
+    prices = build_prices(spark, sf_dir) if (kind == "fulfillment" and mkt == "zepto") else None
+    return feed, cities, cat, prices
+
+
+def _split_merge(kind: str, mkt: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        feed, cities, cat, prices = _inputs(spark, sf_dir, kind, mkt)
+        return split_merge(kind, feed, cities, cat, platform(mkt), 4, prices)
+    return q
+
+
+def _backfill_roundtrip(kind: str, mkt: str) -> Query:
+    """Backfill all months, rebuild Feb-Mar 1998 again (idempotent), read the table back."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        feed, cities, cat, prices = _inputs(spark, sf_dir, kind, mkt)
+        out = scratch_path(spark, "backfill", f"{mkt}_{kind}")
+        backfill(spark, kind, platform(mkt), feed, cities, cat, out, prices=prices)
+        backfill(spark, kind, platform(mkt), feed, cities, cat, out, months=(199802, 199803), prices=prices)
+        return read_report(spark, out, kind)
+    return q
+
+
+def _refresh_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed, cities, cat, _ = _inputs(spark, sf_dir, "sales", "blinkit")
+    out = scratch_path(spark, "strict_view")
+    refresh_strict_view(spark, platform("blinkit"), feed, cities, cat, out)
+    refresh_strict_view(spark, platform("blinkit"), feed, cities, cat, out)
+    return read_report(spark, out, "sales_strict")
+
+
+def _compacted(kind: str, mkt: str) -> Query:
+    """Three loads, two months compacted, a fourth load on top, merged read."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        feed, cities, cat, prices = _inputs(spark, sf_dir, kind, mkt)
+        spec = platform(mkt)
+        root = scratch_path(spark, "partials", f"{mkt}_{kind}")
+        load = F.pmod(F.xxhash64(*feed.columns), F.lit(4))
+        for i in range(3):
+            write_batch(partial_rows(kind, feed.filter(load == i), cities, cat, spec, prices), root, kind, i)
+        for month in (199802, 199601):
+            compact_month(spark, root, kind, spec, month)
+        write_batch(partial_rows(kind, feed.filter(load == 3), cities, cat, spec, prices), root, kind, 3)
+        return read_merged(spark, root, kind, spec)
+    return q
+
+
+def _stream(kind: str, mkt: str) -> Query:
+    """Feed staged as files, streamed one file per micro-batch, merged read."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        feed, cities, cat, _ = _inputs(spark, sf_dir, kind, mkt)
+        base = scratch_path(spark, "stream", f"{mkt}_{kind}")
+        feed.repartition(4).write.parquet(base + "/feed")
+        schema = spark.read.parquet(base + "/feed").schema
+        sales = fx.sales_feed(spark, sf_dir, "zepto") if (kind == "fulfillment" and mkt == "zepto") else None
+        sq = stream_report(spark, kind, platform(mkt), base + "/feed", schema, cities, cat,
+                           base + "/table", base + "/checkpoint", sales_feed=sales)
+        sq.awaitTermination()
+        return read_merged(spark, base + "/table", kind, platform(mkt))
+    return q
+
+
+def _run_rate_stream(mkt: str) -> Query:
+    """Snapshots arrive a year per micro-batch; part of each year's first day arrives
+    with the previous year, so a day split over two batches is exercised."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        feed, cities, cat, _ = _inputs(spark, sf_dir, "inventory", mkt)
+        spec = platform(mkt)
+        base = scratch_path(spark, "run_rate", mkt)
+        day = F.to_date(F.col(spec.inventory.date))
+        year = F.year(day)
+        early = (F.dayofyear(day) <= 7) & (F.pmod(F.xxhash64(*feed.columns), F.lit(2)) == 1)
+        staged = feed.withColumn("_chunk", F.when(early, year - 1).otherwise(year))
+        files = 2
+        for (chunk,) in staged.select("_chunk").distinct().orderBy("_chunk").collect():
+            (staged.filter(F.col("_chunk") == chunk).drop("_chunk").repartition(files)
+             .write.mode("append").parquet(base + "/feed"))
+        schema = spark.read.parquet(base + "/feed").schema
+        sq = run_rate_stream(spark, spec, base + "/feed", schema, cities, cat, base + "/out",
+                             base + "/checkpoint", max_files_per_trigger=files)
+        sq.awaitTermination()
+        return current_run_rates(spark, base + "/out")
+    return q
+
+
+def job_queries() -> dict[str, Query]:
+    return {
+        "i4_merge_partials_sales": _split_merge("sales", "zepto"),
+        "i4_merge_partials_inventory": _split_merge("inventory", "instamart"),
+        "i4_merge_partials_fulfillment": _split_merge("fulfillment", "zepto"),
+        "i5_compact_month_sales": _compacted("sales", "instamart"),
+        "i5_compact_month_inventory": _compacted("inventory", "zepto"),
+        "i6_backfill_sales": _backfill_roundtrip("sales", "blinkit"),
+        "i6_backfill_inventory": _backfill_roundtrip("inventory", "blinkit"),
+        "i6_backfill_fulfillment": _backfill_roundtrip("fulfillment", "instamart"),
+        "i7_refresh_strict_view": _refresh_strict,
+        "i1_incremental_sales": _stream("sales", "blinkit"),
+        "i2_incremental_fulfillment": _stream("fulfillment", "zepto"),
+        "i3_incremental_inventory": _stream("inventory", "blinkit"),
+        "i8_run_rate_stream": _run_rate_stream("blinkit"),
+    }
+
+
+def job_oracle_sql() -> dict[str, str]:
+    from . import oracle as O
+    from .operators.sales import STRICT_REDSHIFT_COLUMNS
+
+    rr = ("organizationid, itemid, backendfacilityname, reportdate, backendinvqty, total_quantity, "
+          "run_rate_backend, run_rate_total")
+    return {
+        "i4_merge_partials_sales": O.sales_report("zepto"),
+        "i4_merge_partials_inventory": O.inventory_report("instamart"),
+        "i4_merge_partials_fulfillment": O.fulfillment_report("zepto"),
+        "i5_compact_month_sales": O.sales_report("instamart"),
+        "i5_compact_month_inventory": O.inventory_report("zepto"),
+        "i6_backfill_sales": O.sales_report("blinkit"),
+        "i6_backfill_inventory": O.inventory_report("blinkit"),
+        "i6_backfill_fulfillment": O.fulfillment_report("instamart"),
+        "i7_refresh_strict_view": O.strict_sales(STRICT_REDSHIFT_COLUMNS),
+        "i1_incremental_sales": O.sales_report("blinkit"),
+        "i2_incremental_fulfillment": O.fulfillment_report("zepto"),
+        "i3_incremental_inventory": O.inventory_report("blinkit"),
+        "i8_run_rate_stream": f"SELECT {rr} FROM ({O.inventory_report('blinkit')})",
+    }

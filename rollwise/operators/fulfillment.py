@@ -56,7 +56,7 @@ def _date_or_epoch(c: Column) -> Column:
 
 
 def fulfillment_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame, spec: PlatformSpec,
-                      prices: DataFrame | None = None) -> DataFrame:
+                      prices: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     s = spec.fulfillment
     e = enrich(feed, cities, catalogue, spec, city_col=s.city, item_col=s.item)
     if s.unit_price is None:
@@ -97,14 +97,15 @@ def fulfillment_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
         "total_amount": amount,
         "fill_rate_sku": rate,
     }
-    return e.select(*[c.alias(n) for n, c in cols.items()])
+    return e.select(*[c.alias(n) for n, c in cols.items()], *carry)
 
 
-def representative_line(lines: DataFrame, spec: PlatformSpec) -> DataFrame:
+def representative_line(lines: DataFrame, spec: PlatformSpec, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """A5: one line per key (also merges partial rows of the same schema)."""
-    picked = lines.groupBy(*FUL_KEYS).agg(F.min(F.struct(*FUL_LINE)).alias("_line"))
-    return picked.select(*FUL_KEYS, *[F.col("_line." + c).alias(c) for c in FUL_LINE]) \
-                 .select(*fulfillment_columns(spec))
+    keys = [*FUL_KEYS, *extra_keys]
+    picked = lines.groupBy(*keys).agg(F.min(F.struct(*FUL_LINE)).alias("_line"))
+    return picked.select(*keys, *[F.col("_line." + c).alias(c) for c in FUL_LINE]) \
+                 .select(*fulfillment_columns(spec), *extra_keys)
 
 
 def fulfillment_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame, spec: PlatformSpec,

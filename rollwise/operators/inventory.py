@@ -35,7 +35,7 @@ def _known(*cols: Column) -> Column:
 
 
 def inventory_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
-                    spec: PlatformSpec) -> DataFrame:
+                    spec: PlatformSpec, carry: tuple[str, ...] = ()) -> DataFrame:
     s = spec.inventory
     e = enrich(feed, cities, catalogue, spec, city_col=s.city, item_col=s.item)
     back = zero_if_null(F.col(s.backend).cast("double"))
@@ -60,13 +60,13 @@ def inventory_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
         "frontendinvqty": front,
         "backendinvqty": back,
     }
-    return e.select(*[c.alias(n) for n, c in cols.items()])
+    return e.select(*[c.alias(n) for n, c in cols.items()], *carry)
 
 
-def daily_stock(lines: DataFrame) -> DataFrame:
+def daily_stock(lines: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per (tenant, item, facility, day); also merges partial daily rows."""
     aggs = [F.min(c).alias(c) for c in INV_ANY] + [exact_sum(F.col(c)).alias(c) for c in INV_SUM]
-    return lines.groupBy(*INV_KEYS).agg(*aggs)
+    return lines.groupBy(*INV_KEYS, *extra_keys).agg(*aggs)
 
 
 def _rated(daily: DataFrame) -> DataFrame:

@@ -40,8 +40,9 @@ def _fallback(scd_col: str, feed_col: str | None) -> Column:
 
 
 def sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
-                spec: PlatformSpec) -> DataFrame:
-    """One enriched row per feed row, defaults applied (the view's SELECT before GROUP BY)."""
+                spec: PlatformSpec, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One enriched row per feed row, defaults applied (the view's SELECT before GROUP BY).
+    ``carry``: feed columns passed through unchanged (e.g. a split key)."""
     s = spec.sales
     e = enrich(feed, cities, catalogue, spec, city_col=s.city, item_col=s.item)
     margin = zero_if_null(F.col(SKU + "margin"))
@@ -69,16 +70,16 @@ def sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
     }
     if s.unit_price:
         cols["mrp"] = zero_if_null(F.col(s.unit_price).cast("double"))
-    return e.select(*[c.alias(n) for n, c in cols.items()])
+    return e.select(*[c.alias(n) for n, c in cols.items()], *carry)
 
 
-def rollup_sales(lines: DataFrame, spec: PlatformSpec) -> DataFrame:
+def rollup_sales(lines: DataFrame, spec: PlatformSpec, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Group enriched lines (or partial rows: the same schema) into report rows."""
     aggs = [F.min(c).alias(c) for c in SALES_ANY]
     aggs += [exact_sum(F.col(c)).alias(c) for c in SALES_SUM]
     if spec.sales.unit_price:
         aggs.append(F.min("mrp").alias("mrp"))
-    return lines.groupBy(*SALES_KEYS).agg(*aggs).select(*sales_columns(spec))
+    return lines.groupBy(*SALES_KEYS, *extra_keys).agg(*aggs).select(*sales_columns(spec), *extra_keys)
 
 
 def sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
@@ -104,7 +105,7 @@ STRICT_ANY = ["productid", "itemname", "category", "subcategory", "brand_interna
 
 
 def strict_sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
-                       spec: PlatformSpec) -> DataFrame:
+                       spec: PlatformSpec, carry: tuple[str, ...] = ()) -> DataFrame:
     """No defaults: an unmatched SKU leaves margin, tax and therefore net NULL."""
     s = spec.sales
     e = enrich(feed, cities, catalogue, spec, city_col=s.city, item_col=s.item)
@@ -132,13 +133,13 @@ def strict_sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
         "net": net_sales(gmv, margin, tax),
         "taxes_paid": taxes_paid(gmv, margin, tax),
     }
-    return e.select(*[c.alias(n) for n, c in cols.items()])
+    return e.select(*[c.alias(n) for n, c in cols.items()], *carry)
 
 
-def rollup_strict(lines: DataFrame, columns: list[str]) -> DataFrame:
+def rollup_strict(lines: DataFrame, columns: list[str], extra_keys: tuple[str, ...] = ()) -> DataFrame:
     aggs = [F.min(c).alias(c) for c in STRICT_ANY]
     aggs += [exact_sum(F.col(c)).alias(c) for c in SALES_SUM]
-    return lines.groupBy(*STRICT_KEYS).agg(*aggs).select(*columns)
+    return lines.groupBy(*STRICT_KEYS, *extra_keys).agg(*aggs).select(*columns, *extra_keys)
 
 
 def sales_strict(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,

@@ -4,6 +4,10 @@ A side is broadcast only after counting that it holds at most ``max_rows``
 rows (the count stops reading once it has seen ``max_rows + 1``). Beyond the
 bound the side is returned untouched and Spark plans a shuffled sort-merge
 join, where AQE splits skewed partitions at run time.
+
+The outcome is remembered per logical plan (``DataFrame.semanticHash``), so a
+dimension that is joined in every micro-batch or in many queries of one job is
+counted once. ``refresh=True`` counts again (e.g. after the dimension changed).
 """
 
 from __future__ import annotations
@@ -12,11 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 200_000
+_checked: dict[tuple[int, int], bool] = {}
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def row_count_at_most(df: DataFrame, max_rows: int, refresh: bool = False) -> bool:
+    key = (df.semanticHash(), max_rows)
+    if refresh or key not in _checked:
+        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _checked[key]
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, refresh: bool = False) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows, refresh) else df
