@@ -8,21 +8,28 @@ merged days (a window inside one load would see a single day).
 
 Layout of an incremental table at ``root``::
 
-    root/batches/batch_id=<n>/yyyymm=<m>/   partial rows of load n (replay overwrites it)
-    root/compacted/yyyymm=<m>/               merged rows of month m, with column through_batch
-
-A reader takes, per month, the compacted rows plus the batches written after
-them; both are ordinary lazy Spark reads, unioned and merged in one aggregate.
+    root/batches/batch_id=<n>/     partial rows of load n, sorted by date (replay overwrites it)
+    root/compacted/yyyymm=<m>/     merged rows of month m, with column through_batch
+
+A load is written as the few files its aggregation produced (no month split:
+a load spanning many months would otherwise write tasks x months tiny files);
+rows are sorted by date, so parquet min/max statistics still skip other
+months. A reader takes, per month, the compacted rows plus the batches written
+after them; both are ordinary lazy Spark reads, unioned and merged in one
+aggregate.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.fulfillment import fulfillment_lines, representative_line
 from ..operators.inventory import daily_stock, inventory_lines, with_run_rates
 from ..operators.sales import rollup_sales, sales_lines
+from ..functions.measures import yyyymm
 from ..sources.report_io import MONTH, clustered, date_column
 from ..specs import PlatformSpec
 
@@ -77,11 +84,14 @@ def batch_path(root: str, batch_id: int) -> str:
 
 def write_batch(rows: DataFrame, root: str, kind: str, batch_id: int) -> None:
     """Write one load's partial rows; replaying the same batch id overwrites them."""
-    clustered(rows, kind).write.mode("overwrite").partitionBy(MONTH).parquet(batch_path(root, batch_id))
+    (rows.sortWithinPartitions(date_column(kind)).write.mode("overwrite")
+     .parquet(batch_path(root, batch_id)))
 
 
-def read_batches(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.option("basePath", f"{root.rstrip('/')}/batches").parquet(f"{root.rstrip('/')}/batches")
+def read_batches(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """All loads, with their batch id and month."""
+    path = f"{root.rstrip('/')}/batches"
+    return spark.read.parquet(path).withColumn(MONTH, yyyymm(F.col(date_column(kind))))
 
 
 def _compacted(spark: SparkSession, root: str) -> DataFrame | None:
@@ -92,9 +102,9 @@ def _compacted(spark: SparkSession, root: str) -> DataFrame | None:
         return None
 
 
-def read_partials(spark: SparkSession, root: str) -> DataFrame:
+def read_partials(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """All partial rows of the table: compacted months + batches not yet in them."""
-    batches = read_batches(spark, root)
+    batches = read_batches(spark, root, kind)
     comp = _compacted(spark, root)
     if comp is None:
         return batches.drop(BATCH)
@@ -107,7 +117,7 @@ def read_partials(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_merged(spark: SparkSession, root: str, kind: str, spec: PlatformSpec) -> DataFrame:
-    return merge_partials(read_partials(spark, root).drop(MONTH), kind, spec)
+    return merge_partials(read_partials(spark, root, kind).drop(MONTH), kind, spec)
 
 
 def compact_month(spark: SparkSession, root: str, kind: str, spec: PlatformSpec, month: int) -> None:
@@ -115,7 +125,11 @@ def compact_month(spark: SparkSession, root: str, kind: str, spec: PlatformSpec,
 
     The high-water batch id is fixed first, so batches landing meanwhile stay
     visible to readers as later batches."""
-    batches = read_batches(spark, root).filter(F.col(MONTH) == F.lit(int(month)))
+    first = dt.date(int(month) // 100, int(month) % 100, 1)
+    last = dt.date(first.year + first.month // 12, first.month % 12 + 1, 1) - dt.timedelta(days=1)
+    day = F.col(date_column(kind))
+    # A date-range predicate (pushed to the parquet scan) rather than the derived month.
+    batches = read_batches(spark, root, kind).filter(day.between(F.lit(first), F.lit(last)))
     hw = batches.agg(F.max(BATCH)).first()[0]
     if hw is None:
         return

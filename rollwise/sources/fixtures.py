@@ -30,6 +30,7 @@ from ..plans.broadcast import broadcast_if_small
 MARKETPLACE_FLAG = {"blinkit": "A", "instamart": "R", "zepto": "N"}
 TENANTS = ("org-0", "org-1", "org-2")
 DIM_MAX_ROWS = 100_000
+SUPPLIER_MAX_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +65,9 @@ def line_base(spark: SparkSession, sf_dir: str, marketplace: str) -> DataFrame:
         .join(broadcast_if_small(nation, DIM_MAX_ROWS), "s_nationkey")
         .select("l_suppkey", "n_name")
     )
+    # Suppliers are broadcast while their count is under the bound (Spark's own
+    # estimate of a join's size is far too high without CBO); past it, sort-merge.
+    supplier_city = broadcast_if_small(supplier_city, SUPPLIER_MAX_ROWS)
     # lineitem x orders is the big join: sort-merge on the order key, AQE splits skew.
     j = li.join(orders, "l_orderkey").join(supplier_city, "l_suppkey")
     k = F.col("l_partkey") % 10
