@@ -13,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.measures import depletion, exact_sum, zero_if_null
+from ..functions.measures import depletion, zero_if_null
 from ..specs import PlatformSpec
 from .enrich import CITY, SKU, enrich, sku_key
+from .rollup import rollup
 
 UNKNOWN = "Unknown"
 INV_KEYS = ["organizationid", "itemid", "backendfacilityname", "reportdate"]
@@ -65,8 +66,7 @@ def inventory_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
 
 def daily_stock(lines: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per (tenant, item, facility, day); also merges partial daily rows."""
-    aggs = [F.min(c).alias(c) for c in INV_ANY] + [exact_sum(F.col(c)).alias(c) for c in INV_SUM]
-    return lines.groupBy(*INV_KEYS, *extra_keys).agg(*aggs)
+    return rollup(lines, [*INV_KEYS, *extra_keys], INV_ANY, INV_SUM)
 
 
 def _rated(daily: DataFrame) -> DataFrame:

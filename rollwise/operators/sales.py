@@ -1,8 +1,8 @@
 """Sales reports: R1-R3 (defaults, mergeable), R10 (strict stored view), R11 (strict states).
 
-One plan per report: feed -> two broadcast/shuffled left joins -> one
-``groupBy`` whose partial aggregation runs before the shuffle, so a hot item or
-tenant is combined map-side. Attributes are "any" in the reference; ``min``
+One plan per report: feed -> two broadcast/shuffled left joins -> a hash
+aggregation whose partial step runs before the shuffle, so a hot item or
+tenant is combined map-side (``rollup``). Attributes are "any" in the reference; ``min``
 makes them deterministic and mergeable. Money sums are exact (micro-units).
 """
 
@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import (exact_sum, net_sales, taxes_paid, to_double, unit_price,
-                                  zero_if_null)
+from ..functions.measures import net_sales, taxes_paid, to_double, unit_price, zero_if_null
 from ..specs import PlatformSpec
 from .enrich import CITY, SKU, enrich, sku_key
+from .rollup import rollup
 
 UNKNOWN = "Unknown"
 
@@ -75,11 +75,9 @@ def sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
 
 def rollup_sales(lines: DataFrame, spec: PlatformSpec, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Group enriched lines (or partial rows: the same schema) into report rows."""
-    aggs = [F.min(c).alias(c) for c in SALES_ANY]
-    aggs += [exact_sum(F.col(c)).alias(c) for c in SALES_SUM]
-    if spec.sales.unit_price:
-        aggs.append(F.min("mrp").alias("mrp"))
-    return lines.groupBy(*SALES_KEYS, *extra_keys).agg(*aggs).select(*sales_columns(spec), *extra_keys)
+    mins = SALES_ANY + (["mrp"] if spec.sales.unit_price else [])
+    return (rollup(lines, [*SALES_KEYS, *extra_keys], mins, SALES_SUM)
+            .select(*sales_columns(spec), *extra_keys))
 
 
 def sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
@@ -137,9 +135,7 @@ def strict_sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
 
 
 def rollup_strict(lines: DataFrame, columns: list[str], extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    aggs = [F.min(c).alias(c) for c in STRICT_ANY]
-    aggs += [exact_sum(F.col(c)).alias(c) for c in SALES_SUM]
-    return lines.groupBy(*STRICT_KEYS, *extra_keys).agg(*aggs).select(*columns, *extra_keys)
+    return rollup(lines, [*STRICT_KEYS, *extra_keys], STRICT_ANY, SALES_SUM).select(*columns, *extra_keys)
 
 
 def sales_strict(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
