@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.enrich import check_dimensions
 from ..operators.fulfillment import fulfillment_report
 from ..operators.inventory import INV_ANY, INV_KEYS, INV_SUM, inventory_report, latest_before
 from ..operators.sales import sales_report, sales_strict
@@ -55,9 +56,12 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
 def backfill(spark: SparkSession, kind: str, spec: PlatformSpec, feed: DataFrame,
              cities: DataFrame, catalogue: DataFrame, out: str,
              months: tuple[int, int] | None = None, prices: DataFrame | None = None,
-             partitions: int | None = None) -> None:
-    """Recompute report months from the feed and overwrite them in ``out``."""
+             partitions: int | None = None, check_dims: bool = True) -> None:
+    """Recompute report months from the feed and overwrite them in ``out``.
+    ``check_dims``: fail on duplicate dimension keys first (they would multiply sums)."""
     checkpoint_root(spark)
+    if check_dims:
+        check_dimensions(cities, catalogue, spec)
     last = None
     if months is not None:
         w = month_window(*months)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..operators.enrich import check_dimensions
 from ..operators.fulfillment import daily_min_price
 from ..plans.incremental import partial_rows, write_batch
 from ..specs import PlatformSpec, platform
@@ -35,9 +36,11 @@ def stream_report(spark: SparkSession, kind: str, spec: PlatformSpec, feed_path:
                   feed_schema: StructType, cities: DataFrame, catalogue: DataFrame, root: str,
                   checkpoint: str, sales_feed: DataFrame | None = None,
                   max_files_per_trigger: int = 1, available_now: bool = True,
-                  processing_time: str | None = None) -> StreamingQuery:
+                  processing_time: str | None = None, check_dims: bool = True) -> StreamingQuery:
     """Start the incremental load of one report; returns the running query.
     (The dimensions' broadcast size check is remembered across micro-batches.)"""
+    if check_dims:
+        check_dimensions(cities, catalogue, spec)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         prices = None

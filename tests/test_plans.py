@@ -73,3 +73,18 @@ def test_rollup_over_feed_rows_is_a_hash_aggregate(spark):
     # the sort-based min runs only over the reduced rows.
     # The tree prints top-down: the hash aggregate must sit below (after) the sort one.
     assert text.index("HashAggregate (") > text.index("SortAggregate (")
+
+
+def test_colocated_sink_is_bucketed_by_item(spark):
+    from rollwise.operators.sales import sales_strict
+    from rollwise.sources.report_io import write_colocated
+    f = fx.sales_feed(spark, SF_SMALL, "blinkit")
+    df = sales_strict(f, fx.city_mapping(spark, SF_SMALL), fx.catalogue(spark, SF_SMALL), platform("blinkit"))
+    path = scratch_path(spark, "test-bucketed")
+    write_colocated(df, "strict_view_test", path, "sales_strict", buckets=4)
+    t = spark.table("strict_view_test")
+    assert t.count() == df.count()
+    # an aggregation on the bucket key needs no shuffle
+    text = plan_text(t.groupBy("itemid").count())
+    assert "Exchange" not in text.split("== Physical Plan ==")[1].split("\n\n")[0]
+    spark.sql("DROP TABLE strict_view_test")
