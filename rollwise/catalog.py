@@ -192,6 +192,9 @@ def _compacted(kind: str, mkt: str) -> Query:
         feed, cities, cat, prices = _inputs(spark, sf_dir, kind, mkt)
         spec = platform(mkt)
         root = scratch_path(spark, "partials", f"{mkt}_{kind}")
+        # Stage the feed once (as files, the production shape), then load from it.
+        feed.write.parquet(root + "/feed")
+        feed = spark.read.parquet(root + "/feed")
         load = F.pmod(F.xxhash64(*feed.columns), F.lit(4))
         for i in range(3):
             write_batch(partial_rows(kind, feed.filter(load == i), cities, cat, spec, prices), root, kind, i)

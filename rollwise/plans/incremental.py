@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.fulfillment import fulfillment_lines, representative_line
-from ..operators.inventory import daily_stock, inventory_lines, with_run_rates
+from ..operators.inventory import daily_stock, inventory_lines, latest_before, with_run_rates
 from ..operators.sales import rollup_sales, sales_lines
 from ..functions.measures import yyyymm
 from ..sources.report_io import MONTH, clustered, date_column
 from ..specs import PlatformSpec
+from ..windows import DateWindow
 
 KINDS = ("sales", "inventory", "fulfillment")
 BATCH = "batch_id"
@@ -116,8 +117,22 @@ def read_partials(spark: SparkSession, root: str, kind: str) -> DataFrame:
     return comp.drop(THROUGH).unionByName(later)
 
 
-def read_merged(spark: SparkSession, root: str, kind: str, spec: PlatformSpec) -> DataFrame:
-    return merge_partials(read_partials(spark, root, kind).drop(MONTH), kind, spec)
+def read_merged(spark: SparkSession, root: str, kind: str, spec: PlatformSpec,
+                window: DateWindow | None = None) -> DataFrame:
+    """The current report from the partial table, optionally for a date window.
+
+    For inventory, the run rate of the window's first day needs the latest
+    earlier day of each series: earlier partials are merged and reduced to one
+    row per series (``latest_before``) and seed the window's lag."""
+    parts = read_partials(spark, root, kind).drop(MONTH)
+    if window is None:
+        return merge_partials(parts, kind, spec)
+    day = F.col(date_column(kind))
+    inside = parts.filter(window.contains(day))
+    if kind != "inventory":
+        return merge_partials(inside, kind, spec)
+    earlier = merge_rows(parts.filter(day < F.lit(window.start)), kind, spec)
+    return merge_partials(inside, kind, spec, last_snapshots=latest_before(earlier, window.start))
 
 
 def compact_month(spark: SparkSession, root: str, kind: str, spec: PlatformSpec, month: int) -> None:
