@@ -6,13 +6,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import dashboard as D
 from .operators.fulfillment import daily_min_price, fulfillment_report
 from .operators.inventory import inventory_report
 from .operators.sales import sales_report, sales_states, sales_strict
-from .session import apply_conf
+from .plans.backfill import backfill, refresh_strict_view
+from .plans.incremental import compact_month, partial_rows, read_merged, split_merge, write_batch
+from .session import apply_conf, scratch_path
 from .sources import fixtures as fx
+from .sources.report_io import read_report
+from .streaming.incremental import stream_report
+from .streaming.run_rate import current_run_rates, run_rate_stream
 from .specs import platform
 from .windows import DateWindow
 
@@ -142,14 +148,6 @@ def oracle_sql() -> dict[str, str]:
 # ------------------------------------------------------- tables and streams
 # These run a job into a fresh folder below the shared checkpoint root and
 # return the table read back, so the check compares what a reader would see.
-from .plans.backfill import backfill, refresh_strict_view  # noqa: E402
-from .plans.incremental import (compact_month, partial_rows, read_merged, split_merge,  # noqa: E402
-                                write_batch)
-from .session import scratch_path  # noqa: E402
-from .sources.report_io import read_report  # noqa: E402
-from .streaming.incremental import stream_report  # noqa: E402
-from .streaming.run_rate import current_run_rates, run_rate_stream  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 
 def _inputs(spark: SparkSession, sf_dir: str, kind: str, mkt: str):
