@@ -66,7 +66,8 @@ def inventory_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
 
 def daily_stock(lines: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per (tenant, item, facility, day); also merges partial daily rows."""
-    return rollup(lines, [*INV_KEYS, *extra_keys], INV_ANY, INV_SUM)
+    # Clustered by series: the run-rate window then needs no shuffle of its own.
+    return rollup(lines, [*INV_KEYS, *extra_keys], INV_ANY, INV_SUM, cluster_by=INV_SERIES)
 
 
 def _rated(daily: DataFrame) -> DataFrame:
