@@ -123,3 +123,25 @@ def test_windowed_read_of_incremental_inventory_seeds_the_lag(spark, dims):
     full = build_report("inventory", spec, f, cities_, cat)
     want = rows(full.filter(w.contains(F.col("reportdate"))))
     assert got == want and len(got) > 0
+
+
+# Property: any assignment of feed rows to loads merges to the batch report.
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_ROWS = [("A1", D(2026, 2, d % 3 + 1), "t1" if d % 4 else "t2", ["Soap", None, "Bar"][d % 3],
+          float(d % 5), 10.0 + d * 0.37, ["Pune", "Nowhere"][d % 2]) for d in range(24)]
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=3), min_size=len(_ROWS), max_size=len(_ROWS)))
+def test_any_split_into_loads_merges_to_batch(spark, assignment):
+    from rollwise.specs import BLINKIT
+    cities_, cat = cities(spark), catalogue(spark)
+    f = feed(spark, "blinkit", "sales", _ROWS)
+    batch = rows(build_report("sales", BLINKIT, f, cities_, cat))
+    parts = None
+    for load in sorted(set(assignment)):
+        sub = feed(spark, "blinkit", "sales", [r for r, a in zip(_ROWS, assignment) if a == load])
+        p = partial_rows("sales", sub, cities_, cat, BLINKIT)
+        parts = p if parts is None else parts.unionByName(p)
+    assert rows(merge_partials(parts, "sales", BLINKIT)) == batch
