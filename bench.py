@@ -61,7 +61,8 @@ def sf_of(path: str) -> float | str:
 
 
 def main() -> None:
-    spark = build_session(f"local[{CPUS}]", max(CPUS * 2, 8), app="rollwise-bench")
+    spark = build_session(f"local[{CPUS}]", max(CPUS * 2, 8), app="rollwise-bench",
+                          driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     spark.sparkContext.setLogLevel("ERROR")
     root = scratch_path(spark, "bench")
     times: dict[str, float] = {}

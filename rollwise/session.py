@@ -27,10 +27,15 @@ SQL_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app: str = "rollwise") -> SparkSession:
+                  app: str = "rollwise", driver_memory: str | None = None) -> SparkSession:
+    """A session for local runs (tests, bench, tools). In local mode the driver
+    JVM is the only executor, so its heap (``driver_memory``) is the memory knob;
+    it only applies when this call starts the JVM."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in SQL_CONF.items():
         builder = builder.config(k, v)

@@ -16,7 +16,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", 4, app="rollwise-tests")
+    s = build_session("local[4]", 4, app="rollwise-tests", driver_memory="4g")
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rollwise-test-ckpt-"))
