@@ -30,15 +30,18 @@ def _is_text(df: DataFrame, col: str) -> bool:
 
 
 def rollup(lines: DataFrame, keys: list[str], mins: list[str], sums: list[str],
-           cluster_by: list[str] | None = None) -> DataFrame:
+           cluster_by: list[str] | None = None, final: bool = True) -> DataFrame:
     """``cluster_by``: a subset of ``keys`` to hash-partition the reduced level-1
     rows by, when the next operator needs that clustering (e.g. a window over a
-    series): one shuffle then serves both level 2 and that operator."""
+    series): one shuffle then serves both level 2 and that operator.
+    ``final=False`` stops after level 1: rows of the report's schema that may
+    repeat a key (one per text variant) -- a valid partial, since merging runs
+    the full rollup again."""
     text = [c for c in mins if _is_text(lines, c)]
     values = [c for c in mins if c not in text]
     level1 = lines.groupBy(*keys, *text).agg(
         *[F.min(c).alias(c) for c in values], *[exact_sum(F.col(c)).alias(c) for c in sums])
-    if not text:
+    if not text or not final:
         return level1
     if cluster_by:
         level1 = level1.repartition(*cluster_by)

@@ -73,10 +73,12 @@ def sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
     return e.select(*[c.alias(n) for n, c in cols.items()], *carry)
 
 
-def rollup_sales(lines: DataFrame, spec: PlatformSpec, extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    """Group enriched lines (or partial rows: the same schema) into report rows."""
+def rollup_sales(lines: DataFrame, spec: PlatformSpec, extra_keys: tuple[str, ...] = (),
+                 final: bool = True) -> DataFrame:
+    """Group enriched lines (or partial rows: the same schema) into report rows;
+    ``final=False`` gives partial rows (see ``rollup``)."""
     mins = SALES_ANY + (["mrp"] if spec.sales.unit_price else [])
-    return (rollup(lines, [*SALES_KEYS, *extra_keys], mins, SALES_SUM)
+    return (rollup(lines, [*SALES_KEYS, *extra_keys], mins, SALES_SUM, final=final)
             .select(*sales_columns(spec), *extra_keys))
 
 

@@ -42,11 +42,15 @@ THROUGH = "through_batch"
 def partial_rows(kind: str, feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
                  spec: PlatformSpec, prices: DataFrame | None = None,
                  extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    """Partial rows of one load (``extra_keys``: feed columns kept as extra group keys)."""
+    """Partial rows of one load (``extra_keys``: feed columns kept as extra group keys).
+    Sales and inventory stop after the hash level of the rollup (one shuffle per
+    load); the merge on read finishes it."""
     if kind == "sales":
-        return rollup_sales(sales_lines(feed, cities, catalogue, spec, extra_keys), spec, extra_keys)
+        return rollup_sales(sales_lines(feed, cities, catalogue, spec, extra_keys), spec, extra_keys,
+                            final=False)
     if kind == "inventory":
-        return daily_stock(inventory_lines(feed, cities, catalogue, spec, extra_keys), extra_keys)
+        return daily_stock(inventory_lines(feed, cities, catalogue, spec, extra_keys), extra_keys,
+                           final=False)
     if kind == "fulfillment":
         return representative_line(fulfillment_lines(feed, cities, catalogue, spec, prices, extra_keys),
                                    spec, extra_keys)
