@@ -3,9 +3,10 @@
 Each takes the report (a lazily built one, or one read back with
 ``read_report`` so the month partitions are pruned), a tenant and an inclusive
 ``DateWindow``. The tenant and date predicates are on plain columns so
-Catalyst pushes them to the parquet scan; one partial + final aggregation
-follows. Group keys are the coalesced values (one 'Unknown' row), and sums are
-exact, so totals do not depend on partitioning.
+Catalyst pushes them to the parquet scan; a hash aggregation follows (per-item
+text attributes go through the two-level ``rollup``). Group keys are the
+coalesced values (one 'Unknown' row), and sums are exact, so totals do not
+depend on partitioning.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import exact_sum, platform_margin_row
 from ..windows import DateWindow
+from .rollup import rollup
 
 
 def _total(col: Column) -> Column:
@@ -22,6 +24,10 @@ def _total(col: Column) -> Column:
     return F.coalesce(exact_sum(col), F.lit(0.0))
 
 
+def _zero(col: Column) -> Column:
+    return F.coalesce(col, F.lit(0.0))
+
+
 def _scope(report: DataFrame, org: str, window: DateWindow | None) -> DataFrame:
     pred = F.col("organizationid") == F.lit(org)
     if window is not None:
@@ -49,17 +55,22 @@ def subcategory_list(catalogue: DataFrame, org: str) -> DataFrame:
 
 def item_pnl(report: DataFrame, org: str, window: DateWindow) -> DataFrame:
     """D3 (and D4 with ``window.shift_months(-1)``): per-item P&L."""
-    return (_scope(report, org, window)
-            .groupBy("itemid")
-            .agg(F.coalesce(F.min("productid"), F.lit("productid")).alias("productid"),
-                 F.coalesce(F.min("category"), F.lit("Uncategorised")).alias("category"),
-                 F.coalesce(F.min("subcategory"), F.lit("Uncategorised")).alias("subcategory"),
-                 F.coalesce(F.min("itemname"), F.lit("Unknown")).alias("itemname"),
-                 _total(F.col("gmv")).alias("mrp"),
-                 _total(F.col("qty")).alias("qty"),
-                 _total(F.col("taxes_paid")).alias("taxes"),
-                 _total(F.col("net")).alias("net_sales"),
-                 _total(platform_margin_row(F.col("gmv"), F.col("margin"))).alias("platform_margin"))
+    rows = _scope(report, org, window).select(
+        "itemid", "productid", "category", "subcategory", "itemname", "gmv", "qty", "taxes_paid", "net",
+        platform_margin_row(F.col("gmv"), F.col("margin")).alias("platform_margin"))
+    per_item = rollup(rows, ["itemid"], ["productid", "category", "subcategory", "itemname"],
+                      ["gmv", "qty", "taxes_paid", "net", "platform_margin"])
+    return (per_item.select(
+                "itemid",
+                F.coalesce(F.col("productid"), F.lit("productid")).alias("productid"),
+                F.coalesce(F.col("category"), F.lit("Uncategorised")).alias("category"),
+                F.coalesce(F.col("subcategory"), F.lit("Uncategorised")).alias("subcategory"),
+                F.coalesce(F.col("itemname"), F.lit("Unknown")).alias("itemname"),
+                _zero(F.col("gmv")).alias("mrp"),
+                _zero(F.col("qty")).alias("qty"),
+                _zero(F.col("taxes_paid")).alias("taxes"),
+                _zero(F.col("net")).alias("net_sales"),
+                _zero(F.col("platform_margin")).alias("platform_margin"))
             .orderBy("category", "subcategory", "itemname"))
 
 
@@ -69,10 +80,11 @@ def item_pnl_previous_month(report: DataFrame, org: str, window: DateWindow) ->
 
 
 def city_list(report: DataFrame, org: str) -> DataFrame:
-    """Distinct known cities of the tenant, sorted (no date window)."""
+    """Distinct known cities of the tenant, sorted (no date window). The
+    reference's ``MIN(x) ... GROUP BY x`` is ``x`` itself: a hash distinct."""
     return (report.filter((F.col("organizationid") == F.lit(org)) & F.col("brands_choice").isNotNull())
-            .groupBy("brands_choice").agg(F.min("brands_choice").alias("city"))
-            .select("city").orderBy("city"))
+            .select(F.col("brands_choice").alias("city")).distinct()
+            .orderBy("city"))
 
 
 def city_category_totals(report: DataFrame, org: str, window: DateWindow) -> DataFrame:
@@ -106,11 +118,11 @@ def city_sales_comparison(report: DataFrame, org: str, window: DateWindow) -> Da
 
 def item_sales(report: DataFrame, org: str, window: DateWindow) -> DataFrame:
     """Gmv by item with its smallest product id and name."""
-    return (_scope(report, org, window)
-            .groupBy("itemid")
-            .agg(F.min("productid").alias("productid"),
-                 F.coalesce(F.min("itemname"), F.lit("Unknown")).alias("itemname"),
-                 _total(F.col("gmv")).alias("sales"))
+    rows = _scope(report, org, window).select("itemid", "productid", "itemname", "gmv")
+    per_item = rollup(rows, ["itemid"], ["productid", "itemname"], ["gmv"])
+    return (per_item.select("itemid", "productid",
+                            F.coalesce(F.col("itemname"), F.lit("Unknown")).alias("itemname"),
+                            _zero(F.col("gmv")).alias("sales"))
             .orderBy("itemid"))
 
 
