@@ -83,9 +83,18 @@ def rollup_sales(lines: DataFrame, spec: PlatformSpec, extra_keys: tuple[str, ..
 
 
 def sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
-                 spec: PlatformSpec) -> DataFrame:
-    """R1-R3. Also the partial of one micro-batch: merging partials re-applies ``rollup_sales``."""
-    return rollup_sales(sales_lines(feed, cities, catalogue, spec), spec)
+                 spec: PlatformSpec, nulls: str = "default", partial: bool = False) -> DataFrame:
+    """R1-R3.
+
+    ``nulls="strict"``: the NULL-keeping variant (R10's columns and rules).
+    ``partial=True``: mergeable partial rows of one load (``rollup_sales`` merges them)."""
+    if nulls == "strict":
+        lines = strict_sales_lines(feed, cities, catalogue, spec)
+        return (rollup(lines, STRICT_KEYS, STRICT_ANY, SALES_SUM, final=not partial)
+                .select(*STRICT_REDSHIFT_COLUMNS))
+    if nulls != "default":
+        raise ValueError(f"nulls must be 'default' or 'strict', not {nulls!r}")
+    return rollup_sales(sales_lines(feed, cities, catalogue, spec), spec, final=not partial)
 
 
 # ----------------------------------------------------------- strict variants

@@ -88,3 +88,19 @@ def test_duplicate_dimension_rows_are_rejected(spark):
     with pytest.raises(DuplicateDimensionKeys):
         check_dimensions(cities(spark), cat, BLINKIT)
     check_dimensions(cities(spark), catalogue(spark), BLINKIT)
+
+
+def test_nulls_and_partial_options(spark):
+    f = blinkit(spark, [
+        ("A1", D(2026, 2, 2), "t1", "Soap", 1.0, 10.0, "Pune"),
+        ("A1", D(2026, 2, 2), "t1", None, 1.0, 20.0, "Pune"),
+    ])
+    strict = sales_report(f, cities(spark), catalogue(spark), BLINKIT, nulls="strict").collect()
+    assert [r.asDict() for r in strict] == [r.asDict() for r in sales_strict(f, cities(spark), catalogue(spark), BLINKIT).collect()]
+    part = sales_report(f, cities(spark), catalogue(spark), BLINKIT, partial=True)
+    assert part.count() == 2            # one row per item-name variant
+    from rollwise.operators.sales import rollup_sales
+    merged = rollup_sales(part, BLINKIT).collect()
+    assert len(merged) == 1 and merged[0]["gmv"] == 30.0 and merged[0]["itemname"] == "Soap"
+    with pytest.raises(ValueError):
+        sales_report(f, cities(spark), catalogue(spark), BLINKIT, nulls="lenient")
