@@ -38,19 +38,23 @@ def _inputs(spark, kind, mkt):
 def test_merged_increments_equal_batch_in_any_order(spark, dims, kind, mkt):
     cities_, cat = dims
     f, prices = _inputs(spark, kind, mkt)
+    f = f.cache()
     spec = platform(mkt)
     batch = rows(build_report(kind, spec, f, cities_, cat, prices))
     load = F.pmod(F.xxhash64(*f.columns), F.lit(3))
-    parts = [partial_rows(kind, f.filter(load == i), cities_, cat, spec, prices) for i in range(3)]
+    parts = [partial_rows(kind, f.filter(load == i), cities_, cat, spec, prices).cache() for i in range(3)]
     for order in itertools.islice(itertools.permutations(range(3)), 0, 6, 2):
         union = parts[order[0]].unionByName(parts[order[1]]).unionByName(parts[order[2]])
         assert rows(merge_partials(union, kind, spec)) == batch
+    for p in parts:
+        p.unpersist()
+    f.unpersist()
 
 
 def test_backfill_twice_equals_once_and_month_rebuild_keeps_table(spark, dims):
     cities_, cat = dims
     spec = platform("blinkit")
-    f = fx.inventory_feed(spark, SF_SMALL, "blinkit")
+    f = fx.inventory_feed(spark, SF_SMALL, "blinkit").cache()
     out = scratch_path(spark, "test-backfill")
     backfill(spark, "inventory", spec, f, cities_, cat, out)
     once = rows(read_report(spark, out, "inventory"))
@@ -63,7 +67,7 @@ def test_backfill_twice_equals_once_and_month_rebuild_keeps_table(spark, dims):
 def test_compaction_changes_nothing_and_replay_overwrites(spark, dims):
     cities_, cat = dims
     spec = platform("instamart")
-    f = fx.sales_feed(spark, SF_SMALL, "instamart")
+    f = fx.sales_feed(spark, SF_SMALL, "instamart").cache()
     root = scratch_path(spark, "test-partials")
     load = F.pmod(F.xxhash64(*f.columns), F.lit(2))
     for i in range(2):
