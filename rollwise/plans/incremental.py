@@ -109,8 +109,13 @@ def _compacted(spark: SparkSession, root: str) -> DataFrame | None:
 
 def read_partials(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """All partial rows of the table: compacted months + batches not yet in them."""
-    batches = read_batches(spark, root, kind)
     comp = _compacted(spark, root)
+    try:
+        batches = read_batches(spark, root, kind)
+    except Exception:  # only backfilled months so far
+        if comp is None:
+            raise
+        return comp.drop(THROUGH)
     if comp is None:
         return batches.drop(BATCH)
     # One row per compacted month: bounded by the number of months, safe to broadcast.
@@ -158,6 +163,32 @@ def compact_month(spark: SparkSession, root: str, kind: str, spec: PlatformSpec,
      .partitionBy(MONTH).parquet(f"{root.rstrip('/')}/compacted"))
 
 
+def backfill_months(spark: SparkSession, root: str, kind: str, spec: PlatformSpec, feed: DataFrame,
+                    cities: DataFrame, catalogue: DataFrame, months: tuple[int, int],
+                    prices: DataFrame | None = None) -> None:
+    """I6 into an incremental table: recompute months first..last (yyyymm) from
+    the feed and write them as the months' merged rows, superseding every batch
+    written so far for them (high-water = the current largest batch id).
+
+    Meant for closed months: rows of those months that a stream loads *after*
+    this call (batch id above the mark) are added on top, so the feed read here
+    must not contain them."""
+    first = dt.date(months[0] // 100, months[0] % 100, 1)
+    last_month = dt.date(months[1] // 100, months[1] % 100, 1)
+    last = dt.date(last_month.year + last_month.month // 12, last_month.month % 12 + 1, 1) - dt.timedelta(days=1)
+    try:
+        hw = read_batches(spark, root, kind).agg(F.max(BATCH)).first()[0]
+    except Exception:  # no batch yet
+        hw = None
+    hw = -1 if hw is None else int(hw)
+    day = F.to_date(F.col(getattr(spec, kind).date))
+    rows = merge_rows(partial_rows(kind, feed.filter(day.between(F.lit(first), F.lit(last))),
+                                   cities, catalogue, spec, prices), kind, spec)
+    (clustered(rows.withColumn(THROUGH, F.lit(hw)), kind).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy(MONTH).parquet(f"{root.rstrip('/')}/compacted"))
+
+
 def months_of(df: DataFrame, kind: str) -> list[int]:
     """Distinct months present (one small aggregate; bounded by the calendar)."""
     return sorted(r[0] for r in df.select(F.date_format(F.col(date_column(kind)), "yyyyMM")
