@@ -88,3 +88,21 @@ def test_colocated_sink_is_bucketed_by_item(spark):
     text = plan_text(t.groupBy("itemid").count())
     assert "Exchange" not in text.split("== Physical Plan ==")[1].split("\n\n")[0]
     spark.sql("DROP TABLE strict_view_test")
+
+
+def test_dimension_join_beyond_the_bound_is_sort_merge_with_same_rows(spark):
+    from rollwise.operators.enrich import enrich
+    from .conftest import rows
+    f = fx.sales_feed(spark, SF_SMALL, "blinkit")
+    c, k = fx.city_mapping(spark, SF_SMALL), fx.catalogue(spark, SF_SMALL)
+    spec = platform("blinkit")
+    small = enrich(f, c, k, spec, city_col="cityName", item_col="itemId")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = enrich(f, c, k, spec, city_col="cityName", item_col="itemId", broadcast_rows=0)
+        text = plan_text(big)
+        assert "SortMergeJoin LeftOuter" in text and "BroadcastHashJoin LeftOuter" not in text
+        assert rows(big) == rows(small)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
