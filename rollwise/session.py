@@ -8,8 +8,10 @@ the bench) do we pick a folder of our own and register it.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -72,9 +74,37 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "rollwise", *parts, uuid.uuid4().hex])
 
 
+_shipped: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rollwise`` importable in the Python workers, as ``--py-files`` does:
+    the package is zipped once per Spark context and added with ``addPyFile``.
+    Needed where worker-side Python of this package runs (the run-rate state
+    function); a cluster that already installs the package can skip it."""
+    sc = spark.sparkContext
+    if id(sc) in _shipped:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = checkpoint_root(spark)
+    stage = local_path(root) if "://" not in local_path(root) else tempfile.gettempdir()
+    folder = os.path.join(stage, "rollwise", "pyfiles", uuid.uuid4().hex)
+    os.makedirs(folder, exist_ok=True)
+    zpath = os.path.join(folder, "rollwise.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _shipped.add(id(sc))
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for code that needs a plain local path (tests)."""
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "apply_conf", "checkpoint_root", "scratch_path", "local_path", "SQL_CONF"]
+__all__ = ["build_session", "apply_conf", "checkpoint_root", "scratch_path", "local_path", "ship_package",
+           "SQL_CONF"]

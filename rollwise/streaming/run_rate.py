@@ -31,6 +31,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.measures import MICRO, micro_units
 from ..operators.inventory import INV_SERIES, inventory_lines
+from ..session import ship_package
 from ..specs import PlatformSpec
 
 # Spark's Arrow serializer concatenates the per-group frames; pandas warns about
@@ -88,6 +89,7 @@ def advance_series(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterato
 def run_rate_stream(spark: SparkSession, spec: PlatformSpec, feed_path: str, feed_schema: StructType,
                     cities: DataFrame, catalogue: DataFrame, out: str, checkpoint: str,
                     max_files_per_trigger: int = 1, available_now: bool = True) -> StreamingQuery:
+    ship_package(spark)   # the state function below runs in Python workers
     src = (spark.readStream.schema(feed_schema)
            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(feed_path))
     lines = inventory_lines(src, cities, catalogue, spec).select(

@@ -106,3 +106,17 @@ def test_dimension_join_beyond_the_bound_is_sort_merge_with_same_rows(spark):
         assert rows(big) == rows(small)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_package_is_shipped_to_python_workers_once(spark):
+    import glob
+    import os
+    from rollwise.session import _shipped, checkpoint_root, local_path, ship_package
+    ship_package(spark)
+    ship_package(spark)
+    assert id(spark.sparkContext) in _shipped
+    zips = glob.glob(os.path.join(local_path(checkpoint_root(spark)), "rollwise", "pyfiles", "*", "rollwise.zip"))
+    assert len(zips) == 1
+    import zipfile
+    names = zipfile.ZipFile(zips[0]).namelist()
+    assert "rollwise/streaming/run_rate.py" in names and "rollwise/session.py" in names
