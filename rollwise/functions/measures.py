@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .defaults import PERCENT
+
 # Sums are kept in integer micro-units: each row is rounded half-up to 1e-6,
 # the integers are added, and the total is turned back into a double. The
 # result no longer depends on the order in which partitions, micro-batches or
@@ -51,17 +53,17 @@ def safe_div(num: Column, den: Column) -> Column:
 
 def net_sales(gmv: Column, margin_pct: Column, tax_pct: Column) -> Column:
     """M1: gmv * (1 - margin/100) / (1 + tax/100)."""
-    return safe_div(gmv * (F.lit(1) - margin_pct / F.lit(100)), F.lit(1) + tax_pct / F.lit(100))
+    return safe_div(gmv * (F.lit(1) - margin_pct / F.lit(PERCENT)), F.lit(1) + tax_pct / F.lit(PERCENT))
 
 
 def taxes_paid(gmv: Column, margin_pct: Column, tax_pct: Column) -> Column:
     """M2: net_sales * tax/100."""
-    return net_sales(gmv, margin_pct, tax_pct) * (tax_pct / F.lit(100))
+    return net_sales(gmv, margin_pct, tax_pct) * (tax_pct / F.lit(PERCENT))
 
 
 def platform_margin_row(gmv: Column, margin_pct: Column) -> Column:
     """M3 per row: gmv * coalesce(margin, 0) / 100 (summed by the caller)."""
-    return gmv * F.coalesce(margin_pct, F.lit(0.0)) / F.lit(100.0)
+    return gmv * F.coalesce(margin_pct, F.lit(0.0)) / F.lit(float(PERCENT))
 
 
 def unit_price(revenue: Column, quantity: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import exact_sum, platform_margin_row
+from ..functions.defaults import MISSING_PRODUCT_ID, UNCATEGORISED, UNKNOWN
 from ..windows import DateWindow
 from .rollup import rollup
 
@@ -42,7 +43,7 @@ def _or(col: str, default: str) -> Column:
 def brand_daily_sales(report: DataFrame, org: str, window: DateWindow) -> DataFrame:
     """Gmv by brand x day."""
     return (_scope(report, org, window)
-            .groupBy(_or("brand", "Unknown").alias("brand"), F.col("reportdate").alias("date"))
+            .groupBy(_or("brand", UNKNOWN).alias("brand"), F.col("reportdate").alias("date"))
             .agg(_total(F.col("gmv")).alias("total_sales"))
             .orderBy("date"))
 
@@ -62,10 +63,10 @@ def item_pnl(report: DataFrame, org: str, window: DateWindow) -> DataFrame:
                       ["gmv", "qty", "taxes_paid", "net", "platform_margin"])
     return (per_item.select(
                 "itemid",
-                F.coalesce(F.col("productid"), F.lit("productid")).alias("productid"),
-                F.coalesce(F.col("category"), F.lit("Uncategorised")).alias("category"),
-                F.coalesce(F.col("subcategory"), F.lit("Uncategorised")).alias("subcategory"),
-                F.coalesce(F.col("itemname"), F.lit("Unknown")).alias("itemname"),
+                F.coalesce(F.col("productid"), F.lit(MISSING_PRODUCT_ID)).alias("productid"),
+                F.coalesce(F.col("category"), F.lit(UNCATEGORISED)).alias("category"),
+                F.coalesce(F.col("subcategory"), F.lit(UNCATEGORISED)).alias("subcategory"),
+                F.coalesce(F.col("itemname"), F.lit(UNKNOWN)).alias("itemname"),
                 _zero(F.col("gmv")).alias("mrp"),
                 _zero(F.col("qty")).alias("qty"),
                 _zero(F.col("taxes_paid")).alias("taxes"),
@@ -90,7 +91,7 @@ def city_list(report: DataFrame, org: str) -> DataFrame:
 def city_category_totals(report: DataFrame, org: str, window: DateWindow) -> DataFrame:
     """Gmv and quantity by city x category."""
     return (_scope(report, org, window)
-            .groupBy(_or("brands_choice", "Unknown").alias("city"), _or("category", "Unknown").alias("category"))
+            .groupBy(_or("brands_choice", UNKNOWN).alias("city"), _or("category", UNKNOWN).alias("category"))
             .agg(_total(F.col("gmv")).alias("total_mrp"), _total(F.col("qty")).alias("total_qty"))
             .orderBy("city", "category"))
 
@@ -98,8 +99,8 @@ def city_category_totals(report: DataFrame, org: str, window: DateWindow) -> Dat
 def city_category_daily(report: DataFrame, org: str, window: DateWindow) -> DataFrame:
     """Gmv by city x category x day."""
     return (_scope(report, org, window)
-            .groupBy(_or("brands_choice", "Unknown").alias("city"),
-                     _or("category", "Unknown").alias("category"), F.col("reportdate"))
+            .groupBy(_or("brands_choice", UNKNOWN).alias("city"),
+                     _or("category", UNKNOWN).alias("category"), F.col("reportdate"))
             .agg(_total(F.col("gmv")).alias("total_mrp"))
             .orderBy("city", "category", "reportdate"))
 
@@ -107,7 +108,7 @@ def city_category_daily(report: DataFrame, org: str, window: DateWindow) -> Data
 def city_sales(report: DataFrame, org: str, window: DateWindow) -> DataFrame:
     """D8 (and D9 on an earlier window): gmv by city."""
     return (_scope(report, org, window)
-            .groupBy(_or("brands_choice", "Unknown").alias("city"))
+            .groupBy(_or("brands_choice", UNKNOWN).alias("city"))
             .agg(_total(F.col("gmv")).alias("sales")))
 
 
@@ -121,7 +122,7 @@ def item_sales(report: DataFrame, org: str, window: DateWindow) -> DataFrame:
     rows = _scope(report, org, window).select("itemid", "productid", "itemname", "gmv")
     per_item = rollup(rows, ["itemid"], ["productid", "itemname"], ["gmv"])
     return (per_item.select("itemid", "productid",
-                            F.coalesce(F.col("itemname"), F.lit("Unknown")).alias("itemname"),
+                            F.coalesce(F.col("itemname"), F.lit(UNKNOWN)).alias("itemname"),
                             _zero(F.col("gmv")).alias("sales"))
             .orderBy("itemid"))
 
@@ -129,7 +130,7 @@ def item_sales(report: DataFrame, org: str, window: DateWindow) -> DataFrame:
 def daily_category_totals(report: DataFrame, org: str, window: DateWindow) -> DataFrame:
     """D11 (and D12 shifted back a month): gmv, quantity and net by day x category."""
     return (_scope(report, org, window)
-            .groupBy(F.col("reportdate"), _or("category", "Uncategorised").alias("category"))
+            .groupBy(F.col("reportdate"), _or("category", UNCATEGORISED).alias("category"))
             .agg(_total(F.col("gmv")).alias("total_mrp"), _total(F.col("qty")).alias("total_qty"),
                  _total(F.col("net")).alias("net_sales"))
             .orderBy("reportdate", "category"))

@@ -12,18 +12,15 @@ A12): pre-aggregated first, then left-joined on (sku, day).
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import fill_rate, po_amount, received_quantity, zero_if_null
+from ..functions.defaults import NO_DATE, UNKNOWN
 from ..plans.broadcast import broadcast_if_small
 from ..specs import PlatformSpec
 from .enrich import CITY, SKU, enrich, sku_key
 
-UNKNOWN = "Unknown"
-EPOCH = dt.date(1970, 1, 1)
 
 FUL_KEYS = ["itemid", "ponumber", "po_status", "brand_internal_sku_code", "brands_choice",
             "organizationid", "orderdate"]
@@ -52,7 +49,7 @@ def daily_min_price(sales_feed: DataFrame, spec: PlatformSpec) -> DataFrame:
 
 
 def _date_or_epoch(c: Column) -> Column:
-    return F.coalesce(F.to_date(c), F.lit(EPOCH))
+    return F.coalesce(F.to_date(c), F.lit(NO_DATE))
 
 
 def fulfillment_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame, spec: PlatformSpec,
@@ -90,7 +87,7 @@ def fulfillment_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
         "productid": F.coalesce(F.col(SKU + "productid"), F.lit(UNKNOWN)),
         "mrp": price,
         "appointmentdate": _date_or_epoch(F.col(s.appointment)),
-        "expirydate": _date_or_epoch(F.col(s.expiry)) if s.expiry else F.lit(EPOCH),
+        "expirydate": _date_or_epoch(F.col(s.expiry)) if s.expiry else F.lit(NO_DATE),
         "backendfacilityname": F.coalesce(F.col(s.facility), F.lit(UNKNOWN)),
         "quantity": ordered,
         "grn_quantity": received,

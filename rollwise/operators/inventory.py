@@ -14,11 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import depletion, zero_if_null
+from ..functions.defaults import UNKNOWN
 from ..specs import PlatformSpec
 from .enrich import CITY, SKU, enrich, sku_key
 from .rollup import rollup
 
-UNKNOWN = "Unknown"
 INV_KEYS = ["organizationid", "itemid", "backendfacilityname", "reportdate"]
 INV_SERIES = ["organizationid", "itemid", "backendfacilityname"]
 INV_ANY = ["itemname", "productid", "category", "subcategory", "brand",

@@ -12,12 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import net_sales, taxes_paid, to_double, unit_price, zero_if_null
+from ..functions.defaults import UNKNOWN
 from ..specs import PlatformSpec
 from .enrich import CITY, SKU, enrich, sku_key
 from .rollup import rollup
 
-UNKNOWN = "Unknown"
-
 SALES_KEYS = ["organizationid", "reportdate", "itemid", "brands_choice"]
 SALES_ANY = ["category", "subcategory", "brand", "productid", "itemname",
              "brand_internal_sku_code", "cogs", "margin", "tax_rate", "active"]

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from .functions.defaults import BLINKIT_INVENTORY_NO_PRODUCT_ID, UNKNOWN
+
 
 @dataclass(frozen=True)
 class SalesCols:
@@ -36,7 +38,7 @@ class InventoryCols:
     front_in_total: bool              # total = front + back (blinkit) or back only
     category_fallback: str | None = None
     brand_fallback: str | None = None
-    productid_default: str = "Unknown"
+    productid_default: str = UNKNOWN
 
 
 @dataclass(frozen=True)
@@ -79,7 +81,8 @@ BLINKIT = PlatformSpec(
                     city="cityName", unit_price=None),
     inventory=InventoryCols(item="itemId", facility="backendFacilityName", date="reportDate",
                             name="itemName", city="backendFacilityName", backend="backendInvQty",
-                            frontend="frontendInvQty", front_in_total=True, productid_default=""),
+                            frontend="frontendInvQty", front_in_total=True,
+                            productid_default=BLINKIT_INVENTORY_NO_PRODUCT_ID),
     fulfillment=FulfillmentCols(item="itemId", po="poNumber", status="poState", date="orderDate",
                                 name="name", facility="facilityName", city="facilityName",
                                 ordered="unitsOrdered", remaining="remainingQuantity", received=None,
