@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from .. import schemas
 from ..operators.enrich import check_dimensions
 from ..operators.fulfillment import daily_min_price
 from ..plans.incremental import partial_rows, write_batch
@@ -33,7 +34,7 @@ def _prices_for(batch: DataFrame, spec: PlatformSpec, sales_feed: DataFrame) ->
 
 
 def stream_report(spark: SparkSession, kind: str, spec: PlatformSpec, feed_path: str,
-                  feed_schema: StructType, cities: DataFrame, catalogue: DataFrame, root: str,
+                  feed_schema: StructType | None, cities: DataFrame, catalogue: DataFrame, root: str,
                   checkpoint: str, sales_feed: DataFrame | None = None,
                   max_files_per_trigger: int = 1, available_now: bool = True,
                   processing_time: str | None = None, check_dims: bool = True) -> StreamingQuery:
@@ -48,7 +49,8 @@ def stream_report(spark: SparkSession, kind: str, spec: PlatformSpec, feed_path:
             prices = _prices_for(batch, spec, sales_feed)
         write_batch(partial_rows(kind, batch, cities, catalogue, spec, prices), root, kind, batch_id)
 
-    src = (spark.readStream.schema(feed_schema)
+    schema = feed_schema or schemas.feed_schema(spec.name, kind)   # declared, never inferred
+    src = (spark.readStream.schema(schema)
            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(feed_path))
     w = src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if processing_time:

@@ -29,6 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from .. import schemas
 from ..functions.measures import MICRO, micro_units
 from ..operators.inventory import INV_SERIES, inventory_lines
 from ..session import ship_package
@@ -86,11 +87,12 @@ def advance_series(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterato
         yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT_SCHEMA.split(", ")])
 
 
-def run_rate_stream(spark: SparkSession, spec: PlatformSpec, feed_path: str, feed_schema: StructType,
+def run_rate_stream(spark: SparkSession, spec: PlatformSpec, feed_path: str, feed_schema: StructType | None,
                     cities: DataFrame, catalogue: DataFrame, out: str, checkpoint: str,
                     max_files_per_trigger: int = 1, available_now: bool = True) -> StreamingQuery:
     ship_package(spark)   # the state function below runs in Python workers
-    src = (spark.readStream.schema(feed_schema)
+    schema = feed_schema or schemas.feed_schema(spec.name, "inventory")   # declared, never inferred
+    src = (spark.readStream.schema(schema)
            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(feed_path))
     lines = inventory_lines(src, cities, catalogue, spec).select(
         *INV_SERIES, "reportdate",

@@ -171,3 +171,16 @@ def test_backfill_months_into_a_streamed_table(spark, dims):
     write_batch(partial_rows("sales", f.filter(~feb & (load == 1)), cities_, cat, spec), root, "sales", 2)
     assert rows(read_merged(spark, root, "sales", spec)) == rows(build_report("sales", spec, f, cities_, cat))
     f.unpersist()
+
+
+def test_stream_reads_with_the_declared_feed_schema(spark, dims):
+    from rollwise.streaming.incremental import stream_report
+    cities_, cat = dims
+    spec = platform("instamart")
+    f = fx.sales_feed(spark, SF_SMALL, "instamart")
+    base = scratch_path(spark, "test-declared-schema")
+    f.repartition(2).write.parquet(base + "/feed")
+    q = stream_report(spark, "sales", spec, base + "/feed", None, cities_, cat, base + "/t", base + "/c",
+                      max_files_per_trigger=1)
+    q.awaitTermination()
+    assert rows(read_merged(spark, base + "/t", "sales", spec)) == rows(build_report("sales", spec, f, cities_, cat))
