@@ -46,15 +46,16 @@ def base(mkt: str) -> str:
     WHERE l.l_returnflag = '{FLAG[mkt]}'"""
 
 
-TENANTS = "(VALUES ('org-0'), ('org-1'), ('org-2')) AS t(org)"
+TENANTS = "unnest(['org-0', 'org-1', 'org-2'])"
 
 CITY_MAP = f"""
-    SELECT t.org AS organizationid, n.n_name AS city, r.r_name AS brand_s_choice
-    FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey CROSS JOIN {TENANTS}
+    SELECT {TENANTS} AS organizationid, n.n_name AS city, r.r_name AS brand_s_choice
+    FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
     WHERE n.n_nationkey % 6 <> 5"""
 
 CATALOGUE = f"""
-    SELECT t.org AS organizationid,
+    SELECT * FROM (
+    SELECT {TENANTS} AS organizationid,
            'SKU-' || CAST(p.p_partkey AS VARCHAR) AS sku_code,
            'PRID-' || CAST(p.p_partkey AS VARCHAR) AS blinkit_prid,
            'IMC-' || CAST(p.p_partkey AS VARCHAR) AS instamart_item_code,
@@ -65,10 +66,10 @@ CATALOGUE = f"""
            CAST(p.p_retailprice AS VARCHAR) AS cogs,
            CASE p.p_partkey % 3 WHEN 0 THEN '5' WHEN 1 THEN '12' ELSE '18' END AS taxes,
            CASE WHEN p.p_partkey = 4 THEN NULL ELSE CAST(5 + p.p_partkey AS DOUBLE) END AS margin,
-           CAST(p.p_partkey % 2 AS BIGINT) AS active
-    FROM part p CROSS JOIN {TENANTS}
-    WHERE p.p_partkey < 10 AND p.p_partkey <> 7
-      AND NOT (t.org = 'org-2' AND p.p_partkey IN (8, 9))"""
+           CAST(p.p_partkey % 2 AS BIGINT) AS active, p.p_partkey
+    FROM part p
+    WHERE p.p_partkey < 10 AND p.p_partkey <> 7)
+    WHERE NOT (organizationid = 'org-2' AND p_partkey IN (8, 9))"""
 
 PRODUCTID = {"blinkit": "blinkit_prid", "instamart": "instamart_item_code", "zepto": "sku_code"}
 

@@ -187,9 +187,3 @@ def backfill_months(spark: SparkSession, root: str, kind: str, spec: PlatformSpe
     (clustered(rows.withColumn(THROUGH, F.lit(hw)), kind).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(MONTH).parquet(f"{root.rstrip('/')}/compacted"))
-
-
-def months_of(df: DataFrame, kind: str) -> list[int]:
-    """Distinct months present (one small aggregate; bounded by the calendar)."""
-    return sorted(r[0] for r in df.select(F.date_format(F.col(date_column(kind)), "yyyyMM")
-                                           .cast("int").alias("m")).distinct().collect())
