@@ -144,15 +144,23 @@ def read_merged(spark: SparkSession, root: str, kind: str, spec: PlatformSpec,
     return merge_partials(inside, kind, spec, last_snapshots=latest_before(earlier, window.start))
 
 
-def compact_month(spark: SparkSession, root: str, kind: str, spec: PlatformSpec, month: int) -> None:
-    """Rewrite one month's batches as merged rows (dynamic partition overwrite).
+def _month_bounds(first_month: int, last_month: int) -> tuple[dt.date, dt.date]:
+    first = dt.date(first_month // 100, first_month % 100, 1)
+    last_first = dt.date(last_month // 100, last_month % 100, 1)
+    nxt = dt.date(last_first.year + last_first.month // 12, last_first.month % 12 + 1, 1)
+    return first, nxt - dt.timedelta(days=1)
+
+
+def compact_months(spark: SparkSession, root: str, kind: str, spec: PlatformSpec,
+                   first_month: int, last_month: int) -> None:
+    """I5 for a month range in one job: the range's batches are read once (a
+    date-range predicate, pushed to the parquet scan), merged, and written as the
+    months' compacted rows (dynamic partition overwrite).
 
     The high-water batch id is fixed first, so batches landing meanwhile stay
     visible to readers as later batches."""
-    first = dt.date(int(month) // 100, int(month) % 100, 1)
-    last = dt.date(first.year + first.month // 12, first.month % 12 + 1, 1) - dt.timedelta(days=1)
+    first, last = _month_bounds(first_month, last_month)
     day = F.col(date_column(kind))
-    # A date-range predicate (pushed to the parquet scan) rather than the derived month.
     batches = read_batches(spark, root, kind).filter(day.between(F.lit(first), F.lit(last)))
     hw = batches.agg(F.max(BATCH)).first()[0]
     if hw is None:
@@ -163,6 +171,11 @@ def compact_month(spark: SparkSession, root: str, kind: str, spec: PlatformSpec,
      .partitionBy(MONTH).parquet(f"{root.rstrip('/')}/compacted"))
 
 
+def compact_month(spark: SparkSession, root: str, kind: str, spec: PlatformSpec, month: int) -> None:
+    """Rewrite one month's batches as merged rows."""
+    compact_months(spark, root, kind, spec, month, month)
+
+
 def backfill_months(spark: SparkSession, root: str, kind: str, spec: PlatformSpec, feed: DataFrame,
                     cities: DataFrame, catalogue: DataFrame, months: tuple[int, int],
                     prices: DataFrame | None = None) -> None:
@@ -173,9 +186,7 @@ def backfill_months(spark: SparkSession, root: str, kind: str, spec: PlatformSpe
     Meant for closed months: rows of those months that a stream loads *after*
     this call (batch id above the mark) are added on top, so the feed read here
     must not contain them."""
-    first = dt.date(months[0] // 100, months[0] % 100, 1)
-    last_month = dt.date(months[1] // 100, months[1] % 100, 1)
-    last = dt.date(last_month.year + last_month.month // 12, last_month.month % 12 + 1, 1) - dt.timedelta(days=1)
+    first, last = _month_bounds(*months)
     try:
         hw = read_batches(spark, root, kind).agg(F.max(BATCH)).first()[0]
     except Exception:  # no batch yet

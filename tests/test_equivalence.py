@@ -79,6 +79,9 @@ def test_compaction_changes_nothing_and_replay_overwrites(spark, dims):
     for m in (199802, 199601, 199705):
         compact_month(spark, root, "sales", spec, m)
     assert rows(read_merged(spark, root, "sales", spec)) == before
+    from rollwise.plans.incremental import compact_months
+    compact_months(spark, root, "sales", spec, 199501, 199812)   # a range, one job
+    assert rows(read_merged(spark, root, "sales", spec)) == before
     assert before == rows(build_report("sales", spec, f, cities_, cat))
 
 
