@@ -44,6 +44,7 @@ OUTPUT_SCHEMA = (
     "backendinvqty double, total_quantity double, run_rate_backend double, run_rate_total double, "
     "seq long, late boolean"
 )
+OUTPUT_COLUMNS = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
 STATE_SCHEMA = (
     "prev_date date, prev_back long, prev_total long, "
     "cur_date date, cur_back long, cur_total long, seq long"
@@ -55,14 +56,25 @@ def _rate(prev_units: int | None, cur_units: int) -> float:
     return max(prev - cur_units / MICRO, 0.0)
 
 
+_SMALL_CHUNK = 256   # below this, a plain loop beats a pandas groupby call
+
+
+def _add_chunk(sums: dict, pdf: pd.DataFrame) -> None:
+    if len(pdf) <= _SMALL_CHUNK:
+        rows = zip(pdf["reportdate"].tolist(), pdf["back_u"].tolist(), pdf["total_u"].tolist())
+    else:
+        g = pdf.groupby("reportdate", sort=False)[["back_u", "total_u"]].sum()
+        rows = zip(g.index.tolist(), g["back_u"].tolist(), g["total_u"].tolist())
+    for d, b, t in rows:
+        acc = sums.setdefault(d, [0, 0])
+        acc[0] += int(b)
+        acc[1] += int(t)
+
+
 def advance_series(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     sums: dict = {}
     for pdf in chunks:
-        g = pdf.groupby("reportdate", sort=False)[["back_u", "total_u"]].sum()
-        for d, b, t in zip(g.index, g["back_u"], g["total_u"]):
-            acc = sums.setdefault(d, [0, 0])
-            acc[0] += int(b)
-            acc[1] += int(t)
+        _add_chunk(sums, pdf)
     if state.exists:
         prev_date, prev_b, prev_t, cur_date, cur_b, cur_t, seq = state.get
     else:
@@ -84,7 +96,7 @@ def advance_series(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterato
                     _rate(prev_b, cur_b), _rate(prev_t, cur_t), seq, False))
     state.update((prev_date, prev_b, prev_t, cur_date, cur_b, cur_t, seq))
     if out:
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT_SCHEMA.split(", ")])
+        yield pd.DataFrame(out, columns=OUTPUT_COLUMNS)
 
 
 def run_rate_stream(spark: SparkSession, spec: PlatformSpec, feed_path: str, feed_schema: StructType | None,
