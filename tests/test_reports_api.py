@@ -22,3 +22,17 @@ def test_named_builders_match_registered_queries(spark):
     ]
     for df, key in pairs:
         assert rows(df) == rows(q[key](spark, SF_SMALL))
+
+
+def test_named_incremental_load_merges_to_the_batch_report(spark):
+    from rollwise.plans.backfill import build_report
+    from rollwise.plans.incremental import read_merged
+    from rollwise.session import scratch_path
+    from rollwise.specs import ZEPTO
+    c, k = fx.city_mapping(spark, SF_SMALL), fx.catalogue(spark, SF_SMALL)
+    f = fx.inventory_feed(spark, SF_SMALL, "zepto")
+    base = scratch_path(spark, "test-named-stream")
+    f.repartition(3).write.parquet(base + "/feed")
+    q = reports.incremental_inventory(spark, "zepto", base + "/feed", None, c, k, base + "/t", base + "/c")
+    q.awaitTermination()
+    assert rows(read_merged(spark, base + "/t", "inventory", ZEPTO)) == rows(build_report("inventory", ZEPTO, f, c, k))
