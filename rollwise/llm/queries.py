@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import knn, langid, packing, secrets, token_counts
+from . import jaccard, knn, langid, packing, secrets, token_counts
 from .common import count_kind, of_kinds, prepare, sha256, spans_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         sha256(spans_text(base)).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"))
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -43,7 +48,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_secrets, op3_top_k, op4_packing, op7_language, op10_token_counts)}
+    return {f.__name__: f for f in (op1_secrets, op2_jaccard, op3_top_k, op4_packing, op7_language, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
