@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, knn, langid, packing, secrets, token_counts
+from . import jaccard, knn, langid, packing, repeats, secrets, token_counts
 from .common import count_kind, of_kinds, prepare, sha256, spans_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,12 +43,17 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_secrets, op2_jaccard, op3_top_k, op4_packing, op7_language, op10_token_counts)}
+    return {f.__name__: f for f in (op1_secrets, op2_jaccard, op3_top_k, op4_packing, op7_language, op9_repeats, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
