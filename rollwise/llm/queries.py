@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, knn, langid, packing, repeats, secrets, token_counts
+from . import contamination, jaccard, knn, langid, lines, packing, pii, repeats, secrets, token_counts
 from .common import count_kind, of_kinds, prepare, sha256, spans_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,39 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_item", "n_shared")
+
+
+OP5_SQL = r"""
+WITH word AS (
+    SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents
+    UNION ALL
+    SELECT 'b', item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') FROM benchmark
+), place AS (
+    SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM word WHERE len(w) >= 5
+), shingle AS (
+    SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS s FROM place
+), size AS (
+    SELECT id, count(*) AS n FROM shingle WHERE kind = 'b' GROUP BY id
+), shared AS (
+    SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n FROM shingle d JOIN shingle b ON d.s = b.s AND d.kind = 'd' AND b.kind = 'b'
+    GROUP BY d.id, b.id
+)
+SELECT doc_id, item_id, size.n AS n_item, shared.n AS n_shared FROM shared JOIN size ON size.id = item_id
+WHERE shared.n * 100 >= size.n * 80
+"""
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    base = of_kinds(F.col("spans"), pii.KINDS)
+    return found.select(
+        F.col("id").alias("doc_id"), *(count_kind(F.col("spans"), k).alias(f"n_{k}") for k in pii.KINDS),
+        sha256(spans_text(base)).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
@@ -43,6 +76,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -53,8 +90,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_secrets, op2_jaccard, op3_top_k, op4_packing, op7_language, op9_repeats, op10_token_counts)}
+    return {f.__name__: f for f in (op1_secrets, op2_jaccard, op3_top_k, op4_packing, op5_contamination, op6_personal_data, op7_language, op8_lines, op9_repeats, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_contamination": OP5_SQL}
