@@ -32,7 +32,7 @@ def powers(n: int) -> np.ndarray:
     """base^0 ... base^(n-1); the table grows by doubling and stays with the process."""
     global _powers
     while len(_powers) < n:
-        _powers = np.concatenate([_powers, _powers * (_powers[-1] * _BASE)])
+        _powers = np.concatenate([_powers, _powers * (_powers[-1:] * _BASE)])
     return _powers
 
 

@@ -79,14 +79,14 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
         cell = np.diff(sums[cut]).reshape(n1, PARTS)
         names = np.arange(cells, dtype=np.uint64).reshape(n1, PARTS)
         both = cell.sum(axis=1, dtype=np.uint64)[:, None] - cell  # all sub-parts but one
-        out.append(mix(mix(both) + names * np.uint64(0x9E3779B97F4A7C15) + np.uint64(tag + 1 << 40)).ravel())
+        out.append(mix(mix(both) + names * np.uint64(0x9E3779B97F4A7C15) + np.uint64((tag + 1) << 40)).ravel())
     return np.concatenate(out)
 
 
 def set_id(elements: np.ndarray) -> int:
     """A 64-bit identity of a non-empty set, as a signed integer."""
-    total = mix(elements).sum(dtype=np.uint64) + np.uint64(len(elements)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
+    total = int(mix(elements).sum(dtype=np.uint64)) + len(elements) * 0xC2B2AE3D27D4EB4F
+    return int(mix(np.array([total % (1 << 64)], np.uint64)).view(np.int64)[0])
 
 
 def _sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
