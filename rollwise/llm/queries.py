@@ -41,9 +41,9 @@ def op5_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = r"""
 WITH word AS (
-    SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents
+    SELECT 'd' AS kind, doc_id AS id, [x FOR x IN regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') IF x <> ''] AS w FROM documents
     UNION ALL
-    SELECT 'b', item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') FROM benchmark
+    SELECT 'b', item_id, [x FOR x IN regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') IF x <> ''] FROM benchmark
 ), place AS (
     SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM word WHERE len(w) >= 5
 ), shingle AS (
