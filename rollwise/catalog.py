@@ -5,19 +5,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracle as O
 from .operators import dashboard as D
 from .operators.fulfillment import daily_min_price, fulfillment_report
 from .operators.inventory import inventory_report
-from .operators.sales import sales_report, sales_states, sales_strict
+from .operators.sales import (STRICT_REDSHIFT_COLUMNS, STRICT_STATES_COLUMNS, merge_states, sales_report,
+                              sales_states, sales_strict)
 from .plans.backfill import backfill, refresh_strict_view
-from .plans.incremental import (backfill_months, compact_month, partial_rows, read_merged,
+from .plans.incremental import (KINDS, backfill_months, compact_month, partial_rows, read_merged,
                                 split_merge, write_batch)
 from .session import apply_conf, scratch_path
 from .sources import fixtures as fx
-from .sources.report_io import read_report
+from .sources.report_io import read_report, write_colocated
 from .streaming.incremental import stream_report
 from .streaming.run_rate import current_run_rates, run_rate_stream
 from .specs import platform
@@ -25,10 +27,10 @@ from .windows import DateWindow
 
 # Parameters of the dashboard checks (one tenant, the reference's windows moved
 # into the years the test data covers).
-ORG = "org-1"
-WINDOW = DateWindow("1998-02-02", "1998-02-31")
-WINDOW_D8 = DateWindow("1998-02-02", "1998-02-20")
-WINDOW_D9 = DateWindow("1996-12-02", "1996-12-20")
+ORG, WINDOW, WINDOW_D8, WINDOW_D9 = O.ORG, O.WINDOW, O.WINDOW_D8, O.WINDOW_D9
+FEB = (199802, 199802)
+MARKETPLACES = ("blinkit", "instamart", "zepto")
+LOADS = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,21 +45,47 @@ def build_sales(spark: SparkSession, sf_dir: str, mkt: str) -> DataFrame:
     return sales_report(fx.sales_feed(spark, sf_dir, mkt), cities, cat, platform(mkt))
 
 
-def _strict(fn) -> Query:
-    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_conf(spark)
-        cities, cat = dims(spark, sf_dir)
-        return fn(fx.sales_feed(spark, sf_dir, "blinkit"), cities, cat, platform("blinkit"))
-    return q
+def _strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_conf(spark)
+    return sales_strict(fx.sales_feed(spark, sf_dir, "blinkit"), *dims(spark, sf_dir), platform("blinkit"))
+
+
+def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of four loads (the feed split by a row hash), merged to final rows."""
+    apply_conf(spark)
+    feed = fx.sales_feed(spark, sf_dir, "blinkit")
+    feed = feed.withColumn("_load", F.pmod(F.xxhash64(*feed.columns), F.lit(4)))
+    return merge_states(sales_states(feed, *dims(spark, sf_dir), platform("blinkit"), ("_load",)).drop("_load"))
+
+
+_stored: dict[tuple[str, str], str] = {}
+
+
+def stored_sales(spark: SparkSession, sf_dir: str, window: DateWindow | None = None) -> DataFrame:
+    """The Blinkit sales report as a table (written once per application and folder), as
+    the dashboards read it: only the window's months."""
+    apply_conf(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        out = scratch_path(spark, "dashboards", "blinkit_sales")
+        backfill(spark, "sales", platform("blinkit"), fx.sales_feed(spark, sf_dir, "blinkit"), *dims(spark, sf_dir), out)
+        _stored[key] = out
+    return read_report(spark, _stored[key], "sales", window)
 
 
-def _dash(fn, window: DateWindow | None = None) -> Query:
+def _dash(fn, window: DateWindow | None = None, reads: DateWindow | None = None) -> Query:
+    """A dashboard on the stored table; ``reads``: the window whose months it needs, if another."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        report = build_sales(spark, sf_dir, "blinkit")
+        report = stored_sales(spark, sf_dir, reads or window)
         return fn(report, ORG, window) if window is not None else fn(report, ORG)
     return q
 
 
+def _d8_from_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D8 straight from the feed, in one plan."""
+    return D.city_sales(build_sales(spark, sf_dir, "blinkit"), ORG, WINDOW_D8)
+
+
 def _d2(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_conf(spark)
     return D.subcategory_list(fx.catalogue(spark, sf_dir), ORG)
@@ -91,6 +119,7 @@ def build_fulfillment(spark: SparkSession, sf_dir: str, mkt: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    previous = WINDOW.shift_months(-1)
     q: dict[str, Query] = {
         "r1_blinkit_sales_report": _sales("blinkit"),
         "r2_instamart_sales_report": _sales("instamart"),
@@ -102,55 +131,45 @@ def queries() -> dict[str, Query]:
         "r8_instamart_fulfillment_report": lambda s, d: build_fulfillment(s, d, "instamart"),
         "r9_zepto_fulfillment_report": lambda s, d: build_fulfillment(s, d, "zepto"),
         "m8_daily_min_price": build_prices,
-        "r10_blinkit_sales_strict": _strict(sales_strict),
-        "r11_blinkit_sales_states": _strict(sales_states),
+        "r10_blinkit_sales_strict": _strict,
+        "r11_blinkit_sales_states": _states,
         "d1_brand_daily_sales": _dash(D.brand_daily_sales, WINDOW),
         "d2_subcategory_list": _d2,
         "d3_item_pnl": _dash(D.item_pnl, WINDOW),
-        "d4_item_pnl_previous_month": _dash(D.item_pnl_previous_month, WINDOW),
+        "d4_item_pnl_previous_month": _dash(D.item_pnl_previous_month, WINDOW, previous),
         "d5_city_list": _dash(D.city_list),
         "d6_city_category_totals": _dash(D.city_category_totals, WINDOW),
         "d7_city_category_daily": _dash(D.city_category_daily, WINDOW),
         "d8_city_sales": _dash(D.city_sales, WINDOW_D8),
+        "d8_city_sales_from_feed": _d8_from_feed,
         "d9_city_sales_comparison": _dash(D.city_sales_comparison, WINDOW_D9),
         "d10_item_sales": _dash(D.item_sales, WINDOW_D8),
         "d11_daily_category_totals": _dash(D.daily_category_totals, WINDOW),
-        "d12_daily_category_totals_previous_month": _dash(D.daily_category_totals_previous_month, WINDOW),
+        "d12_daily_category_totals_previous_month": _dash(D.daily_category_totals_previous_month, WINDOW, previous),
         "d13_daily_target": _d13,
     }
-    q.update(job_queries())
+    q.update((k, f) for k, (f, _) in jobs().items())
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracle as O
-    from .operators.sales import STRICT_REDSHIFT_COLUMNS, STRICT_STATES_COLUMNS
-
-    sql = {
-        "r1_blinkit_sales_report": O.sales_report("blinkit"),
-        "r2_instamart_sales_report": O.sales_report("instamart"),
-        "r3_zepto_sales_report": O.sales_report("zepto"),
-        "r4_blinkit_inventory_report": O.inventory_report("blinkit"),
-        "r5_instamart_inventory_report": O.inventory_report("instamart"),
-        "r6_zepto_inventory_report": O.inventory_report("zepto"),
-        "r7_blinkit_fulfillment_report": O.fulfillment_report("blinkit"),
-        "r8_instamart_fulfillment_report": O.fulfillment_report("instamart"),
-        "r9_zepto_fulfillment_report": O.fulfillment_report("zepto"),
+    sql = {f"r{i + 1}_{m}_sales_report": O.sales_report(m) for i, m in enumerate(MARKETPLACES)}
+    sql |= {f"r{i + 4}_{m}_inventory_report": O.inventory_report(m) for i, m in enumerate(MARKETPLACES)}
+    sql |= {f"r{i + 7}_{m}_fulfillment_report": O.fulfillment_report(m) for i, m in enumerate(MARKETPLACES)}
+    sql |= {
         "m8_daily_min_price": O.daily_min_price(),
         "r10_blinkit_sales_strict": O.strict_sales(STRICT_REDSHIFT_COLUMNS),
         "r11_blinkit_sales_states": O.strict_sales(STRICT_STATES_COLUMNS),
     }
-    sql.update(O.dashboards())
-    sql.update(job_oracle_sql())
+    sql |= O.dashboards()
+    sql["d8_city_sales_from_feed"] = sql["d8_city_sales"]
+    sql.update((k, text) for k, (_, text) in jobs().items())
     return sql
 
 
-
 # ------------------------------------------------------- tables and streams
 # These run a job into a fresh folder below the shared checkpoint root and
 # return the table read back, so the check compares what a reader would see.
-
-
 def _inputs(spark: SparkSession, sf_dir: str, kind: str, mkt: str):
     apply_conf(spark)
     cities, cat = dims(spark, sf_dir)
@@ -159,6 +178,21 @@ def _inputs(spark: SparkSession, sf_dir: str, kind: str, mkt: str):
     return feed, cities, cat, prices
 
 
+def _staged(feed: DataFrame, path: str) -> DataFrame:
+    """The feed as files (the production shape)."""
+    feed.write.parquet(path)
+    return feed.sparkSession.read.parquet(path)
+
+
+def _load(feed: DataFrame, loads: int) -> Column:
+    """The load a row arrives with: by a hash of the row, so every day is spread over all loads."""
+    return F.pmod(F.xxhash64(*feed.columns), F.lit(loads))
+
+
+def _in_feb(feed_date: str) -> Column:
+    return F.to_date(F.col(feed_date)).between(F.lit(WINDOW.start.replace(day=1)), F.lit(WINDOW.end))
+
+
 def _split_merge(kind: str, mkt: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, cities, cat, prices = _inputs(spark, sf_dir, kind, mkt)
@@ -177,6 +211,28 @@ def _backfill_roundtrip(kind: str, mkt: str) -> Query:
     return q
 
 
+def _rebuild_changed_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table built while Feb 1998 had other stock, then Feb rebuilt from the true feed: later
+    months' first run rates must follow."""
+    feed, cities, cat, _ = _inputs(spark, sf_dir, "inventory", "blinkit")
+    s = platform("blinkit").inventory
+    wrong = feed.withColumn(s.backend, F.when(_in_feb(s.date), F.col(s.backend) * 2 + 500).otherwise(F.col(s.backend)))
+    out = scratch_path(spark, "rebuild", "changed")
+    backfill(spark, "inventory", platform("blinkit"), wrong, cities, cat, out)
+    backfill(spark, "inventory", platform("blinkit"), feed, cities, cat, out, months=FEB)
+    return read_report(spark, out, "inventory")
+
+
+def _rebuild_emptied_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feb 1998 rebuilt from a feed that has no row of it any more."""
+    feed, cities, cat, _ = _inputs(spark, sf_dir, "sales", "instamart")
+    spec = platform("instamart")
+    out = scratch_path(spark, "rebuild", "emptied")
+    backfill(spark, "sales", spec, feed, cities, cat, out)
+    backfill(spark, "sales", spec, feed.filter(~_in_feb(spec.sales.date)), cities, cat, out, months=FEB)
+    return read_report(spark, out, "sales")
+
+
 def _refresh_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed, cities, cat, _ = _inputs(spark, sf_dir, "sales", "blinkit")
     out = scratch_path(spark, "strict_view")
@@ -185,125 +241,142 @@ def _refresh_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_report(spark, out, "sales_strict")
 
 
+def _colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strict view as a bucketed table, read back."""
+    name = "rollwise_strict_" + scratch_path(spark).rsplit("/", 1)[1]
+    write_colocated(_strict(spark, sf_dir), name, scratch_path(spark, "colocated"), "sales_strict", buckets=16)
+    return spark.table(name).select(*STRICT_REDSHIFT_COLUMNS)
+
+
 def _compacted(kind: str, mkt: str) -> Query:
-    """Three loads, two months compacted, a fourth load on top, merged read."""
+    """Three loads, two months compacted, a fourth load, merged read."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, cities, cat, prices = _inputs(spark, sf_dir, kind, mkt)
         spec = platform(mkt)
         root = scratch_path(spark, "partials", f"{mkt}_{kind}")
-        # Stage the feed once (as files, the production shape), then load from it.
-        feed.write.parquet(root + "/feed")
-        feed = spark.read.parquet(root + "/feed")
-        load = F.pmod(F.xxhash64(*feed.columns), F.lit(4))
-        for i in range(3):
-            write_batch(partial_rows(kind, feed.filter(load == i), cities, cat, spec, prices), root, kind, i)
-        for month in (199802, 199601):
-            compact_month(spark, root, kind, spec, month)
-        write_batch(partial_rows(kind, feed.filter(load == 3), cities, cat, spec, prices), root, kind, 3)
+        feed = _staged(feed, root + "/feed")
+        for i in range(LOADS + 1):
+            write_batch(partial_rows(kind, feed.filter(_load(feed, LOADS + 1) == i), cities, cat, spec, prices), root, kind, i)
+            if i == LOADS - 1:
+                for month in (199802, 199601):
+                    compact_month(spark, root, kind, spec, month)
         return read_merged(spark, root, kind, spec)
     return q
 
 
-def _backfill_into_stream_table(kind: str, mkt: str) -> Query:
-    """Loads for everything but part of Feb 1998, Feb 1998 backfilled from the
-    whole feed (superseding its earlier load), a later load on top, merged read."""
+def _merged_window(kind: str, mkt: str) -> Query:
+    """Loads, one earlier month compacted, merged read of a window (the lag of its first day seeded)."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        feed, cities, cat, prices = _inputs(spark, sf_dir, kind, mkt)
+        spec = platform(mkt)
+        root = scratch_path(spark, "window", f"{mkt}_{kind}")
+        feed = _staged(feed, root + "/feed")
+        for i in range(LOADS):
+            write_batch(partial_rows(kind, feed.filter(_load(feed, LOADS) == i), cities, cat, spec, prices), root, kind, i)
+        compact_month(spark, root, kind, spec, 199801)
+        return read_merged(spark, root, kind, spec, WINDOW)
+    return q
+
+
+def _backfill_into_stream_table(kind: str, mkt: str, compact: bool) -> Query:
+    """Loads for everything but part of Feb 1998, Feb 1998 backfilled from the whole feed
+    (superseding its earlier load), a later load, and optionally compaction of both kinds of
+    months, merged read."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, cities, cat, prices = _inputs(spark, sf_dir, kind, mkt)
         spec = platform(mkt)
         root = scratch_path(spark, "backfill_stream", f"{mkt}_{kind}")
-        feed.write.parquet(root + "/feed")
-        feed = spark.read.parquet(root + "/feed")
-        day = F.to_date(F.col(getattr(spec, kind).date))
-        feb = day.between(F.lit(WINDOW.start.replace(day=1)), F.lit(WINDOW.end))
-        load = F.pmod(F.xxhash64(*feed.columns), F.lit(2))
-        write_batch(partial_rows(kind, feed.filter(~feb & (load == 0)), cities, cat, spec, prices), root, kind, 0)
-        write_batch(partial_rows(kind, feed.filter(feb & (load == 0)), cities, cat, spec, prices), root, kind, 1)
-        backfill_months(spark, root, kind, spec, feed, cities, cat, (199802, 199802), prices)
-        write_batch(partial_rows(kind, feed.filter(~feb & (load == 1)), cities, cat, spec, prices), root, kind, 2)
+        feed = _staged(feed, root + "/feed")
+        feb, load = _in_feb(getattr(spec, kind).date), _load(feed, 2)
+        add = lambda rows, i: write_batch(partial_rows(kind, rows, cities, cat, spec, prices), root, kind, i)
+        add(feed.filter(~feb & (load == 0)), 0)
+        add(feed.filter(feb & (load == 0)), 1)
+        backfill_months(spark, root, kind, spec, feed, cities, cat, FEB, prices)
+        if compact:
+            compact_month(spark, root, kind, spec, 199801)
+            compact_month(spark, root, kind, spec, 199802)
+        add(feed.filter(~feb & (load == 1)), 2)
+        if compact:
+            for month in (199801, 199802, 199803):
+                compact_month(spark, root, kind, spec, month)
         return read_merged(spark, root, kind, spec)
     return q
 
 
+def _emptied_stream_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, Feb 1998 compacted, then backfilled from a feed without rows of it."""
+    feed, cities, cat, _ = _inputs(spark, sf_dir, "sales", "zepto")
+    spec = platform("zepto")
+    root = scratch_path(spark, "emptied_stream")
+    feed = _staged(feed, root + "/feed")
+    for i in range(2):
+        write_batch(partial_rows("sales", feed.filter(_load(feed, 2) == i), cities, cat, spec), root, "sales", i)
+    compact_month(spark, root, "sales", spec, 199802)
+    backfill_months(spark, root, "sales", spec, feed.filter(~_in_feb(spec.sales.date)), cities, cat, FEB)
+    return read_merged(spark, root, "sales", spec)
+
+
 def _stream(kind: str, mkt: str) -> Query:
-    """Feed staged as files, streamed one file per micro-batch, merged read."""
+    """The feed arrives as files in loads, each streamed by a run of its own from the same
+    checkpoint; merged read."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        feed, cities, cat, _ = _inputs(spark, sf_dir, kind, mkt)
+        feed, _, _, _ = _inputs(spark, sf_dir, kind, mkt)
         base = scratch_path(spark, "stream", f"{mkt}_{kind}")
-        feed.repartition(4).write.parquet(base + "/feed")
-        schema = spark.read.parquet(base + "/feed").schema
-        sales = fx.sales_feed(spark, sf_dir, "zepto") if (kind == "fulfillment" and mkt == "zepto") else None
-        sq = stream_report(spark, kind, platform(mkt), base + "/feed", schema, cities, cat,
-                           base + "/table", base + "/checkpoint", sales_feed=sales)
-        sq.awaitTermination()
+        feed = _staged(feed, base + "/staged")
+        sales = (lambda: fx.sales_feed(spark, sf_dir, "zepto")) if (kind == "fulfillment" and mkt == "zepto") else None
+        for i in range(LOADS):
+            feed.filter(_load(feed, LOADS) == i).write.mode("append").parquet(base + "/feed")
+            stream_report(spark, kind, platform(mkt), base + "/feed", feed.schema,
+                          lambda: fx.city_mapping(spark, sf_dir), lambda: fx.catalogue(spark, sf_dir),
+                          base + "/table", base + "/checkpoint", sales_feed=sales).awaitTermination()
         return read_merged(spark, base + "/table", kind, platform(mkt))
     return q
 
 
 def _run_rate_stream(mkt: str) -> Query:
-    """Snapshots arrive a year per micro-batch; part of each year's first day arrives
-    with the previous year, so a day split over two batches is exercised."""
+    """Snapshots arrive out of order: every load holds rows of all days, so most days are late
+    or added to in each run. The newest emission of each day."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, cities, cat, _ = _inputs(spark, sf_dir, "inventory", mkt)
-        spec = platform(mkt)
         base = scratch_path(spark, "run_rate", mkt)
-        day = F.to_date(F.col(spec.inventory.date))
-        year = F.year(day)
-        # One chunk per calendar year (a handful: a bounded driver loop), each a
-        # whole year of rows, so every chunk fills its files.
-        years = [r[0] for r in feed.select(year.alias("y")).distinct().orderBy("y").collect()]
-        early = ((F.dayofyear(day) <= 7) & (year > F.lit(years[0]))
-                 & (F.pmod(F.xxhash64(*feed.columns), F.lit(2)) == 1))
-        staged = feed.withColumn("_chunk", F.when(early, year - 1).otherwise(year))
-        files = 2
-        for chunk in years:
-            (staged.filter(F.col("_chunk") == chunk).drop("_chunk").repartition(files)
-             .write.mode("append").parquet(base + "/feed"))
-        schema = spark.read.parquet(base + "/feed").schema
-        sq = run_rate_stream(spark, spec, base + "/feed", schema, cities, cat, base + "/out",
-                             base + "/checkpoint", max_files_per_trigger=files)
-        sq.awaitTermination()
+        feed = _staged(feed, base + "/staged")
+        for i in range(LOADS):
+            feed.filter(_load(feed, LOADS) == i).write.mode("append").parquet(base + "/feed")
+            run_rate_stream(spark, platform(mkt), base + "/feed", feed.schema, cities, cat, base + "/out",
+                            base + "/checkpoint").awaitTermination()
         return current_run_rates(spark, base + "/out")
     return q
 
 
-def job_queries() -> dict[str, Query]:
-    return {
-        "i4_merge_partials_sales": _split_merge("sales", "zepto"),
-        "i4_merge_partials_inventory": _split_merge("inventory", "instamart"),
-        "i4_merge_partials_fulfillment": _split_merge("fulfillment", "zepto"),
-        "i5_compact_month_sales": _compacted("sales", "instamart"),
-        "i5_compact_month_inventory": _compacted("inventory", "zepto"),
-        "i6_backfill_sales": _backfill_roundtrip("sales", "blinkit"),
-        "i6_backfill_inventory": _backfill_roundtrip("inventory", "blinkit"),
-        "i6_backfill_fulfillment": _backfill_roundtrip("fulfillment", "instamart"),
-        "i6_backfill_into_stream_table": _backfill_into_stream_table("sales", "blinkit"),
-        "i7_refresh_strict_view": _refresh_strict,
-        "i1_incremental_sales": _stream("sales", "blinkit"),
-        "i2_incremental_fulfillment": _stream("fulfillment", "zepto"),
-        "i3_incremental_inventory": _stream("inventory", "blinkit"),
-        "i8_run_rate_stream": _run_rate_stream("blinkit"),
-    }
-
-
-def job_oracle_sql() -> dict[str, str]:
-    from . import oracle as O
-    from .operators.sales import STRICT_REDSHIFT_COLUMNS
-
-    rr = ("organizationid, itemid, backendfacilityname, reportdate, backendinvqty, total_quantity, "
-          "run_rate_backend, run_rate_total")
-    return {
-        "i4_merge_partials_sales": O.sales_report("zepto"),
-        "i4_merge_partials_inventory": O.inventory_report("instamart"),
-        "i4_merge_partials_fulfillment": O.fulfillment_report("zepto"),
-        "i5_compact_month_sales": O.sales_report("instamart"),
-        "i5_compact_month_inventory": O.inventory_report("zepto"),
-        "i6_backfill_sales": O.sales_report("blinkit"),
-        "i6_backfill_inventory": O.inventory_report("blinkit"),
-        "i6_backfill_fulfillment": O.fulfillment_report("instamart"),
-        "i6_backfill_into_stream_table": O.sales_report("blinkit"),
-        "i7_refresh_strict_view": O.strict_sales(STRICT_REDSHIFT_COLUMNS),
-        "i1_incremental_sales": O.sales_report("blinkit"),
-        "i2_incremental_fulfillment": O.fulfillment_report("zepto"),
-        "i3_incremental_inventory": O.inventory_report("blinkit"),
-        "i8_run_rate_stream": f"SELECT {rr} FROM ({O.inventory_report('blinkit')})",
+def jobs() -> dict[str, tuple[Query, str]]:
+    """name -> (query, oracle) of the jobs."""
+    report = {"sales": O.sales_report, "inventory": O.inventory_report, "fulfillment": O.fulfillment_report}
+    out: dict[str, tuple[Query, str]] = {}
+    #: The marketplace whose query bears the plain name; the others add theirs.
+    plain = {"i6_backfill": {"sales": "blinkit", "inventory": "blinkit", "fulfillment": "instamart"},
+             "incremental": {"sales": "blinkit", "inventory": "blinkit", "fulfillment": "zepto"}}
+    number = {"sales": 1, "fulfillment": 2, "inventory": 3}
+    for kind in KINDS:
+        for mkt in MARKETPLACES:
+            suffix = lambda group: "" if plain[group][kind] == mkt else f"_{mkt}"
+            out[f"i6_backfill_{kind}{suffix('i6_backfill')}"] = (_backfill_roundtrip(kind, mkt), report[kind](mkt))
+            out[f"i{number[kind]}_incremental_{kind}{suffix('incremental')}"] = (_stream(kind, mkt), report[kind](mkt))
+    for kind, mkt in (("sales", "zepto"), ("inventory", "instamart"), ("fulfillment", "zepto")):
+        out[f"i4_merge_partials_{kind}"] = (_split_merge(kind, mkt), report[kind](mkt))
+        out[f"i4_merged_window_{kind}"] = (_merged_window(kind, mkt), O.inside(report[kind](mkt), kind, WINDOW))
+    for kind, mkt in (("sales", "instamart"), ("inventory", "zepto"), ("fulfillment", "blinkit")):
+        out[f"i5_compact_month_{kind}"] = (_compacted(kind, mkt), report[kind](mkt))
+        out[f"i5_compact_after_backfill_{kind}"] = (_backfill_into_stream_table(kind, mkt, True), report[kind](mkt))
+    for mkt in MARKETPLACES:
+        suffix = "" if mkt == "blinkit" else f"_{mkt}"
+        out[f"i8_run_rate_stream{suffix}"] = (_run_rate_stream(mkt), O.run_rates(mkt))
+    feb = DateWindow("1998-02-01", "1998-02-31")
+    out |= {
+        "i6_backfill_into_stream_table": (_backfill_into_stream_table("sales", "blinkit", False), O.sales_report("blinkit")),
+        "i6_rebuild_changed_month": (_rebuild_changed_month, O.inventory_report("blinkit")),
+        "i6_rebuild_emptied_month": (_rebuild_emptied_month, O.outside(O.sales_report("instamart"), "sales", feb)),
+        "i6_emptied_month_of_stream_table": (_emptied_stream_month, O.outside(O.sales_report("zepto"), "sales", feb)),
+        "i7_refresh_strict_view": (_refresh_strict, O.strict_sales(STRICT_REDSHIFT_COLUMNS)),
+        "s9_colocated_strict_view": (_colocated, O.strict_sales(STRICT_REDSHIFT_COLUMNS)),
     }
+    return out

@@ -11,35 +11,70 @@ from pyspark.sql import functions as F
 
 from .defaults import PERCENT
 
-# Sums are kept in integer micro-units: each row is rounded half-up to 1e-6,
-# the integers are added, and the total is turned back into a double. The
-# result no longer depends on the order in which partitions, micro-batches or
-# partial tables are added up, so a merged incremental table equals the batch
-# rollup bit for bit, and another engine computing the same rule agrees.
+# Sums are exact: a value is its whole part (a bigint) and its fraction in integer
+# nano-units (a bigint below 1e9, rounded half-up from the double's exact fraction).
+# Both are added as bigints, so a total does not depend on the order in which
+# partitions, micro-batches or partial tables are added up: a merged incremental
+# table equals the batch rollup bit for bit. Partial rows and partial tables keep the
+# pair (columns ``<name>__whole`` and ``<name>__nano``); only the final rows of a
+# report hold doubles.
 #
-# A hot tenant or item can hold a third of all rows, so one bigint sum of
-# micro-units could overflow. Each value is split into its high part (v >> 20)
-# and its low 20 bits; both are summed as bigint (fixed-width buffers, so the
-# aggregation stays a hash aggregate) and recombined once per group in
-# decimal(38,0). The low sum holds 2^43 (8.8e12) rows per group; the high sum
-# holds 2^63 / max|v >> 20| rows (the same 8.8e12 for values under 1.1 million);
-# past that ANSI mode raises instead of returning a wrong total. About 3x faster
-# than summing decimal(38,0) directly.
-MICRO = 1_000_000.0
-_LOW_BITS = 20
+# The pair has fixed width, so the aggregation stays a hash aggregate. Partial rows are
+# carried (``carried``), so a group may have 9.2e9 rows per partial and as many
+# partials; the whole parts may add up to 9.2e18. Anything beyond, and any NaN or
+# infinite value, raises instead of giving a wrong total.
+NANO = 1_000_000_000
+LARGEST = 9.0e18
+WHOLE, FRACTION = "__whole", "__nano"
 
 
-def micro_units(x: Column) -> Column:
-    """Row value in integer micro-units (bigint), rounded half-up."""
-    return F.floor(x * F.lit(MICRO) + F.lit(0.5))
+def _finite(x: Column) -> Column:
+    # NaN compares above every number, so it fails the bound as well
+    message = F.concat(F.lit("cannot be summed exactly: "), x.cast("string"))
+    return F.when(x.isNull() | (F.abs(x) < F.lit(LARGEST)), x).otherwise(F.raise_error(message).cast("double"))
+
+
+def whole_part(x: Column) -> Column:
+    """The largest integer not above a double (bigint)."""
+    return F.floor(_finite(x.cast("double"))).cast("bigint")
+
+
+def nano_part(x: Column) -> Column:
+    """What a double exceeds that integer by, in 1e-9, rounded half-up (0 to 1e9)."""
+    d = x.cast("double")
+    return F.floor((d - F.floor(d).cast("double")) * F.lit(float(NANO)) + F.lit(0.5)).cast("bigint")
+
+
+def state_columns(name: str) -> list[str]:
+    """The columns that hold the exact sum ``name`` in partial rows."""
+    return [name + WHOLE, name + FRACTION]
+
+
+def sum_states(name: str, from_states: bool) -> list[Column]:
+    """Aggregates of the pair of ``name``, over its values or over pairs."""
+    whole, nano = state_columns(name)
+    x = F.col(name)
+    parts = (F.col(whole), F.col(nano)) if from_states else (whole_part(x), nano_part(x))
+    return [F.sum(parts[0]).alias(whole), F.sum(parts[1]).alias(nano)]
+
+
+def carried(whole: Column, nano: Column) -> tuple[Column, Column]:
+    """The same pair with a fraction below 1."""
+    rest = F.pmod(nano, F.lit(NANO).cast("bigint"))
+    # a multiple of 1e9 of at most 9.2e9 units: the nearest integer of the quotient is exact
+    over = F.rint((nano - rest).cast("double") / F.lit(float(NANO))).cast("bigint")
+    return whole + over, rest
+
+
+def state_total(whole: Column, nano: Column) -> Column:
+    """The pair as a double (one rounding of each part)."""
+    w, n = carried(whole, nano)
+    return w.cast("double") + n.cast("double") / F.lit(float(NANO))
 
 
 def exact_sum(x: Column) -> Column:
     """Order-independent sum of a double column (NULLs skipped, NULL if none)."""
-    v = micro_units(x)
-    high = F.sum(F.shiftright(v, _LOW_BITS)).cast("decimal(38,0)")
-    low = F.sum(v.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
-    return (high * F.lit(1 << _LOW_BITS) + low).cast("double") / F.lit(MICRO)
+    return state_total(F.sum(whole_part(x)), F.sum(nano_part(x)))
 
 
 def zero_if_null(x: Column) -> Column:

@@ -4,7 +4,9 @@ Both dimensions are tenant-scoped and carry one column per marketplace. They
 are first narrowed to the marketplace's columns (so only those are read and
 shipped), then joined on (key, tenant). Zepto compares SKU codes lower-cased:
 the normalised key is computed once on each side and the join stays an
-equi-join.
+equi-join. The join strategy is Spark's choice, from the sizes it estimates and, with
+adaptive execution, measures (``spark.sql.autoBroadcastJoinThreshold``): a dimension
+that outgrows the threshold is joined by a shuffle without any change here.
 """
 
 from __future__ import annotations
@@ -12,13 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.broadcast import broadcast_if_small
 from ..specs import PlatformSpec
 
 # Prefix of every dimension column after enrichment (feed columns are camelCase).
 CITY = "scm_"
 SKU = "scd_"
-DIM_BROADCAST_ROWS = 200_000
 
 
 class DuplicateDimensionKeys(ValueError):
@@ -66,12 +66,23 @@ def check_dimensions(cities: DataFrame, catalogue: DataFrame, spec: PlatformSpec
     assert_unique(catalogue_dim(catalogue, spec), [SKU + "org", SKU + "key"], "static_combined_data")
 
 
+def _one_row_per_key(dim: DataFrame, key: str, org: str, what: str) -> DataFrame:
+    """H14 inside the plan: the dimension's rows by (key, tenant); running into a second
+    row of a key raises. Rows with a null in the key never match and are left out."""
+    rest = [c for c in dim.columns if c not in (key, org)]
+    rows = dim.filter(F.col(key).isNotNull() & F.col(org).isNotNull()).groupBy(key, org).agg(
+        F.count("*").alias("_n"), F.min(F.struct(*rest)).alias("_row"))
+    clash = F.raise_error(F.concat(F.lit(f"{what}: duplicate key "), F.concat_ws("/", F.col(key), F.col(org))))
+    return rows.filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(clash.cast("boolean"))).select(
+        key, org, *[F.col("_row." + c).alias(c) for c in rest])
+
+
 def enrich(feed: DataFrame, cities: DataFrame, catalogue: DataFrame, spec: PlatformSpec,
-           city_col: str, item_col: str, org_col: str = "organizationId",
-           broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    """Feed rows with ``scm_*`` and ``scd_*`` columns; unmatched rows keep NULLs."""
-    c = broadcast_if_small(city_dim(cities, spec), broadcast_rows)
-    s = broadcast_if_small(catalogue_dim(catalogue, spec), broadcast_rows)
+           city_col: str, item_col: str, org_col: str = "organizationId") -> DataFrame:
+    """Feed rows with ``scm_*`` and ``scd_*`` columns; unmatched rows keep NULLs. A dimension
+    with two rows of one key fails when the rows are computed."""
+    c = _one_row_per_key(city_dim(cities, spec), CITY + "key", CITY + "org", "static_city_mapping")
+    s = _one_row_per_key(catalogue_dim(catalogue, spec), SKU + "key", SKU + "org", "static_combined_data")
     f = feed.withColumn("_sku_key", sku_key(F.col(item_col), spec))
     out = f.join(c, (f[city_col] == c[CITY + "key"]) & (f[org_col] == c[CITY + "org"]), "left")
     out = out.join(s, (out["_sku_key"] == s[SKU + "key"]) & (out[org_col] == s[SKU + "org"]), "left")

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import fill_rate, po_amount, received_quantity, zero_if_null
 from ..functions.defaults import NO_DATE, UNKNOWN
-from ..plans.broadcast import broadcast_if_small
 from ..specs import PlatformSpec
 from .enrich import CITY, SKU, enrich, sku_key
 
@@ -33,7 +32,6 @@ BLINKIT_COLUMNS = ["itemid", "ponumber", "brand_internal_sku_code", "brands_choi
                    "organizationid", "po_status", "orderdate"] + _MEASURES
 OTHER_COLUMNS = ["itemid", "ponumber", "po_status", "brand_internal_sku_code", "brands_choice",
                  "organizationid", "orderdate"] + _MEASURES
-PRICE_BROADCAST_ROWS = 2_000_000
 
 
 def fulfillment_columns(spec: PlatformSpec) -> list[str]:
@@ -59,8 +57,7 @@ def fulfillment_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
     if s.unit_price is None:
         if prices is None:
             raise ValueError(f"{spec.name} fulfillment needs daily_min_price(sales feed)")
-        p = broadcast_if_small(prices.select(F.col("sku").alias("_p_sku"), F.col("orderdate").alias("_p_day"),
-                                             F.col("mrp").alias("_p_mrp")), PRICE_BROADCAST_ROWS)
+        p = prices.select(F.col("sku").alias("_p_sku"), F.col("orderdate").alias("_p_day"), F.col("mrp").alias("_p_mrp"))
         e = e.join(p, (F.lower(F.col(s.item).cast("string")) == p["_p_sku"])
                    & (F.to_date(F.col(s.date)) == p["_p_day"]), "left")
         price = zero_if_null(F.col("_p_mrp").cast("double"))

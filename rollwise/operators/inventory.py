@@ -64,11 +64,12 @@ def inventory_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
     return e.select(*[c.alias(n) for n, c in cols.items()], *carry)
 
 
-def daily_stock(lines: DataFrame, extra_keys: tuple[str, ...] = (), final: bool = True) -> DataFrame:
+def daily_stock(lines: DataFrame, extra_keys: tuple[str, ...] = (), final: bool = True,
+                states: bool = False) -> DataFrame:
     """One row per (tenant, item, facility, day); also merges partial daily rows.
-    ``final=False`` gives partial daily rows (see ``rollup``)."""
+    ``final=False`` and ``states=True`` give partial daily rows (see ``rollup``)."""
     # Clustered by series: the run-rate window then needs no shuffle of its own.
-    return rollup(lines, [*INV_KEYS, *extra_keys], INV_ANY, INV_SUM, cluster_by=INV_SERIES, final=final)
+    return rollup(lines, [*INV_KEYS, *extra_keys], INV_ANY, INV_SUM, cluster_by=INV_SERIES, final=final, states=states)
 
 
 def _rated(daily: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ values, so the rollup runs in two levels:
 
 The result equals a single ``groupBy(keys).agg(min(...), exact_sum(...))``:
 the min over distinct values is the min over all values, and exact sums of
-exact partial sums are exact.
+exact partial sums are exact. Sums travel as pairs of integers between the levels
+and in partial rows (``functions.measures``); only the final rows hold doubles.
 """
 
 from __future__ import annotations
@@ -22,28 +23,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from ..functions.measures import exact_sum
+from ..functions.measures import carried, state_columns, state_total, sum_states
 
 
 def _is_text(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, (StringType, BinaryType))
 
 
+def has_states(df: DataFrame, sums: list[str]) -> bool:
+    """Whether ``df`` holds partial rows (pairs) and not values of ``sums``."""
+    return bool(sums) and state_columns(sums[0])[0] in df.columns
+
+
+def _carry(df: DataFrame, sums: list[str]) -> DataFrame:
+    made = {}
+    for c in sums:
+        whole, nano = state_columns(c)
+        made[whole], made[nano] = carried(F.col(whole), F.col(nano))
+    return df.withColumns(made)
+
+
+def totals(df: DataFrame, sums: list[str]) -> DataFrame:
+    """Partial columns turned into doubles."""
+    drop = [x for c in sums for x in state_columns(c)]
+    return df.withColumns({c: state_total(*(F.col(x) for x in state_columns(c))) for c in sums}).drop(*drop)
+
+
 def rollup(lines: DataFrame, keys: list[str], mins: list[str], sums: list[str],
-           cluster_by: list[str] | None = None, final: bool = True) -> DataFrame:
-    """``cluster_by``: a subset of ``keys`` to hash-partition the reduced level-1
-    rows by, when the next operator needs that clustering (e.g. a window over a
-    series): one shuffle then serves both level 2 and that operator.
-    ``final=False`` stops after level 1: rows of the report's schema that may
-    repeat a key (one per text variant) -- a valid partial, since merging runs
-    the full rollup again."""
+           cluster_by: list[str] | None = None, final: bool = True, states: bool = False) -> DataFrame:
+    """``lines``: rows with values, or partial rows. ``cluster_by``: a subset of ``keys`` to
+    hash-partition the reduced level-1 rows by, when the next operator needs that
+    clustering (e.g. a window over a series): one shuffle then serves both level 2 and
+    that operator. ``final=False`` stops after level 1 (one shuffle): partial rows that
+    may repeat a key (one per text variant); merging runs the full rollup again.
+    ``states=True`` gives merged partial rows, one per key."""
     text = [c for c in mins if _is_text(lines, c)]
     values = [c for c in mins if c not in text]
-    level1 = lines.groupBy(*keys, *text).agg(
-        *[F.min(c).alias(c) for c in values], *[exact_sum(F.col(c)).alias(c) for c in sums])
-    if not text or not final:
-        return level1
-    if cluster_by:
-        level1 = level1.repartition(*cluster_by)
-    return level1.groupBy(*keys).agg(
-        *[F.min(c).alias(c) for c in mins], *[exact_sum(F.col(c)).alias(c) for c in sums])
+    pairs = lambda of: [s for c in sums for s in sum_states(c, of)]
+    out = lines.groupBy(*keys, *text).agg(*[F.min(c).alias(c) for c in values], *pairs(has_states(lines, sums)))
+    if text and final:
+        if cluster_by:
+            out = out.repartition(*cluster_by)
+        out = out.groupBy(*keys).agg(*[F.min(c).alias(c) for c in mins], *pairs(True))
+    return totals(out, sums) if final and not states else _carry(out, sums)
+
+
+def state_order(columns: list[str], sums: list[str], states: bool) -> list[str]:
+    """``columns`` of a report, its sums as they are named in final or in partial rows."""
+    return [x for c in columns for x in (state_columns(c) if states and c in sums else [c])]

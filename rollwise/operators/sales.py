@@ -3,7 +3,7 @@
 One plan per report: feed -> two broadcast/shuffled left joins -> a hash
 aggregation whose partial step runs before the shuffle, so a hot item or
 tenant is combined map-side (``rollup``). Attributes are "any" in the reference; ``min``
-makes them deterministic and mergeable. Money sums are exact (micro-units).
+makes them deterministic and mergeable. Money sums are exact.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from ..functions.measures import net_sales, taxes_paid, to_double, unit_price, z
 from ..functions.defaults import UNKNOWN
 from ..specs import PlatformSpec
 from .enrich import CITY, SKU, enrich, sku_key
-from .rollup import rollup
+from .rollup import rollup, state_order
 
 SALES_KEYS = ["organizationid", "reportdate", "itemid", "brands_choice"]
 SALES_ANY = ["category", "subcategory", "brand", "productid", "itemname",
@@ -73,12 +73,12 @@ def sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
 
 
 def rollup_sales(lines: DataFrame, spec: PlatformSpec, extra_keys: tuple[str, ...] = (),
-                 final: bool = True) -> DataFrame:
-    """Group enriched lines (or partial rows: the same schema) into report rows;
-    ``final=False`` gives partial rows (see ``rollup``)."""
+                 final: bool = True, states: bool = False) -> DataFrame:
+    """Group enriched lines or partial rows into report rows; ``final=False`` gives partial
+    rows, ``states=True`` merged partial rows (see ``rollup``)."""
     mins = SALES_ANY + (["mrp"] if spec.sales.unit_price else [])
-    return (rollup(lines, [*SALES_KEYS, *extra_keys], mins, SALES_SUM, final=final)
-            .select(*sales_columns(spec), *extra_keys))
+    out = rollup(lines, [*SALES_KEYS, *extra_keys], mins, SALES_SUM, final=final, states=states)
+    return out.select(*state_order(sales_columns(spec), SALES_SUM, states or not final), *extra_keys)
 
 
 def sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
@@ -88,9 +88,8 @@ def sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
     ``nulls="strict"``: the NULL-keeping variant (R10's columns and rules).
     ``partial=True``: mergeable partial rows of one load (``rollup_sales`` merges them)."""
     if nulls == "strict":
-        lines = strict_sales_lines(feed, cities, catalogue, spec)
-        return (rollup(lines, STRICT_KEYS, STRICT_ANY, SALES_SUM, final=not partial)
-                .select(*STRICT_REDSHIFT_COLUMNS))
+        return rollup_strict(strict_sales_lines(feed, cities, catalogue, spec), STRICT_REDSHIFT_COLUMNS,
+                             final=not partial)
     if nulls != "default":
         raise ValueError(f"nulls must be 'default' or 'strict', not {nulls!r}")
     return rollup_sales(sales_lines(feed, cities, catalogue, spec), spec, final=not partial)
@@ -144,8 +143,11 @@ def strict_sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
     return e.select(*[c.alias(n) for n, c in cols.items()], *carry)
 
 
-def rollup_strict(lines: DataFrame, columns: list[str], extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    return rollup(lines, [*STRICT_KEYS, *extra_keys], STRICT_ANY, SALES_SUM).select(*columns, *extra_keys)
+def rollup_strict(lines: DataFrame, columns: list[str], extra_keys: tuple[str, ...] = (),
+                  final: bool = True, states: bool = False) -> DataFrame:
+    """Group strict lines or their states into rows; ``states=True`` gives mergeable states."""
+    out = rollup(lines, [*STRICT_KEYS, *extra_keys], STRICT_ANY, SALES_SUM, final=final, states=states)
+    return out.select(*state_order(columns, SALES_SUM, states or not final), *extra_keys)
 
 
 def sales_strict(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
@@ -155,6 +157,13 @@ def sales_strict(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
 
 
 def sales_states(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
-                 spec: PlatformSpec) -> DataFrame:
-    """The aggregate-state (ClickHouse) select; rows merge with ``rollup_strict``."""
-    return rollup_strict(strict_sales_lines(feed, cities, catalogue, spec), STRICT_STATES_COLUMNS)
+                 spec: PlatformSpec, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """The aggregate-state (ClickHouse) select: one row of states per key, sums as exact
+    pairs. ``merge_states`` turns states of any number of loads into final rows."""
+    lines = strict_sales_lines(feed, cities, catalogue, spec, extra_keys)
+    return rollup_strict(lines, STRICT_STATES_COLUMNS, extra_keys, states=True)
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """R11's final rows from its states."""
+    return rollup_strict(states, STRICT_STATES_COLUMNS)

@@ -3,8 +3,9 @@
 Written from the reports' definitions, not generated from our Spark plans:
 feeds are rebuilt from the TPC-H-like views with the fixture mapping, joined,
 and aggregated with window functions (``row_number``, ``lag``) where our Spark
-code uses ``min(struct)`` and a Spark window. Sums use the same exact rule as
-the library: round each row half-up to 1e-6, add integers, divide by 1e6.
+code uses ``min(struct)`` and a Spark window. Sums follow the library's rule in
+128-bit integers: whole parts and fractions (nano-units, half-up) added apart.
+``tests/test_measures.py`` compares the rule itself with unrounded sums.
 """
 
 from __future__ import annotations
@@ -15,7 +16,11 @@ FLAG = {"blinkit": "A", "instamart": "R", "zepto": "N"}
 
 
 def xsum(expr: str) -> str:
-    return f"CAST(SUM(CAST(FLOOR(({expr}) * 1e6 + 0.5) AS BIGINT)) AS DOUBLE) / 1e6"
+    x = f"CAST(({expr}) AS DOUBLE)"
+    whole = f"SUM(CAST(FLOOR({x}) AS HUGEINT))"
+    nano = f"SUM(CAST(FLOOR(({x} - FLOOR({x})) * 1e9 + 0.5) AS HUGEINT))"
+    return (f"CAST(CAST({whole} + {nano} // 1000000000 AS BIGINT) AS DOUBLE) "
+            f"+ CAST(CAST({nano} % 1000000000 AS BIGINT) AS DOUBLE) / 1e9")
 
 
 def total(expr: str) -> str:
@@ -24,7 +29,7 @@ def total(expr: str) -> str:
 
 def base(mkt: str) -> str:
     """One row per lineitem of the marketplace with the derived fixture columns."""
-    k = "CAST(l.l_partkey % 10 AS VARCHAR)"
+    k = "CAST(l.l_partkey AS VARCHAR)"
     return f"""
     SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_extendedprice, l.l_discount,
            o.o_orderstatus, n.n_name,
@@ -60,16 +65,16 @@ CATALOGUE = f"""
            'PRID-' || CAST(p.p_partkey AS VARCHAR) AS blinkit_prid,
            'IMC-' || CAST(p.p_partkey AS VARCHAR) AS instamart_item_code,
            'INT-' || CAST(p.p_partkey AS VARCHAR) AS brand_internal_sku_code,
-           CASE WHEN p.p_partkey = 3 THEN NULL ELSE p.p_type END AS category,
+           CASE WHEN p.p_partkey % 10 = 3 THEN NULL ELSE p.p_type END AS category,
            p.p_name AS sub__category,
-           CASE WHEN p.p_partkey = 5 THEN NULL ELSE p.p_brand END AS brand,
+           CASE WHEN p.p_partkey % 10 = 5 THEN NULL ELSE p.p_brand END AS brand,
            CAST(p.p_retailprice AS VARCHAR) AS cogs,
            CASE p.p_partkey % 3 WHEN 0 THEN '5' WHEN 1 THEN '12' ELSE '18' END AS taxes,
-           CASE WHEN p.p_partkey = 4 THEN NULL ELSE CAST(5 + p.p_partkey AS DOUBLE) END AS margin,
+           CASE WHEN p.p_partkey % 10 = 4 THEN NULL ELSE CAST(5 + p.p_partkey % 40 AS DOUBLE) END AS margin,
            CAST(p.p_partkey % 2 AS BIGINT) AS active, p.p_partkey
     FROM part p
-    WHERE p.p_partkey < 10 AND p.p_partkey <> 7)
-    WHERE NOT (organizationid = 'org-2' AND p_partkey IN (8, 9))"""
+    WHERE p.p_partkey % 11 <> 7)
+    WHERE NOT (organizationid = 'org-2' AND p_partkey % 10 IN (8, 9))"""
 
 PRODUCTID = {"blinkit": "blinkit_prid", "instamart": "instamart_item_code", "zepto": "sku_code"}
 
@@ -311,7 +316,7 @@ def fulfillment_report(mkt: str) -> str:
     appointment = "CASE WHEN b.l_linenumber = 6 THEN NULL ELSE b.po_week + b.l_linenumber END"
     expiry = "CASE WHEN b.l_linenumber = 6 THEN NULL ELSE b.po_week + 30 END"
     epoch = "DATE '1970-01-01'"
-    po = "'PO-' || CAST(b.l_orderkey % 20 AS VARCHAR)"
+    po = "'PO-' || CAST(b.l_orderkey AS VARCHAR)"
     if mkt == "zepto":
         grn = f"COALESCE({ordered}, 0.0) - COALESCE({remaining}, 0.0)"
         fill_feed = f"COALESCE(1.0 - COALESCE({remaining}, 0.0) / NULLIF({ordered}, 0.0), 0.0)"
@@ -351,3 +356,21 @@ def fulfillment_report(mkt: str) -> str:
     SELECT * EXCLUDE (rn) FROM (
       SELECT *, ROW_NUMBER() OVER (PARTITION BY {FUL_KEYS} ORDER BY {FUL_ORDER}) AS rn FROM lines)
     WHERE rn = 1"""
+
+
+# ------------------------------------------------------------ jobs' results
+def _date(kind: str) -> str:
+    return "orderdate" if kind == "fulfillment" else "reportdate"
+
+
+def inside(report: str, kind: str, w: DateWindow) -> str:
+    return f"SELECT * FROM ({report}) WHERE {w.sql(_date(kind))}"
+
+
+def outside(report: str, kind: str, w: DateWindow) -> str:
+    return f"SELECT * FROM ({report}) WHERE NOT ({w.sql(_date(kind))})"
+
+
+def run_rates(mkt: str) -> str:
+    return ("SELECT organizationid, itemid, backendfacilityname, reportdate, backendinvqty, total_quantity, "
+            f"run_rate_backend, run_rate_total FROM ({inventory_report(mkt)})")

@@ -1,12 +1,12 @@
 """Rebuild report months from the feeds, and refresh the stored strict view.
 
-A backfill overwrites exactly the months it rebuilds (dynamic partition
-overwrite), so running it twice equals running it once, and it never adds on
-top of rows written by a stream (each writes its own table, see
-``plans.incremental``). An inventory rebuild of a month range starts from the
-latest earlier daily row of every series, read from the table itself and cut
-from the table's lineage with ``checkpoint()`` (in the shared checkpoint
-folder) before the same table is overwritten.
+A backfill of a month range replaces exactly these months (also those left without rows),
+so running it twice equals running it once, and it never adds on top of rows written by a
+stream (each writes its own table, see ``plans.incremental``). An inventory rebuild of a
+range starts from the latest earlier daily row of every series, read from the table's
+earlier months, and corrects the first later row of every series, whose run rate
+compares with the range: the months that hold such rows are rewritten with them. What is
+read from the table is written to the shared checkpoint folder before the table is.
 """
 
 from __future__ import annotations
@@ -14,19 +14,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.measures import depletion
 from ..operators.enrich import check_dimensions
 from ..operators.fulfillment import fulfillment_report
-from ..operators.inventory import INV_ANY, INV_KEYS, INV_SUM, inventory_report, latest_before
+from ..operators.inventory import (INV_ANY, INV_KEYS, INV_SERIES, INV_SUM, INVENTORY_COLUMNS, inventory_report,
+                                   latest_before)
 from ..operators.sales import sales_report, sales_strict
 from ..session import checkpoint_root
-from ..sources.report_io import read_report, write_report
+from ..sources.report_io import MONTH, write_report
 from ..specs import PlatformSpec
-from ..windows import DateWindow
-
-
-def month_window(first: int, last: int) -> DateWindow:
-    """Whole months first..last (yyyymm, inclusive)."""
-    return DateWindow(f"{first // 100:04d}-{first % 100:02d}-01", f"{last // 100:04d}-{last % 100:02d}-31")
+from ..windows import month_window
+from . import files
 
 
 def feed_date(kind: str, spec: PlatformSpec) -> str:
@@ -45,38 +43,63 @@ def build_report(kind: str, spec: PlatformSpec, feed: DataFrame, cities: DataFra
     raise ValueError(kind)
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:
-        return False
+DAILY = [*INV_KEYS, *INV_ANY, *INV_SUM]
+
+
+def _later_rows(spark: SparkSession, out: str, last_month: int, ends: DataFrame) -> DataFrame:
+    """The table's rows in the later months that hold a series' first row after ``ends`` (the
+    latest row of each series up to the range) with another run rate than stored, corrected."""
+    later = spark.read.parquet(out).filter(F.col(MONTH) > last_month)
+    first = later.groupBy(*INV_SERIES).agg(F.min("reportdate").alias("reportdate"))
+    prior = ends.select(*INV_SERIES, *[F.col(c).alias("_" + c) for c in ("backendinvqty", "total_quantity")])
+    rate = lambda c: depletion(F.coalesce(F.col("_" + c), F.lit(0.0)), F.col(c))
+    fixed = (later.join(first, [*INV_SERIES, "reportdate"]).join(prior, INV_SERIES, "left")
+             .select(*INV_SERIES, "reportdate", MONTH, rate("backendinvqty").alias("_back"), rate("total_quantity").alias("_total"),
+                     "run_rate_backend", "run_rate_total")
+             .filter((F.col("_back") != F.col("run_rate_backend")) | (F.col("_total") != F.col("run_rate_total")))
+             .drop("run_rate_backend", "run_rate_total").checkpoint(eager=True))
+    months = [r[MONTH] for r in fixed.select(MONTH).distinct().collect()]  # at most all months
+    rows = later.filter(F.col(MONTH).isin(*months) if months else F.lit(False))
+    return (rows.join(fixed.drop(MONTH), [*INV_SERIES, "reportdate"], "left")
+            .withColumn("run_rate_backend", F.coalesce("_back", "run_rate_backend"))
+            .withColumn("run_rate_total", F.coalesce("_total", "run_rate_total")).select(*INVENTORY_COLUMNS))
 
 
 def backfill(spark: SparkSession, kind: str, spec: PlatformSpec, feed: DataFrame,
              cities: DataFrame, catalogue: DataFrame, out: str,
              months: tuple[int, int] | None = None, prices: DataFrame | None = None,
              partitions: int | None = None, check_dims: bool = True) -> None:
-    """Recompute report months from the feed and overwrite them in ``out``.
-    ``check_dims``: fail on duplicate dimension keys first (they would multiply sums)."""
+    """Recompute report months from the feed and replace them in ``out`` (the whole table
+    without ``months``). ``check_dims``: fail on duplicate dimension keys first."""
     checkpoint_root(spark)
     if check_dims:
         check_dimensions(cities, catalogue, spec)
-    last = None
-    if months is not None:
-        w = month_window(*months)
-        feed = feed.filter(w.contains(F.to_date(F.col(feed_date(kind, spec)))))
-        if kind == "inventory" and _table_exists(spark, out):
-            daily = read_report(spark, out, kind).select(*INV_KEYS, *INV_ANY, *INV_SUM)
-            # One row per series: small, and cut from the table we are about to overwrite.
-            last = latest_before(daily, w.start).checkpoint(eager=True)
-    report = build_report(kind, spec, feed, cities, catalogue, prices, last)
-    write_report(report, out, kind, partitions=partitions)
+    if months is None:
+        write_report(build_report(kind, spec, feed, cities, catalogue, prices), out, kind, partitions=partitions,
+                     overwrite_mode="static")
+        return
+    w = month_window(*months)
+    feed = feed.filter(w.contains(F.to_date(F.col(feed_date(kind, spec)))))
+    if kind != "inventory" or not files.has_data(spark, out):
+        write_report(build_report(kind, spec, feed, cities, catalogue, prices), out, kind, partitions=partitions,
+                     months=months)
+        return
+    earlier = spark.read.parquet(out).filter(F.col(MONTH) < months[0]).select(*DAILY)
+    # One row per series, cut from the table we are about to overwrite.
+    last = latest_before(earlier, w.start).checkpoint(eager=True)
+    new = build_report(kind, spec, feed, cities, catalogue, prices, last).checkpoint(eager=True)
+    ends = (new.select(*DAILY).unionByName(last).groupBy(*INV_SERIES)
+            .agg(F.max_by(F.struct("backendinvqty", "total_quantity"), "reportdate").alias("_e"))
+            .select(*INV_SERIES, "_e.*"))
+    later = _later_rows(spark, out, months[1], ends).checkpoint(eager=True)
+    write_report(new.unionByName(later), out, kind, partitions=partitions, months=months)
 
 
 def refresh_strict_view(spark: SparkSession, spec: PlatformSpec, feed: DataFrame,
-                        cities: DataFrame, catalogue: DataFrame, out: str) -> None:
+                        cities: DataFrame, catalogue: DataFrame, out: str, check_dims: bool = True) -> None:
     """Rebuild the stored strict view as a whole (static overwrite)."""
+    if check_dims:
+        check_dimensions(cities, catalogue, spec)
     write_report(sales_strict(feed, cities, catalogue, spec), out, "sales_strict",
                  overwrite_mode="static")
 

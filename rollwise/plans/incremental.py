@@ -1,42 +1,49 @@
 """Mergeable partial tables and their merge and compaction.
 
-A partial table holds report-shaped rows of separate loads (micro-batches,
-feed splits). Sums are exact and attributes are ``min`` / the smallest line, so
-merging is the same aggregation again and any grouping of loads gives the same
-report. Inventory partials are daily sums; the run-rate window runs only on the
-merged days (a window inside one load would see a single day).
+A partial table holds rows of separate loads (micro-batches, feed splits) whose sums are
+exact integer pairs and whose attributes are ``min`` / the smallest line, so merging is
+the same aggregation again and any grouping of loads gives the same report.
+Inventory partials are daily sums; the run-rate window runs only on the merged days (a
+window inside one load would see a single day).
 
 Layout of an incremental table at ``root``::
 
-    root/batches/batch_id=<n>/     partial rows of load n, sorted by date (replay overwrites it)
-    root/compacted/yyyymm=<m>/     merged rows of month m, with column through_batch
-
-A load is written as the few files its aggregation produced (no month split:
-a load spanning many months would otherwise write tasks x months tiny files);
-rows are sorted by date, so parquet min/max statistics still skip other
-months. A reader takes, per month, the compacted rows plus the batches written
-after them; both are ordinary lazy Spark reads, unioned and merged in one
-aggregate.
+    root/batches/yyyymm=<m>/batch_id=<n>/     partial rows of load n in month m
+    root/compacted/yyyymm=<m>/version=<v>/    merged rows of month m
+    root/marks/                               (yyyymm, version, through_batch) per compaction or backfill
+
+The marks are the manifest: a month's newest mark says which version holds its merged
+rows, and that loads up to ``through_batch`` are in it (or superseded by a backfill). A
+reader takes that version and the later loads; both conditions are on partition columns,
+so folders of other months, of older versions and of loads already merged are not
+opened. A version is never overwritten: a compaction or backfill writes a new one and
+appends its mark last, so readers and a crash in between see the state before.
+``vacuum`` deletes what no mark needs any more. One writer of marks at a time.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+import time
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.enrich import check_dimensions
 from ..operators.fulfillment import fulfillment_lines, representative_line
 from ..operators.inventory import daily_stock, inventory_lines, latest_before, with_run_rates
 from ..operators.sales import rollup_sales, sales_lines
 from ..functions.measures import yyyymm
-from ..sources.report_io import MONTH, clustered, date_column
+from ..sources.report_io import MONTH, date_column
 from ..specs import PlatformSpec
-from ..windows import DateWindow
+from ..windows import DateWindow, month_window, months_between
+from . import files
 
 KINDS = ("sales", "inventory", "fulfillment")
 BATCH = "batch_id"
+VERSION = "version"
 THROUGH = "through_batch"
+MARKS = f"{MONTH} int, {VERSION} long, {THROUGH} long"
 
 
 def partial_rows(kind: str, feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
@@ -57,12 +64,13 @@ def partial_rows(kind: str, feed: DataFrame, cities: DataFrame, catalogue: DataF
     raise ValueError(kind)
 
 
-def merge_rows(parts: DataFrame, kind: str, spec: PlatformSpec) -> DataFrame:
-    """Merge partial rows into partial rows (no run rates yet)."""
+def merge_rows(parts: DataFrame, kind: str, spec: PlatformSpec, states: bool = False) -> DataFrame:
+    """Merge partial rows into one row per key (no run rates yet); ``states=True`` keeps sums
+    as pairs, for writing back."""
     if kind == "sales":
-        return rollup_sales(parts, spec)
+        return rollup_sales(parts, spec, states=states)
     if kind == "inventory":
-        return daily_stock(parts)
+        return daily_stock(parts, states=states)
     return representative_line(parts, spec)
 
 
@@ -83,118 +91,157 @@ def split_merge(kind: str, feed: DataFrame, cities: DataFrame, catalogue: DataFr
 
 
 # ----------------------------------------------------------- table layout
-def batch_path(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/batches/{BATCH}={int(batch_id)}"
+def _folder(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}"
+
+
+def _write_months(rows: DataFrame, path: str, kind: str, column: str, value: int) -> None:
+    """Rows below ``path`` by month and ``column``. The rebalance gives a month the files its
+    size asks for, large months several."""
+    out = rows.withColumn(MONTH, yyyymm(F.col(date_column(kind)))).withColumn(column, F.lit(value).cast("long"))
+    (out.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(MONTH, column).parquet(path))
 
 
 def write_batch(rows: DataFrame, root: str, kind: str, batch_id: int) -> None:
-    """Write one load's partial rows; replaying the same batch id overwrites them."""
-    (rows.sortWithinPartitions(date_column(kind)).write.mode("overwrite")
-     .parquet(batch_path(root, batch_id)))
-
-
-def read_batches(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """All loads, with their batch id and month."""
-    path = f"{root.rstrip('/')}/batches"
-    return spark.read.parquet(path).withColumn(MONTH, yyyymm(F.col(date_column(kind))))
-
-
-def _compacted(spark: SparkSession, root: str) -> DataFrame | None:
-    path = f"{root.rstrip('/')}/compacted"
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # no month compacted yet
-        return None
-
-
-def read_partials(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """All partial rows of the table: compacted months + batches not yet in them."""
-    comp = _compacted(spark, root)
-    try:
-        batches = read_batches(spark, root, kind)
-    except Exception:  # only backfilled months so far
-        if comp is None:
-            raise
-        return comp.drop(THROUGH)
-    if comp is None:
-        return batches.drop(BATCH)
-    # One row per compacted month: bounded by the number of months, safe to broadcast.
-    marks = comp.groupBy(MONTH).agg(F.max(THROUGH).alias("_hw"))
-    later = (batches.join(F.broadcast(marks), MONTH, "left")
-             .filter(F.col("_hw").isNull() | (F.col(BATCH) > F.col("_hw")))
-             .drop("_hw", BATCH))
-    return comp.drop(THROUGH).unionByName(later)
+    """Write one load's partial rows; replaying the same batch id replaces them."""
+    spark, path = rows.sparkSession, _folder(root, "batches")
+    for old in files.matching(spark, f"{path}/{MONTH}=*/{BATCH}={int(batch_id)}"):
+        files.delete(spark, old)
+    _write_months(rows, path, kind, BATCH, int(batch_id))
+
+
+def read_marks(spark: SparkSession, root: str) -> dict[int, tuple[int, int]]:
+    """month -> (version, through_batch) of its newest mark: one small row per month."""
+    if not files.has_data(spark, _folder(root, "marks")):
+        return {}
+    newest = (spark.read.schema(MARKS).parquet(_folder(root, "marks")).groupBy(MONTH)
+              .agg(F.max(F.struct(VERSION, THROUGH)).alias("m")))
+    return {r[MONTH]: (r["m"][VERSION], r["m"][THROUGH]) for r in newest.collect()}
+
+
+def _write_marks(spark: SparkSession, root: str, months: list[int], version: int, through: dict[int, int]) -> None:
+    rows = [(m, version, through[m]) for m in months]
+    spark.createDataFrame(rows, MARKS).coalesce(1).write.mode("append").parquet(_folder(root, "marks"))
+
+
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
+def _within(months: tuple[int, int] | None) -> Column:
+    return F.col(MONTH).between(*months) if months else F.lit(True)
+
+
+def read_partials(spark: SparkSession, root: str, kind: str, months: tuple[int, int] | None = None) -> DataFrame:
+    """All partial rows of the table (of months first..last): marked versions and later loads."""
+    marks = read_marks(spark, root)
+    if months:
+        marks = {m: v for m, v in marks.items() if months[0] <= m <= months[1]}
+    parts = []
+    if files.has_data(spark, _folder(root, "compacted")):
+        current = _any([(F.col(MONTH) == m) & (F.col(VERSION) == v) for m, (v, _) in sorted(marks.items())])
+        parts.append(spark.read.parquet(_folder(root, "compacted")).filter(_within(months) & current).drop(VERSION))
+    if files.has_data(spark, _folder(root, "batches")):
+        later = _any([(F.col(MONTH) == m) & (F.col(BATCH) > t) for m, (_, t) in sorted(marks.items())])
+        unmarked = F.col(MONTH).isNull() | ~F.col(MONTH).isin(*marks) if marks else F.lit(True)
+        parts.append(spark.read.parquet(_folder(root, "batches")).filter(_within(months) & (unmarked | later)).drop(BATCH))
+    if not parts:
+        raise FileNotFoundError(f"no load has been written to {root}")
+    return reduce(DataFrame.unionByName, parts).drop(MONTH)
 
 
 def read_merged(spark: SparkSession, root: str, kind: str, spec: PlatformSpec,
                 window: DateWindow | None = None) -> DataFrame:
-    """The current report from the partial table, optionally for a date window.
+    """The current report from the partial table, optionally for a date window (only the
+    window's months are read).
 
-    For inventory, the run rate of the window's first day needs the latest
-    earlier day of each series: earlier partials are merged and reduced to one
-    row per series (``latest_before``) and seed the window's lag."""
-    parts = read_partials(spark, root, kind).drop(MONTH)
+    For inventory, the run rate of the window's first day needs the latest earlier
+    day of each series: months up to the window's are merged and reduced to one row per
+    series (``latest_before``), which seed the window's lag; later months are not read."""
     if window is None:
-        return merge_partials(parts, kind, spec)
+        return merge_partials(read_partials(spark, root, kind), kind, spec)
     day = F.col(date_column(kind))
-    inside = parts.filter(window.contains(day))
+    inside = read_partials(spark, root, kind, window.months()).filter(window.contains(day))
     if kind != "inventory":
         return merge_partials(inside, kind, spec)
-    earlier = merge_rows(parts.filter(day < F.lit(window.start)), kind, spec)
-    return merge_partials(inside, kind, spec, last_snapshots=latest_before(earlier, window.start))
+    before = read_partials(spark, root, kind, (0, window.months()[0])).filter(day < F.lit(window.start))
+    return merge_partials(inside, kind, spec, last_snapshots=latest_before(merge_rows(before, kind, spec), window.start))
+
 
+def _last_batches(spark: SparkSession, root: str, months: tuple[int, int]) -> dict[int, int]:
+    """month -> largest batch id, from partition folders (one small row per month)."""
+    if not files.has_data(spark, _folder(root, "batches")):
+        return {}
+    held = spark.read.parquet(_folder(root, "batches")).filter(_within(months))
+    return {r[MONTH]: r["b"] for r in held.groupBy(MONTH).agg(F.max(BATCH).alias("b")).collect()}
 
-def _month_bounds(first_month: int, last_month: int) -> tuple[dt.date, dt.date]:
-    first = dt.date(first_month // 100, first_month % 100, 1)
-    last_first = dt.date(last_month // 100, last_month % 100, 1)
-    nxt = dt.date(last_first.year + last_first.month // 12, last_first.month % 12 + 1, 1)
-    return first, nxt - dt.timedelta(days=1)
+
+def _new_version() -> int:
+    return time.time_ns()
 
 
 def compact_months(spark: SparkSession, root: str, kind: str, spec: PlatformSpec,
                    first_month: int, last_month: int) -> None:
-    """I5 for a month range in one job: the range's batches are read once (a
-    date-range predicate, pushed to the parquet scan), merged, and written as the
-    months' compacted rows (dynamic partition overwrite).
-
-    The high-water batch id is fixed first, so batches landing meanwhile stay
-    visible to readers as later batches."""
-    first, last = _month_bounds(first_month, last_month)
-    day = F.col(date_column(kind))
-    batches = read_batches(spark, root, kind).filter(day.between(F.lit(first), F.lit(last)))
-    hw = batches.agg(F.max(BATCH)).first()[0]
-    if hw is None:
+    """I5 for a month range in one job: months with loads above their mark are merged with
+    what their mark holds (also rows that came only through a backfill) into a new version.
+
+    The last load of each month is fixed first, so loads landing meanwhile stay visible
+    to readers as later loads."""
+    marks = read_marks(spark, root)
+    last = {m: b for m, b in _last_batches(spark, root, (first_month, last_month)).items()
+            if m not in marks or b > marks[m][1]}
+    if not last:
         return
-    rows = merge_rows(batches.filter(F.col(BATCH) <= hw).drop(BATCH, MONTH), kind, spec)
-    (clustered(rows.withColumn(THROUGH, F.lit(int(hw))), kind).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(MONTH).parquet(f"{root.rstrip('/')}/compacted"))
+    day = F.col(date_column(kind))
+    held = []
+    for name, column in (("compacted", VERSION), ("batches", BATCH)):
+        if files.has_data(spark, _folder(root, name)):
+            rows = spark.read.parquet(_folder(root, name))
+            if name == "compacted":
+                use = _any([(F.col(MONTH) == m) & (F.col(VERSION) == marks[m][0]) for m in sorted(last) if m in marks])
+            else:
+                use = _any([(F.col(MONTH) == m) & (F.col(BATCH) <= b) & (F.col(BATCH) > (marks[m][1] if m in marks else -1))
+                            for m, b in sorted(last.items())])
+            held.append(rows.filter(use & day.isNotNull()).drop(column, MONTH))
+    merged = merge_rows(reduce(DataFrame.unionByName, held), kind, spec, states=True)
+    version = _new_version()
+    _write_months(merged, _folder(root, "compacted"), kind, VERSION, version)
+    _write_marks(spark, root, sorted(last), version, last)
 
 
 def compact_month(spark: SparkSession, root: str, kind: str, spec: PlatformSpec, month: int) -> None:
-    """Rewrite one month's batches as merged rows."""
+    """Merge one month's loads into a new version."""
     compact_months(spark, root, kind, spec, month, month)
 
 
 def backfill_months(spark: SparkSession, root: str, kind: str, spec: PlatformSpec, feed: DataFrame,
                     cities: DataFrame, catalogue: DataFrame, months: tuple[int, int],
-                    prices: DataFrame | None = None) -> None:
-    """I6 into an incremental table: recompute months first..last (yyyymm) from
-    the feed and write them as the months' merged rows, superseding every batch
-    written so far for them (high-water = the current largest batch id).
-
-    Meant for closed months: rows of those months that a stream loads *after*
-    this call (batch id above the mark) are added on top, so the feed read here
-    must not contain them."""
-    first, last = _month_bounds(*months)
-    try:
-        hw = read_batches(spark, root, kind).agg(F.max(BATCH)).first()[0]
-    except Exception:  # no batch yet
-        hw = None
-    hw = -1 if hw is None else int(hw)
+                    prices: DataFrame | None = None, check_dims: bool = True) -> None:
+    """I6 into an incremental table: recompute months first..last (yyyymm) from the feed as
+    their new version, superseding every load and version so far, also where the feed has
+    no rows any more (the month is then empty).
+
+    Meant for closed months: rows of those months that a stream loads *after* this call
+    (batch id above the mark) are added on top, so the feed read here must not contain them."""
+    if check_dims:
+        check_dimensions(cities, catalogue, spec)
+    through = {m: -1 for m in months_between(*months)}
+    every = _last_batches(spark, root, (0, 999912))
+    last = max(every.values(), default=-1)
     day = F.to_date(F.col(getattr(spec, kind).date))
-    rows = merge_rows(partial_rows(kind, feed.filter(day.between(F.lit(first), F.lit(last))),
-                                   cities, catalogue, spec, prices), kind, spec)
-    (clustered(rows.withColumn(THROUGH, F.lit(hw)), kind).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(MONTH).parquet(f"{root.rstrip('/')}/compacted"))
+    inside = feed.filter(month_window(*months).contains(day))
+    rows = merge_rows(partial_rows(kind, inside, cities, catalogue, spec, prices), kind, spec, states=True)
+    version = _new_version()
+    _write_months(rows, _folder(root, "compacted"), kind, VERSION, version)
+    _write_marks(spark, root, sorted(through), version, dict.fromkeys(through, last))
+
+
+def vacuum(spark: SparkSession, root: str) -> None:
+    """Delete versions without a newest mark and loads that are merged or superseded (no
+    reader of an older state may be running)."""
+    for month, (version, through) in read_marks(spark, root).items():
+        for name, column, gone in (("compacted", VERSION, lambda v: v != version), ("batches", BATCH, lambda b: b <= through)):
+            for path in files.matching(spark, f"{_folder(root, name)}/{MONTH}={month}/{column}=*"):
+                if gone(int(path.rsplit("=", 1)[1])):
+                    files.delete(spark, path)

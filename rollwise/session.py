@@ -2,8 +2,8 @@
 
 Everything that must survive an executor loss (stream checkpoints, written
 partial tables, lineage cuts) goes below the folder the cluster names in
-``spark.checkpoint.dir``. Only when that setting is missing (local tests,
-the bench) do we pick a folder of our own and register it.
+``spark.checkpoint.dir``. Only in local mode (tests, the bench), where there is one
+machine, is a missing setting replaced by a folder of our own.
 """
 
 from __future__ import annotations
@@ -57,14 +57,12 @@ def apply_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables."""
     sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        # Unset: only in tests and local runs. A cluster always names one.
-        root = tempfile.mkdtemp(prefix="rollwise-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="rollwise-ckpt-"))
+        root = sc.getCheckpointDir()
     return root
 
 
@@ -74,31 +72,27 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "rollwise", *parts, uuid.uuid4().hex])
 
 
-_shipped: set[int] = set()
+_shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``rollwise`` importable in the Python workers, as ``--py-files`` does:
-    the package is zipped once per Spark context and added with ``addPyFile``.
-    Needed where worker-side Python of this package runs (the run-rate state
-    function); a cluster that already installs the package can skip it."""
+    the package is zipped once per application and added with ``addPyFile`` (Spark's
+    own file distribution copies it from the driver). Needed where worker-side Python of
+    this package runs; a cluster that already installs the package can skip it."""
     sc = spark.sparkContext
-    if id(sc) in _shipped:
+    if sc.applicationId in _shipped:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    root = checkpoint_root(spark)
-    stage = local_path(root) if "://" not in local_path(root) else tempfile.gettempdir()
-    folder = os.path.join(stage, "rollwise", "pyfiles", uuid.uuid4().hex)
-    os.makedirs(folder, exist_ok=True)
-    zpath = os.path.join(folder, "rollwise.zip")
+    zpath = os.path.join(tempfile.mkdtemp(prefix="rollwise-py-"), "rollwise.zip")
     with zipfile.ZipFile(zpath, "w") as z:
-        for d, _, files in os.walk(pkg):
-            for f in files:
+        for d, _, names in os.walk(pkg):
+            for f in names:
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(zpath)
-    _shipped.add(id(sc))
+    _shipped.add(sc.applicationId)
 
 
 def local_path(path: str) -> str:

@@ -6,17 +6,20 @@ of it is one lazy Spark plan per feed: nothing is collected and the work grows
 with the tables.
 
 Fixed values of the mapping (they decide which join branches are exercised):
-  marketplace by l_returnflag: A -> blinkit, R -> instamart, N -> zepto
+  marketplace by l_returnflag: A -> blinkit, R -> instamart, N -> zepto (every line
+           belongs to one marketplace, each feed is that third of the table)
   tenants: 'org-' || (o_custkey % 3)          -> org-0, org-1, org-2
-  SKU: 'SKU-' || (l_partkey % 10); zepto lower-cases it on even line numbers
-  item name NULL when l_partkey % 7 = 0, else 'Item ' || (l_partkey % 10)
+  SKU: 'SKU-' || l_partkey; zepto lower-cases it on even line numbers
+  item name NULL when l_partkey % 7 = 0, else 'Item ' || l_partkey
   sales / front-end quantity NULL on line 5; ordered 0.0 and remaining NULL on line 7
   appointment / expiry / grn dates NULL on line 6
-  purchase order: 'PO-' || (l_orderkey % 20)
-  city map: nations with n_nationkey % 6 = 5 left out; brand_s_choice = region name
-  catalogue: parts 1..9 without 7, and without 8 and 9 for org-2;
-             category NULL for part 3, brand NULL for part 5, margin NULL for part 4
-             taxes '5', '12', '18' for p_partkey % 3 = 0, 1, 2; margin = 5 + p_partkey
+  purchase order: 'PO-' || l_orderkey
+  city map: nations with n_nationkey % 6 = 5 left out, so that some cities are unmapped
+           (their feed rows stay); brand_s_choice = region name
+  catalogue: all parts but those with p_partkey % 11 = 7, and for org-2 but those with
+           p_partkey % 10 in (8, 9), so that some SKUs are unlisted;
+           category NULL for p_partkey % 10 = 3, brand NULL for 5, margin NULL for 4
+           taxes '5', '12', '18' for p_partkey % 3 = 0, 1, 2; margin = 5 + p_partkey % 40
   targets: platform 'zepto' when o_orderkey % 4 = 0, else 'blinkit'
 """
 
@@ -25,12 +28,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.broadcast import broadcast_if_small
-
 MARKETPLACE_FLAG = {"blinkit": "A", "instamart": "R", "zepto": "N"}
 TENANTS = ("org-0", "org-1", "org-2")
-DIM_MAX_ROWS = 100_000
-SUPPLIER_MAX_ROWS = 1_000_000
+#: Parts that the catalogue does not hold, by a modulus: their number grows with the table.
+UNLISTED = (11, 7)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,15 +63,12 @@ def line_base(spark: SparkSession, sf_dir: str, marketplace: str) -> DataFrame:
         F.col("n_nationkey").alias("s_nationkey"), "n_name")
     supplier_city = (
         table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-        .join(broadcast_if_small(nation, DIM_MAX_ROWS), "s_nationkey")
+        .join(nation, "s_nationkey")
         .select("l_suppkey", "n_name")
     )
-    # Suppliers are broadcast while their count is under the bound (Spark's own
-    # estimate of a join's size is far too high without CBO); past it, sort-merge.
-    supplier_city = broadcast_if_small(supplier_city, SUPPLIER_MAX_ROWS)
-    # lineitem x orders is the big join: sort-merge on the order key, AQE splits skew.
+    # lineitem x orders is the big join; Spark broadcasts the supplier side while it is small.
     j = li.join(orders, "l_orderkey").join(supplier_city, "l_suppkey")
-    k = F.col("l_partkey") % 10
+    k = F.col("l_partkey")
     ln = F.col("l_linenumber")
     sku = _text("SKU-", k)
     return j.select(
@@ -139,7 +137,7 @@ def fulfillment_feed(spark: SparkSession, sf_dir: str, marketplace: str) -> Data
     remaining = _null_when(ln == 7, F.floor(F.col("l_quantity") * F.col("l_discount") * 5).cast("double"))
     appointment = _null_when(ln == 6, F.date_add(F.col("_po_week"), ln))
     expiry = _null_when(ln == 6, F.date_add(F.col("_po_week"), F.lit(30)))
-    po = _text("PO-", F.col("l_orderkey") % 20)
+    po = _text("PO-", F.col("l_orderkey"))
     common = dict(organizationId=F.col("_org"))
     if marketplace in ("blinkit", "instamart"):
         status = {"blinkit": "poState", "instamart": "status"}[marketplace]
@@ -168,7 +166,7 @@ def _tenants() -> Column:
 def city_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     nation = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") % 6 != 5)
-    n = nation.join(broadcast_if_small(region, DIM_MAX_ROWS), "n_regionkey")
+    n = nation.join(region, "n_regionkey")
     return n.select(
         _tenants().alias("organizationid"),
         F.col("n_name").alias("blinkit"),
@@ -180,11 +178,11 @@ def city_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("p_partkey")
-    part = table(spark, sf_dir, "part").filter((p < 10) & (p != 7))
-    margin = _null_when(p == 4, (F.lit(5) + p).cast("double"))
+    part = table(spark, sf_dir, "part").filter(p % UNLISTED[0] != UNLISTED[1])
+    margin = _null_when(p % 10 == 4, (F.lit(5) + p % 40).cast("double"))
     active = (p % 2).cast("bigint")
     rows = part.select("*", _tenants().alias("organizationid")).filter(
-        ~((F.col("organizationid") == F.lit("org-2")) & p.isin(8, 9)))
+        ~((F.col("organizationid") == F.lit("org-2")) & (p % 10).isin(8, 9)))
     return rows.select(
         "organizationid",
         _text("SKU-", p).alias("blinkit_sku_code"),
@@ -193,9 +191,9 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("PRID-", p).alias("blinkit_prid"),
         _text("IMC-", p).alias("instamart_item_code"),
         _text("INT-", p).alias("brand_internal_sku_code"),
-        _null_when(p == 3, F.col("p_type")).alias("category"),
+        _null_when(p % 10 == 3, F.col("p_type")).alias("category"),
         F.col("p_name").alias("sub__category"),
-        _null_when(p == 5, F.col("p_brand")).alias("brand"),
+        _null_when(p % 10 == 5, F.col("p_brand")).alias("brand"),
         F.col("p_retailprice").cast("string").alias("cogs"),
         F.when(p % 3 == 0, F.lit("5")).when(p % 3 == 1, F.lit("12")).otherwise(F.lit("18")).alias("taxes"),
         margin.alias("blinkit_margin"),

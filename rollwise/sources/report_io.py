@@ -4,8 +4,8 @@ Layout: ``<path>/yyyymm=<YYYYMM>/part-*.parquet``. Before the write the rows
 are range-partitioned on (month, table sort key) and sorted within each task,
 so every file covers a narrow key range: parquet min/max statistics then skip
 row groups for tenant and date predicates, and a month is spread over many
-tasks instead of landing in one. Backfills overwrite only the months they
-produce (dynamic partition overwrite), so a replay leaves the table unchanged.
+tasks instead of landing in one. A backfill of a month range replaces exactly these
+months, also those that have no rows any more; one of the whole table replaces it.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.measures import yyyymm
+from ..plans import files
 from ..windows import DateWindow
 
 MONTH = "yyyymm"
@@ -43,16 +44,24 @@ def clustered(df: DataFrame, kind: str, partitions: int | None = None) -> DataFr
 
 def write_report(df: DataFrame, path: str, kind: str, mode: str = "overwrite",
                  partitions: int | None = None, max_records_per_file: int = 5_000_000,
-                 overwrite_mode: str = "dynamic") -> None:
+                 overwrite_mode: str = "dynamic", months: tuple[int, int] | None = None) -> None:
     """Write by column name, partitioned by month.
 
-    With ``mode="overwrite"`` and the session's dynamic partition overwrite,
-    only the months present in ``df`` are replaced; ``overwrite_mode="static"``
-    replaces the whole table."""
+    With ``mode="overwrite"`` only the months present in ``df`` are replaced (dynamic partition
+    overwrite), and those of the range ``months`` that are not present are removed;
+    ``overwrite_mode="static"`` replaces the whole table."""
+    spark = df.sparkSession
+    before = files.matching(spark, f"{path.rstrip('/')}/{MONTH}=*")
+    if months and before:
+        present = {r[MONTH] for r in df.select(yyyymm(F.col(date_column(kind))).alias(MONTH)).distinct().collect()}
     (clustered(df, kind, partitions).write.mode(mode)
      .option("partitionOverwriteMode", overwrite_mode)
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(MONTH).parquet(path))
+    for old in before if months else ():
+        month = old.rsplit("=", 1)[1]
+        if month.isdigit() and months[0] <= int(month) <= months[1] and int(month) not in present:
+            files.delete(spark, old)
 
 
 def write_colocated(df: DataFrame, table: str, path: str, kind: str, buckets: int,

@@ -1,18 +1,19 @@
 """The nine insert-triggered views as Structured Streaming jobs.
 
-Each micro-batch of new feed files is enriched against the static dimensions
-(stream-static left joins), reduced to partial rows and written to its own
-``batches/batch_id=<id>`` folder with overwrite. A replayed batch after a
-failure rewrites the same folder, so the table is exactly-once without a
-transactional sink; readers merge all batches (``plans.incremental``).
-
-Zepto fulfillment prices its lines from the sales feed: per batch only the
-sales days the batch's orders fall in are read (a pushed-down date range),
-not the whole sales history.
+Each micro-batch of new feed files is enriched against the dimensions as they are at
+that moment (a view's inserts join the tables of the moment), reduced to partial rows
+and written to its own batch folders with overwrite. A replayed batch after a failure
+rewrites the same folders, so the table is exactly-once without a transactional sink;
+readers merge all batches (``plans.incremental``).
+
+Zepto fulfillment prices its lines from the sales feed: per batch only sales of the
+batch's own (SKU, day) pairs are aggregated, whatever range of days they span.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,35 +25,48 @@ from ..operators.fulfillment import daily_min_price
 from ..plans.incremental import partial_rows, write_batch
 from ..specs import PlatformSpec, platform
 
+#: A dimension or feed, or how to read it anew.
+Source = DataFrame | Callable[[], DataFrame]
+
+
+def current(source: Source) -> DataFrame:
+    """The rows as they are now. A loader is called; a frame over files that were replaced
+    since it was made would fail, so streams should be given loaders."""
+    return source() if callable(source) else source
+
 
-def _prices_for(batch: DataFrame, spec: PlatformSpec, sales_feed: DataFrame) -> DataFrame:
-    date = F.to_date(F.col(spec.fulfillment.date))
-    lo, hi = batch.agg(F.min(date), F.max(date)).first()
-    zs = platform("zepto").sales
-    sales = sales_feed.filter(F.to_date(F.col(zs.date)).between(F.lit(lo), F.lit(hi))) if lo else sales_feed.limit(0)
-    return daily_min_price(sales, platform("zepto"))
+def prices_for(batch: DataFrame, spec: PlatformSpec, sales_feed: DataFrame) -> DataFrame:
+    """Smallest daily prices of the SKUs and days the batch asks for."""
+    zs = platform("zepto")
+    asked = batch.select(F.lower(F.col(spec.fulfillment.item).cast("string")).alias("_sku"),
+                         F.to_date(F.col(spec.fulfillment.date)).alias("_day")).distinct()
+    item, day = F.lower(F.col(zs.sales.item)), F.to_date(F.col(zs.sales.date))
+    sales = sales_feed.join(asked, (item == F.col("_sku")) & (day == F.col("_day")), "left_semi")
+    return daily_min_price(sales, zs)
 
 
 def stream_report(spark: SparkSession, kind: str, spec: PlatformSpec, feed_path: str,
-                  feed_schema: StructType | None, cities: DataFrame, catalogue: DataFrame, root: str,
-                  checkpoint: str, sales_feed: DataFrame | None = None,
-                  max_files_per_trigger: int = 1, available_now: bool = True,
+                  feed_schema: StructType | None, cities: Source, catalogue: Source, root: str,
+                  checkpoint: str, sales_feed: Source | None = None,
+                  max_files_per_trigger: int | None = None, available_now: bool = True,
                   processing_time: str | None = None, check_dims: bool = True) -> StreamingQuery:
-    """Start the incremental load of one report; returns the running query.
-    (The dimensions' broadcast size check is remembered across micro-batches.)"""
-    if check_dims:
-        check_dimensions(cities, catalogue, spec)
+    """Start the incremental load of one report; returns the running query. The dimensions
+    are read, and checked for duplicate keys, in every micro-batch."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        c, k = current(cities), current(catalogue)
+        if check_dims:
+            check_dimensions(c, k, spec)
         prices = None
         if kind == "fulfillment" and spec.fulfillment.unit_price is None:
-            prices = _prices_for(batch, spec, sales_feed)
-        write_batch(partial_rows(kind, batch, cities, catalogue, spec, prices), root, kind, batch_id)
+            prices = prices_for(batch, spec, current(sales_feed))
+        write_batch(partial_rows(kind, batch, c, k, spec, prices), root, kind, batch_id)
 
     schema = feed_schema or schemas.feed_schema(spec.name, kind)   # declared, never inferred
-    src = (spark.readStream.schema(schema)
-           .option("maxFilesPerTrigger", max_files_per_trigger).parquet(feed_path))
-    w = src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    w = reader.parquet(feed_path).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if processing_time:
         w = w.trigger(processingTime=processing_time)
     elif available_now:

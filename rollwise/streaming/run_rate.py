@@ -1,128 +1,81 @@
 """I8: live stock run rates as inventory snapshots arrive.
 
-The reference computes the run rate with a window inside an insert-triggered
-view, which only sees the inserted block (a daily load gets run rate 0). Here
-the previous snapshot of each series is kept as streaming state
-(``applyInPandasWithState`` keyed by tenant, item and facility), so each
-arriving day is compared with the last day seen before it, across batches.
-
-State per series: the previous and the current day with their stock sums in
-integer micro-units (the same exact sums as the batch report), and an emission
-counter. Rows of the current day that arrive in a later batch are added to it
-and the day is emitted again with a higher ``seq``; ``current_run_rates`` keeps
-the latest emission per day. Snapshots older than the current day go out with
-``late = true`` and no rate: the batch report (I3) is the record for them.
-
-The function consumes a group's rows chunk by chunk and keeps only per-day
-sums, so a series with very many rows in one batch never sits in memory whole.
+The reference computes the run rate with a window inside an insert-triggered view, which
+only sees the inserted block (a daily load gets run rate 0). Here every micro-batch is
+reduced to daily sums per series (a JVM hash aggregate with partial sums before the
+shuffle, however many lines a series has) and added to an incremental inventory table.
+The days the batch touched, and for each series the day after them, are then rated again
+from the merged days and emitted. So days that arrive late, or in parts over several
+batches, are merged in and the following day is corrected; nothing is dropped.
+
+An emission is written to its own ``batch_id`` folder; the newest one of a day counts.
+A replayed batch rewrites its folders. Series the batch does not touch are not read
+beyond a semi-join on the table; compaction keeps that table at one row per day.
 """
 
 from __future__ import annotations
 
-import warnings
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from .. import schemas
-from ..functions.measures import MICRO, micro_units
-from ..operators.inventory import INV_SERIES, inventory_lines
-from ..session import ship_package
+from ..operators.enrich import check_dimensions
+from ..operators.inventory import INV_SERIES
+from ..plans import files
+from ..plans.incremental import BATCH, merge_partials, partial_rows, read_partials, write_batch
 from ..specs import PlatformSpec
+from .incremental import Source, current
 
-# Spark's Arrow serializer concatenates the per-group frames; pandas warns about
-# all-NULL columns (the rates of late rows) there. Nothing to act on.
-warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty or all-NA.*")
-
-OUTPUT_SCHEMA = (
-    "organizationid string, itemid string, backendfacilityname string, reportdate date, "
-    "backendinvqty double, total_quantity double, run_rate_backend double, run_rate_total double, "
-    "seq long, late boolean"
-)
-OUTPUT_COLUMNS = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
-STATE_SCHEMA = (
-    "prev_date date, prev_back long, prev_total long, "
-    "cur_date date, cur_back long, cur_total long, seq long"
-)
-
-
-def _rate(prev_units: int | None, cur_units: int) -> float:
-    prev = (prev_units if prev_units is not None else 0) / MICRO
-    return max(prev - cur_units / MICRO, 0.0)
+RATES = ["backendinvqty", "total_quantity", "run_rate_backend", "run_rate_total"]
 
 
-_SMALL_CHUNK = 256   # below this, a plain loop beats a pandas groupby call
-
-
-def _add_chunk(sums: dict, pdf: pd.DataFrame) -> None:
-    if len(pdf) <= _SMALL_CHUNK:
-        rows = zip(pdf["reportdate"].tolist(), pdf["back_u"].tolist(), pdf["total_u"].tolist())
-    else:
-        g = pdf.groupby("reportdate", sort=False)[["back_u", "total_u"]].sum()
-        rows = zip(g.index.tolist(), g["back_u"].tolist(), g["total_u"].tolist())
-    for d, b, t in rows:
-        acc = sums.setdefault(d, [0, 0])
-        acc[0] += int(b)
-        acc[1] += int(t)
-
-
-def advance_series(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    sums: dict = {}
-    for pdf in chunks:
-        _add_chunk(sums, pdf)
-    if state.exists:
-        prev_date, prev_b, prev_t, cur_date, cur_b, cur_t, seq = state.get
-    else:
-        prev_date = prev_b = prev_t = cur_date = cur_b = cur_t = None
-        seq = 0
-    out = []
-    for d in sorted(sums):
-        b, t = sums[d]
-        seq += 1
-        if cur_date is not None and d < cur_date:
-            out.append((*key, d, b / MICRO, t / MICRO, None, None, seq, True))
-            continue
-        if cur_date is not None and d == cur_date:
-            cur_b, cur_t = cur_b + b, cur_t + t
-        else:
-            prev_date, prev_b, prev_t = cur_date, cur_b, cur_t
-            cur_date, cur_b, cur_t = d, b, t
-        out.append((*key, cur_date, cur_b / MICRO, cur_t / MICRO,
-                    _rate(prev_b, cur_b), _rate(prev_t, cur_t), seq, False))
-    state.update((prev_date, prev_b, prev_t, cur_date, cur_b, cur_t, seq))
-    if out:
-        yield pd.DataFrame(out, columns=OUTPUT_COLUMNS)
+def rated_days(spark: SparkSession, root: str, spec: PlatformSpec, touched: DataFrame) -> DataFrame:
+    """Current rates of the ``touched`` (series, reportdate) and of the day after each."""
+    series = touched.select(*INV_SERIES).distinct()
+    parts = read_partials(spark, root, "inventory").join(series, INV_SERIES, "left_semi")
+    days = merge_partials(parts, "inventory", spec).select(*INV_SERIES, "reportdate", *RATES)
+    mark = touched.select(*INV_SERIES, "reportdate").distinct().withColumn("_touched", F.lit(True))
+    days = days.join(mark, [*INV_SERIES, "reportdate"], "left")
+    before = F.lag("_touched").over(Window.partitionBy(*INV_SERIES).orderBy("reportdate"))
+    return days.withColumn("_after", before).filter("_touched OR _after").drop("_touched", "_after")
 
 
 def run_rate_stream(spark: SparkSession, spec: PlatformSpec, feed_path: str, feed_schema: StructType | None,
-                    cities: DataFrame, catalogue: DataFrame, out: str, checkpoint: str,
-                    max_files_per_trigger: int = 1, available_now: bool = True) -> StreamingQuery:
-    ship_package(spark)   # the state function below runs in Python workers
+                    cities: Source, catalogue: Source, root: str, checkpoint: str,
+                    max_files_per_trigger: int | None = None, available_now: bool = True,
+                    processing_time: str | None = None, check_dims: bool = True) -> StreamingQuery:
+    """Start the stream; ``root`` gets the daily table (``days``) and the emissions (``live``)."""
+    days = f"{root.rstrip('/')}/days"
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        c, k = current(cities), current(catalogue)
+        if check_dims:
+            check_dimensions(c, k, spec)
+        write_batch(partial_rows("inventory", batch, c, k, spec), days, "inventory", batch_id)
+        if not files.has_data(spark, f"{days}/batches"):  # no line so far
+            return
+        touched = (spark.read.parquet(f"{days}/batches").filter(F.col(BATCH) == batch_id)
+                   .select(*INV_SERIES, "reportdate"))
+        rated_days(spark, days, spec, touched).write.mode("overwrite").parquet(
+            f"{root.rstrip('/')}/live/{BATCH}={batch_id}")
+
     schema = feed_schema or schemas.feed_schema(spec.name, "inventory")   # declared, never inferred
-    src = (spark.readStream.schema(schema)
-           .option("maxFilesPerTrigger", max_files_per_trigger).parquet(feed_path))
-    lines = inventory_lines(src, cities, catalogue, spec).select(
-        *INV_SERIES, "reportdate",
-        micro_units(F.col("backendinvqty")).cast("long").alias("back_u"),
-        micro_units(F.col("total_quantity")).cast("long").alias("total_u"))
-    rated = lines.groupBy(*INV_SERIES).applyInPandasWithState(
-        advance_series, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
-    w = (rated.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
-    w = w.trigger(availableNow=True) if available_now else w
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    w = reader.parquet(feed_path).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    if processing_time:
+        w = w.trigger(processingTime=processing_time)
+    elif available_now:
+        w = w.trigger(availableNow=True)
     return w.start()
 
 
-def current_run_rates(spark: SparkSession, out: str) -> DataFrame:
-    """Latest emission per (series, day), late rows excluded."""
-    rows = spark.read.parquet(out).filter(~F.col("late"))
+def current_run_rates(spark: SparkSession, root: str) -> DataFrame:
+    """The newest emission of every (series, day)."""
+    rows = spark.read.parquet(f"{root.rstrip('/')}/live")
     keys = [*INV_SERIES, "reportdate"]
-    vals = ["backendinvqty", "total_quantity", "run_rate_backend", "run_rate_total"]
-    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("seq")).alias("_v"))
-    return latest.select(*keys, *[F.col("_v." + v).alias(v) for v in vals])
-
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*RATES), BATCH).alias("_v"))
+    return newest.select(*keys, *[F.col("_v." + v).alias(v) for v in RATES])

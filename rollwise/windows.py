@@ -72,3 +72,17 @@ class DateWindow:
 
     def sql(self, col: str) -> str:
         return f"{col} BETWEEN DATE '{self.start.isoformat()}' AND DATE '{self.end.isoformat()}'"
+
+
+def month_window(first: int, last: int) -> DateWindow:
+    """Whole months first..last (yyyymm, inclusive)."""
+    return DateWindow(f"{first // 100:04d}-{first % 100:02d}-01", f"{last // 100:04d}-{last % 100:02d}-31")
+
+
+def months_between(first: int, last: int) -> list[int]:
+    """The months first..last (yyyymm, inclusive)."""
+    out, (y, m) = [], divmod(first, 100)
+    while y * 100 + m <= last:
+        out.append(y * 100 + m)
+        y, m = _shift(y, m, 1)
+    return out

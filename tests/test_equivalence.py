@@ -85,34 +85,113 @@ def test_compaction_changes_nothing_and_replay_overwrites(spark, dims):
     assert before == rows(build_report("sales", spec, f, cities_, cat))
 
 
-def test_run_rate_stream_equals_batch_window_and_flags_late(spark):
+def test_run_rate_stream_places_late_days_and_rerates_the_next(spark):
     cities_, cat = cities(spark), catalogue(spark)
     spec = platform("blinkit")
     base = scratch_path(spark, "test-run-rate")
     batches = [
         [("A1", "Pune", D(2026, 2, 1), "t1", "Soap", 1.0, 100.0),
          ("A1", "Pune", D(2026, 2, 2), "t1", "Soap", 1.0, 80.0)],
-        [("A1", "Pune", D(2026, 2, 2), "t1", "Soap", 0.0, 5.0),      # same day as state: added
+        [("A1", "Pune", D(2026, 2, 2), "t1", "Soap", 0.0, 5.0),      # same day as before: added
          ("A1", "Pune", D(2026, 2, 4), "t1", "Soap", 1.0, 60.0),
          ("A1", "Pune", D(2026, 2, 1), "t2", "Soap", 0.0, 7.0)],
-        [("A1", "Pune", D(2026, 2, 3), "t1", "Soap", 1.0, 70.0)],    # older than current: late
+        [("A1", "Pune", D(2026, 2, 3), "t1", "Soap", 1.0, 70.0)],    # late, between known days
+        [("A1", "Pune", D(2026, 1, 31), "t1", "Soap", 1.0, 130.0)],  # late, before all of them
     ]
-    for b in batches:
+    for i, b in enumerate(batches):
         feed(spark, "blinkit", "inventory", b).coalesce(1).write.mode("append").parquet(base + "/feed")
-    schema = spark.read.parquet(base + "/feed").schema
-    q = run_rate_stream(spark, spec, base + "/feed", schema, cities_, cat, base + "/out", base + "/ckpt")
-    q.awaitTermination()
-    live = {(r["organizationid"], str(r["reportdate"])): (r["backendinvqty"], r["run_rate_backend"])
-            for r in current_run_rates(spark, base + "/out").collect()}
-    assert live == {("t1", "2026-02-01"): (100.0, 0.0), ("t1", "2026-02-02"): (85.0, 15.0),
-                    ("t1", "2026-02-04"): (60.0, 25.0), ("t2", "2026-02-01"): (7.0, 0.0)}
-    late = spark.read.parquet(base + "/out").filter("late").collect()
-    assert [str(r["reportdate"]) for r in late] == ["2026-02-03"]
-    # The batch report (the record) places the late day correctly.
-    allrows = feed(spark, "blinkit", "inventory", [r for b in batches for r in b])
-    batch = {(r["organizationid"], str(r["reportdate"])): r["run_rate_backend"]
-             for r in build_report("inventory", spec, allrows, cities_, cat).collect()}
-    assert batch[("t1", "2026-02-03")] == 15.0 and batch[("t1", "2026-02-04")] == 10.0
+        run_rate_stream(spark, spec, base + "/feed", None, cities_, cat, base + "/out", base + "/ckpt").awaitTermination()
+        known = feed(spark, "blinkit", "inventory", [r for x in batches[:i + 1] for r in x])
+        want = {(r["organizationid"], r["reportdate"]): (r["backendinvqty"], r["run_rate_backend"], r["run_rate_total"])
+                for r in build_report("inventory", spec, known, cities_, cat).collect()}
+        live = {(r["organizationid"], r["reportdate"]): (r["backendinvqty"], r["run_rate_backend"], r["run_rate_total"])
+                for r in current_run_rates(spark, base + "/out").collect()}
+        assert live == want
+    # the last batch only emitted the day it brought and the one after
+    last = spark.read.parquet(base + "/out/live").filter("batch_id = 3").collect()
+    assert sorted(str(r["reportdate"]) for r in last) == ["2026-01-31", "2026-02-01"]
+
+
+def _inv(spark, rows):
+    return feed(spark, "blinkit", "inventory", [("A1", "WH", d, "t1", "Soap", 0.0, q) for d, q in rows])
+
+
+def test_month_rebuild_corrects_the_first_later_run_rate(spark):
+    spec = platform("blinkit")
+    c, k = cities(spark), catalogue(spark)
+    old = [(D(2026, 1, 5), 100.0), (D(2026, 2, 5), 90.0), (D(2026, 4, 1), 30.0), (D(2026, 4, 2), 20.0)]
+    new = [(D(2026, 1, 5), 100.0), (D(2026, 2, 7), 60.0), (D(2026, 4, 1), 30.0), (D(2026, 4, 2), 20.0)]
+    for changed in (new, [old[0], *old[2:]]):   # other stock; the month without any row
+        out = scratch_path(spark, "test-later-rate")
+        backfill(spark, "inventory", spec, _inv(spark, old), c, k, out)
+        backfill(spark, "inventory", spec, _inv(spark, changed), c, k, out, months=(202602, 202602))
+        assert rows(read_report(spark, out, "inventory")) == rows(build_report("inventory", spec, _inv(spark, changed), c, k))
+
+
+def _sale(spark, rows):
+    return feed(spark, "blinkit", "sales", [("A1", d, "t1", "Soap", 1.0, v, "Pune") for d, v in rows])
+
+
+def gmv(df):
+    return {str(r["reportdate"]): r["gmv"] for r in df.collect()}
+
+
+def test_compaction_keeps_what_only_a_backfill_brought(spark):
+    from rollwise.plans.incremental import backfill_months
+    spec = platform("blinkit")
+    c, k = cities(spark), catalogue(spark)
+    root = scratch_path(spark, "test-keep")
+    write_batch(partial_rows("sales", _sale(spark, [(D(2026, 2, 1), 10.0)]), c, k, spec), root, "sales", 0)
+    backfill_months(spark, root, "sales", spec, _sale(spark, [(D(2026, 2, 1), 40.0), (D(2026, 2, 9), 60.0)]), c, k, (202602, 202602))
+    want = {"2026-02-01": 40.0, "2026-02-09": 60.0}
+    assert gmv(read_merged(spark, root, "sales", spec)) == want
+    compact_month(spark, root, "sales", spec, 202602)
+    assert gmv(read_merged(spark, root, "sales", spec)) == want
+    write_batch(partial_rows("sales", _sale(spark, [(D(2026, 2, 9), 5.0)]), c, k, spec), root, "sales", 1)
+    for _ in range(2):
+        compact_month(spark, root, "sales", spec, 202602)
+        assert gmv(read_merged(spark, root, "sales", spec)) == want | {"2026-02-09": 65.0}
+    # the month's feed is now empty
+    backfill_months(spark, root, "sales", spec, _sale(spark, [(D(2026, 3, 1), 1.0)]), c, k, (202602, 202602))
+    assert gmv(read_merged(spark, root, "sales", spec)) == {}
+
+
+def test_unreadable_files_raise_instead_of_reading_as_nothing(spark):
+    spec = platform("blinkit")
+    c, k = cities(spark), catalogue(spark)
+    root = scratch_path(spark, "test-broken")
+    write_batch(partial_rows("sales", _sale(spark, [(D(2026, 2, 1), 10.0)]), c, k, spec), root, "sales", 0)
+    compact_month(spark, root, "sales", spec, 202602)
+    import glob
+    from rollwise.session import local_path
+    for f in glob.glob(local_path(root) + "/compacted/*/*/*.parquet"):
+        with open(f, "wb") as h:
+            h.write(b"not parquet")
+    with pytest.raises(Exception):
+        read_merged(spark, root, "sales", spec).collect()
+    with pytest.raises(FileNotFoundError):
+        read_merged(spark, root + "/nowhere", "sales", spec)
+
+
+def test_stream_sees_dimensions_replaced_between_batches(spark):
+    from rollwise.operators.enrich import DuplicateDimensionKeys
+    from rollwise.streaming.incremental import stream_report
+    from .frames import sku
+    spec = platform("blinkit")
+    base = scratch_path(spark, "test-dims")
+    load = lambda: spark.read.parquet(base + "/catalogue")
+
+    def step(day, keys):
+        catalogue(spark, keys).write.mode("overwrite").parquet(base + "/catalogue")
+        _sale(spark, [(day, 10.0)]).write.mode("append").parquet(base + "/feed")
+        stream_report(spark, "sales", spec, base + "/feed", None, lambda: cities(spark), load, base + "/t",
+                      base + "/c").awaitTermination()
+    step(D(2026, 2, 1), [sku("t1", "A1", category="Old")])
+    step(D(2026, 2, 2), [sku("t1", "A1", category="New")])
+    got = {str(r["reportdate"]): r["category"] for r in read_merged(spark, base + "/t", "sales", spec).collect()}
+    assert got == {"2026-02-01": "Old", "2026-02-02": "New"}
+    with pytest.raises(Exception, match=DuplicateDimensionKeys.__name__):
+        step(D(2026, 2, 3), [sku("t1", "A1"), sku("t1", "A1", prid="P9")])
 
 
 def test_windowed_read_of_incremental_inventory_seeds_the_lag(spark, dims):

@@ -11,8 +11,43 @@ def test_exact_sum_ignores_order_and_partitioning(spark):
     for perm in itertools.islice(itertools.permutations(vals), 0, 720, 97):
         df = spark.createDataFrame([(v,) for v in perm], "x double").repartition(3)
         results.add(df.agg(M.exact_sum(F.col("x")).alias("s")).first()["s"])
-    assert len(results) == 1
-    assert results.pop() == 123457.339012   # 1e-7 rounds to 0 micro-units
+    assert results == {123457.3390121}
+
+
+def test_sums_are_close_to_unrounded_sums(spark):
+    import math
+    import random
+    rng = random.Random(3)
+    for scale in (1e-4, 1.0, 1e7, 1e10, 1e13):
+        vals = [rng.uniform(-0.3, 1) * scale for _ in range(3000)]
+        df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(5)
+        got, exact = df.agg(M.exact_sum(F.col("x")).alias("s")).first()["s"], math.fsum(vals)
+        assert abs(got - exact) <= 1e-15 * abs(exact) + 3000 * 0.5e-9
+
+
+def test_merged_states_equal_one_pass_at_large_totals(spark):
+    from rollwise.operators.rollup import rollup
+    import random
+    rng = random.Random(4)
+    vals = [("k", i % 7, "t", rng.choice([3.3e9, 1e13, 0.07, 27399.96]) + rng.random()) for i in range(2000)]
+    df = spark.createDataFrame(vals, "k string, part int, name string, v double")
+    once = rollup(df, ["k"], ["name"], ["v"]).first()["v"]
+    parts = rollup(df, ["k", "part"], ["name"], ["v"], states=True).drop("part")
+    again = rollup(rollup(parts, ["k"], ["name"], ["v"], states=True), ["k"], ["name"], ["v"]).first()["v"]
+    loose = rollup(rollup(df, ["k", "part"], ["name"], ["v"], final=False).drop("part"), ["k"], ["name"], ["v"]).first()["v"]
+    import math
+    assert once == again == loose == math.fsum(x[3] for x in vals)
+
+
+def test_what_cannot_be_summed_exactly_raises(spark):
+    import pytest
+    for bad in (float("nan"), float("inf"), 1e19, -1e300):
+        df = spark.createDataFrame([(1.0,), (bad,)], "x double")
+        with pytest.raises(Exception, match="cannot be summed exactly"):
+            df.agg(M.exact_sum(F.col("x")).alias("s")).collect()
+    df = spark.createDataFrame([(8e18,), (8e18,)], "x double")
+    with pytest.raises(Exception, match="(?i)overflow"):
+        df.agg(M.exact_sum(F.col("x")).alias("s")).collect()
 
 
 def test_exact_sum_of_nulls_is_null(spark):

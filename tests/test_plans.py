@@ -1,20 +1,22 @@
-"""Plan shape: pruning and pushdown reach the scans, dimensions are broadcast
-after their size check, reports are clustered on write."""
+"""Plan shape: pruning and pushdown reach the scans, building a report starts no job,
+reports are clustered on write."""
 
 import contextlib
 import io
 
+from pyspark.sql import functions as F
+
 from rollwise import catalog
 from rollwise.operators import dashboard as Dash
 from rollwise.plans.backfill import backfill
-from rollwise.plans.broadcast import broadcast_if_small, row_count_at_most
+from rollwise.plans.incremental import compact_month, partial_rows, read_merged, read_partials, vacuum, write_batch
 from rollwise.session import scratch_path
 from rollwise.sources import fixtures as fx
 from rollwise.sources.report_io import read_report
 from rollwise.specs import platform
 from rollwise.windows import DateWindow
 
-from .conftest import SF_SMALL
+from .conftest import SF_CHECK, SF_SMALL
 
 
 def plan_text(df, mode="formatted"):
@@ -46,17 +48,61 @@ def test_feed_filter_and_columns_reach_lineitem_scan(spark):
 
 
 def test_dashboard_predicates_pushed_through_report_build(spark):
-    text = plan_text(catalog.queries()["d8_city_sales"](spark, SF_SMALL))
+    text = plan_text(catalog.queries()["d8_city_sales_from_feed"](spark, SF_SMALL))
     # tenant predicate reaches the orders scan side, date window the lineitem side
     assert "org-1" in text and "1998-02-02" in text
 
 
-def test_size_check_refuses_big_side(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert row_count_at_most(small, 10)
-    assert not row_count_at_most(big, 999)
-    assert "broadcast" not in plan_text(broadcast_if_small(big, 999), "extended").lower().split("== physical")[0]
+def test_registered_dashboards_read_the_stored_table_by_month(spark):
+    text = plan_text(catalog.queries()["d1_brand_daily_sales"](spark, SF_SMALL))
+    assert "PartitionFilters: [isnotnull(yyyymm" in text and "199802" in text and "lineitem" not in text
+
+
+def jobs_started(spark, build):
+    """Number of Spark jobs that ``build`` starts."""
+    sc = spark.sparkContext
+    sc.setJobGroup("build", "build")
+    build()
+    started = len(sc.statusTracker().getJobIdsForGroup("build"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    return started
+
+
+def test_building_a_report_starts_no_job_beyond_reading_schemas(spark):
+    feeds = {k: fx.feed(spark, SF_SMALL, k, "zepto") for k in ("sales", "inventory", "fulfillment")}
+    c, k = fx.city_mapping(spark, SF_SMALL), fx.catalogue(spark, SF_SMALL)
+    spec = platform("zepto")
+    from rollwise.operators.fulfillment import daily_min_price
+    from rollwise.plans.backfill import build_report
+
+    def build():
+        for kind, feed in feeds.items():
+            build_report(kind, spec, feed, c, k, daily_min_price(feeds["sales"], spec) if kind == "fulfillment" else None)
+    assert jobs_started(spark, build) == 0
+
+
+def test_merged_read_opens_only_the_months_versions_and_loads_it_needs(spark):
+    f = fx.inventory_feed(spark, SF_SMALL, "zepto")
+    c, k, spec = fx.city_mapping(spark, SF_SMALL), fx.catalogue(spark, SF_SMALL), platform("zepto")
+    root = scratch_path(spark, "test-pruned")
+    for i in range(2):
+        write_batch(partial_rows("inventory", f, c, k, spec), root, "inventory", i)
+    compact_month(spark, root, "inventory", spec, 199802)
+    w = DateWindow("1998-02-01", "1998-02-31")
+    text = plan_text(read_merged(spark, root, "inventory", spec, w))
+    filters = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
+    assert len(filters) == 4 and all("yyyymm" in x for x in filters)   # window and lag seed, versions and loads
+    assert all("199802" in x for x in filters)
+    # the compacted month's loads are not opened at all, and vacuum may delete them
+    read = read_partials(spark, root, "inventory", (199802, 199802)).select(F.input_file_name().alias("f"))
+    opened = {r["f"] for r in read.collect()}
+    assert opened and all("/compacted/yyyymm=199802/" in x for x in opened)
+    from .conftest import rows
+    before = rows(read_merged(spark, root, "inventory", spec))
+    vacuum(spark, root)
+    from rollwise.plans.files import matching
+    assert not matching(spark, root + "/batches/yyyymm=199802/*")
+    assert rows(read_merged(spark, root, "inventory", spec)) == before
 
 
 def test_report_write_is_range_clustered(spark):
@@ -90,33 +136,48 @@ def test_colocated_sink_is_bucketed_by_item(spark):
     spark.sql("DROP TABLE strict_view_test")
 
 
-def test_dimension_join_beyond_the_bound_is_sort_merge_with_same_rows(spark):
+def test_dimension_join_without_broadcast_gives_the_same_rows(spark):
     from rollwise.operators.enrich import enrich
     from .conftest import rows
     f = fx.sales_feed(spark, SF_SMALL, "blinkit")
     c, k = fx.city_mapping(spark, SF_SMALL), fx.catalogue(spark, SF_SMALL)
     spec = platform("blinkit")
-    small = enrich(f, c, k, spec, city_col="cityName", item_col="itemId")
+    small = rows(enrich(f, c, k, spec, city_col="cityName", item_col="itemId"))
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = enrich(f, c, k, spec, city_col="cityName", item_col="itemId", broadcast_rows=0)
+        big = enrich(f, c, k, spec, city_col="cityName", item_col="itemId")
         text = plan_text(big)
         assert "SortMergeJoin LeftOuter" in text and "BroadcastHashJoin LeftOuter" not in text
-        assert rows(big) == rows(small)
+        assert rows(big) == small
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
+def test_catalogue_grows_with_the_parts(spark):
+    for sf in (SF_SMALL, SF_CHECK):
+        parts = spark.read.parquet(sf + "/part.parquet").count()
+        listed = fx.catalogue(spark, sf).select("zepto_sku_code").distinct().count()
+        assert 0.85 * parts < listed < parts
+
+
+def test_checkpoint_folder_is_required_off_local_mode(spark):
+    import pytest
+    from types import SimpleNamespace
+    from rollwise.session import checkpoint_root
+    conf = SimpleNamespace(get=lambda k, d: d)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(SimpleNamespace(sparkContext=sc))
+
+
 def test_package_is_shipped_to_python_workers_once(spark):
-    import glob
-    import os
-    from rollwise.session import _shipped, checkpoint_root, local_path, ship_package
+    from rollwise.session import _shipped, ship_package
     ship_package(spark)
     ship_package(spark)
-    assert id(spark.sparkContext) in _shipped
-    zips = glob.glob(os.path.join(local_path(checkpoint_root(spark)), "rollwise", "pyfiles", "*", "rollwise.zip"))
-    assert len(zips) == 1
-    import zipfile
-    names = zipfile.ZipFile(zips[0]).namelist()
-    assert "rollwise/streaming/run_rate.py" in names and "rollwise/session.py" in names
+    assert spark.sparkContext.applicationId in _shipped
+
+    def name(_):
+        import rollwise.session
+        return rollwise.session.__name__
+    assert spark.sparkContext.parallelize([0], 1).map(name).collect() == ["rollwise.session"]

@@ -3,7 +3,7 @@
 import pytest
 
 from rollwise.operators.enrich import DuplicateDimensionKeys, check_dimensions
-from rollwise.operators.sales import sales_report, sales_states, sales_strict
+from rollwise.operators.sales import merge_states, sales_report, sales_states, sales_strict
 from rollwise.specs import BLINKIT, ZEPTO
 
 from .frames import D, catalogue, cities, feed, sku
@@ -79,10 +79,19 @@ def test_strict_keeps_nulls_and_states_have_same_values(spark):
     s = sales_strict(f, cities(spark), catalogue(spark), BLINKIT).first().asDict()
     assert s["brands_choice"] is None and s["category"] is None and s["itemname"] is None
     assert s["gmv"] == 30.0 and s["mrp"] == 15.0 and s["net"] is None
-    st = sales_states(f, cities(spark), catalogue(spark), BLINKIT).first().asDict()
+    st = merge_states(sales_states(f, cities(spark), catalogue(spark), BLINKIT)).first().asDict()
     assert st == s
 
 
+def test_duplicate_dimension_rows_fail_inside_the_plan(spark):
+    twice = catalogue(spark).unionByName(catalogue(spark))
+    f = blinkit(spark, [("A1", D(2026, 2, 2), "t1", "Soap", 2.0, 30.0, "Pune")])
+    with pytest.raises(Exception, match="static_combined_data: duplicate key"):
+        sales_report(f, cities(spark), twice, BLINKIT).collect()
+    with pytest.raises(Exception, match="static_city_mapping: duplicate key"):
+        sales_report(f, cities(spark).unionByName(cities(spark)), catalogue(spark), BLINKIT).collect()
+
+
 def test_duplicate_dimension_rows_are_rejected(spark):
     cat = catalogue(spark, [sku("t1", "A1"), sku("t1", "A1", prid="P9")])
     with pytest.raises(DuplicateDimensionKeys):
