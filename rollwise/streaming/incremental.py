@@ -49,9 +49,10 @@ def stream_report(spark: SparkSession, kind: str, spec: PlatformSpec, feed_path:
                   feed_schema: StructType | None, cities: Source, catalogue: Source, root: str,
                   checkpoint: str, sales_feed: Source | None = None,
                   max_files_per_trigger: int | None = None, available_now: bool = True,
-                  processing_time: str | None = None, check_dims: bool = True) -> StreamingQuery:
+                  processing_time: str | None = None, check_dims: bool = False) -> StreamingQuery:
     """Start the incremental load of one report; returns the running query. The dimensions
-    are read, and checked for duplicate keys, in every micro-batch."""
+    are read in every micro-batch; a duplicate key fails the batch (``enrich``).
+    ``check_dims`` looks for one before, in jobs of its own."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         c, k = current(cities), current(catalogue)

@@ -45,7 +45,7 @@ def rated_days(spark: SparkSession, root: str, spec: PlatformSpec, touched: Data
 def run_rate_stream(spark: SparkSession, spec: PlatformSpec, feed_path: str, feed_schema: StructType | None,
                     cities: Source, catalogue: Source, root: str, checkpoint: str,
                     max_files_per_trigger: int | None = None, available_now: bool = True,
-                    processing_time: str | None = None, check_dims: bool = True) -> StreamingQuery:
+                    processing_time: str | None = None, check_dims: bool = False) -> StreamingQuery:
     """Start the stream; ``root`` gets the daily table (``days``) and the emissions (``live``)."""
     days = f"{root.rstrip('/')}/days"
 
