@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans import files
 from ..session import apply_conf, scratch_path, ship_package
 
 # Rows of a batch handed to Python: long texts make batches of many rows heavy.
@@ -30,7 +31,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of ``stored`` frames that no later step reads."""
+    for df in frames:
+        files.delete(df.sparkSession, df._scratch)
 
 
 def spans_text(spans: Column) -> Column:

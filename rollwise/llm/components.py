@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _to_smallest(pairs: DataFrame, keep_larger_only: bool) -> DataFrame:
@@ -41,7 +41,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
             edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
         large = _to_smallest(both, True).distinct()
         down = large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        edges = stored(_to_smallest(down, False).distinct(), name)
+        old, edges = edges, stored(_to_smallest(down, False).distinct(), name)
+        discard(old)
         before, state = state, _state(edges)
         if state == before:
             break

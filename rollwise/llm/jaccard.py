@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare, stored
+from .common import discard, prepare, stored
 from .components import connected_components
 from .hashing import mix, shingle_sets
 
@@ -265,6 +265,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = connected_components(links, "jaccard_links").select(F.col("node").alias("fp"), F.col("component").alias("to"))
     labelled = stored(base.join(joined, "fp", "left").select("key", "id", "n", F.coalesce("to", "fp").alias("group")),
                       "jaccard_groups")
+    discard(base, clusters)
     least = labelled.filter("group IS NOT NULL").groupBy("group").agg(F.min("id").alias("component_id"))
     return (labelled.join(least, "group", "left")
             .select("key", "id", F.col("n").alias("n_shingles"),
