@@ -9,7 +9,11 @@ Documents are sets of word shingles (64-bit hashes). Two link when
    domain is cut into ``n1`` parts, each into ``PARTS`` sub-parts; sets that differ in at
    most ``k`` elements differ in at most one element of some part, hence agree on all but
    one of its sub-parts. Every (part, sub-parts but one) is a signature of the elements
-   in it: linked sets share one. No element or bucket is capped.
+   in it: linked sets share one. No element or bucket is capped. Below ``RARE_PERCENT``
+   sub-parts would be almost empty and bring unrelated sets together; there the signatures
+   of a set are its rarest elements, one more than linked sets may lack of it (prefix
+   filter). Rare is what falls into a bucket of few elements (``BUCKET_BITS``): any order
+   that is the same for all sets finds all links, this one keeps common shingles out.
 3. Sets that share a signature are joined as stars around their smallest member, first
    within each block of a task, so a bucket sends one row per task through the shuffle.
    The components of these stars are clusters: every link lies within one.
@@ -42,6 +46,8 @@ from .hashing import mix, shingle_sets
 
 WIDTH, PERCENT = 3, 90
 PARTS = 3
+RARE_PERCENT = 90
+BUCKET_BITS, CHUNK = 24, 1 << 16
 STEP_BYTES = 2 << 20
 BLOCK_SIGNATURES = 1_000_000
 BLOCK_SETS, BLOCK_SHINGLES = 256, 200_000
@@ -83,6 +89,18 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _buckets(elements: np.ndarray) -> np.ndarray:
+    return (mix(elements) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def rare_signatures(elements: np.ndarray, percent: int, counts: np.ndarray) -> np.ndarray:
+    """Signatures of one non-empty set of hashes, for any ``counts`` of the buckets."""
+    band = int(np.searchsorted(bands(percent), len(elements), "right")) - 1
+    needed = -(-percent * len(elements) // 100)  # linked sets share as many elements at least
+    rare = elements[np.lexsort((elements, counts[_buckets(elements)]))[: len(elements) - needed + 1]]
+    return np.concatenate([mix(mix(rare) + np.uint64((tag + 1) << 40)) for tag in (band, band + 1)])
+
+
 def set_id(elements: np.ndarray) -> int:
     """A 64-bit identity of a non-empty set, as a signed integer."""
     total = int(mix(elements).sum(dtype=np.uint64)) + len(elements) * 0xC2B2AE3D27D4EB4F
@@ -133,7 +151,45 @@ def _star_batch(groups: np.ndarray, heads: np.ndarray, pairs: np.ndarray) -> pa.
     return pa.RecordBatch.from_arrays([sig, pa.array(a), b], ["sig", "a", "b"])
 
 
-def _sign(width: int, percent: int):
+def _count(width: int):
+    """(chunk, counts) of the buckets of a task's elements."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << BUCKET_BITS, np.uint32)
+        for b in batches:
+            for s in _sets(b.column(0), width):
+                np.add.at(counts, _buckets(s), 1)
+        for at in range(0, len(counts), CHUNK):
+            part = counts[at : at + CHUNK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([part.tobytes()], pa.binary())],
+                                                 ["chunk", "counts"])
+
+    return run
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of the chunks of a task."""
+    held: dict[int, np.ndarray] = {}
+    for b in batches:
+        for at, part in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            held[at] = np.minimum(held.get(at, 0) + np.frombuffer(part.as_py(), np.uint32).astype(np.int64), 0xFFFF)
+    for at, counts in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([counts.astype(np.uint16).tobytes()], pa.binary())],
+                                         ["chunk", "counts"])
+
+
+def bucket_counts(rows: DataFrame, width: int) -> np.ndarray:
+    """How many elements of the sets of (text) ``rows`` fall into each bucket, 65,535 at most: a
+    table of fixed size."""
+    kind = "chunk int, counts binary"
+    parts = rows.select("text").mapInArrow(_count(width), kind).repartition("chunk").mapInArrow(_add, kind).collect()
+    counts = np.zeros(1 << BUCKET_BITS, np.uint16)
+    for r in parts:
+        counts[r["chunk"] : r["chunk"] + CHUNK] = np.frombuffer(r["counts"], np.uint16)
+    return counts
+
+
+def _sign(width: int, percent: int, counts=None):
     """(sig, smallest set) per signature and block of rows, and the block's own star edges."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs: list[np.ndarray] = []
@@ -150,7 +206,7 @@ def _sign(width: int, percent: int):
                 if not len(s) or (fp := set_id(s)) in seen:
                     continue
                 seen.add(fp)
-                sigs.append(signatures(s, percent))
+                sigs.append(signatures(s, percent) if counts is None else rare_signatures(s, percent, counts.value))
                 owners.append(fp)
                 held += len(sigs[-1])
                 if held >= BLOCK_SIGNATURES:
@@ -240,7 +296,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = stored(rows.mapInArrow(_identify(width), T.StructType([
         T.StructField("key", T.LongType()), T.StructField("id", kind), T.StructField("n", T.LongType()),
         T.StructField("fp", T.LongType())])), "jaccard_sets")
-    stars = (rows.select("text").mapInArrow(_sign(width, percent), "sig long, a long, b long")
+    counts = None
+    if percent < RARE_PERCENT:
+        counts = docs.sparkSession.sparkContext.broadcast(bucket_counts(rows, width))
+    stars = (rows.select("text").mapInArrow(_sign(width, percent, counts), "sig long, a long, b long")
              .repartition(F.coalesce("sig", "a")).sortWithinPartitions("sig", "a")
              .mapInArrow(_meet, "a long, b long").distinct())
     clusters = stored(connected_components(stars, "jaccard_stars"), "jaccard_clusters")
