@@ -228,6 +228,18 @@ def predict(docs: DataFrame, model: tuple[list[str], dict[str, np.ndarray]] | No
     return keep.mapInArrow(score, schema)
 
 
+def lettered(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a letter."""
+    prepare(docs.sparkSession)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([bool(t and LETTER.search(t)) for t in b.column(place).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that is never learnt from: crc32 of the id's text, mod 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
