@@ -5,11 +5,11 @@ DataFrame functions only.
 1. *Entities.* Email addresses, IP addresses, card numbers (Luhn) and phone numbers are
    found by expression in the whole text; these spans always stand.
 2. *Co-occurrence.* The words near an entity (``NEAR`` code points to either side) are its
-   context. Over the whole corpus, ``c(t, e)`` counts the different contexts in which term t
-   stands near entity e, and ``d(t)`` the documents that contain t.
+   context. Over the whole corpus, ``c(t, e)`` counts the different texts in which term t
+   stands near entity e, and ``d(t)`` the different texts that contain t.
 3. *Disclosure.* A term reveals an entity if meeting it makes the entity likely: ``p(e|t) =
    c(t, e) / d(t)`` of at least ``SHARE``, a gain of at least ``BITS`` bits over the entity's own
-   share of contexts, and at least ``SUPPORT`` different contexts (copies of one text are one).
+   share of contexts, and at least ``SUPPORT`` different contexts (copies of one text, and texts that are alike around the entity, are one).
    Such terms near their entity are spans of kind ``term``, to be generalised as well.
 
 Places count code points, ends are exclusive. Matches are leftmost and non-overlapping
@@ -110,26 +110,28 @@ def _context(kind: str, m: Column) -> Column:
 
 
 def find_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, id, spans, context) per row: accepted spans by kind, then start."""
+    """(key, id, doc, spans, context) per row, equal texts having one ``doc``: accepted spans by kind, then start."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")).alias("key"),
-                       F.col(f"`{id_col}`").alias("id"), text.alias("text"))
+                       F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("doc"), text.alias("text"))
     for k in KINDS:
         rows = rows.withColumn(k, entities(F.col("text"), k))
     span = lambda k: lambda m: F.struct(F.lit(k).alias("kind"), m["start"].alias("start"), m["end"].alias("end"))
     return rows.select(
-        "key", "id", F.concat(*(F.transform(F.col(k), span(k)) for k in KINDS)).alias("spans"),
+        "key", "id", "doc", F.concat(*(F.transform(F.col(k), span(k)) for k in KINDS)).alias("spans"),
         F.concat(*(F.flatten(F.transform(F.col(k), lambda m, k=k: _context(k, m))) for k in KINDS)).alias("context"))
 
 
 def disclosing(occurrences: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(entity, term, p, bits) of the terms that reveal an entity."""
-    contexts = occurrences.select("entity", "term", "seen").distinct()
-    together = contexts.groupBy("entity", "term").agg(F.count("*").alias("c")).filter(F.col("c") >= SUPPORT)
+    pairs = occurrences.select("entity", "term", "seen", "doc").distinct()
+    together = (pairs.groupBy("entity", "term").agg(F.count_distinct("seen").alias("support"), F.count_distinct("doc").alias("c"))
+                .filter(F.col("support") >= SUPPORT))
     around = (occurrences.select("entity", "seen").distinct().groupBy("entity").agg(F.count("*").alias("n")))
     total = F.broadcast(around.agg(F.sum("n").alias("total")))  # one row
-    words = docs.select(F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower(F.col(f"`{text_col}`").cast("string")), F.lit(WORD), F.lit(0)))).alias("term"))
+    texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).distinct()
+    words = texts.select(F.explode(F.array_distinct(
+        F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
     known = words.groupBy("term").agg(F.count("*").alias("d"))
     p = F.least(F.lit(1.0), F.col("c") / F.col("d"))
     bits = F.log2(p * F.col("total") / F.col("n"))
@@ -143,7 +145,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``term``), then start."""
     prepare(docs.sparkSession)
     found = stored(find_entities(docs, id_col, text_col), "pii_entities")
-    near = found.select("key", F.explode("context").alias("c")).select("key", "c.*")
+    near = found.select("key", "doc", F.explode("context").alias("c")).select("key", "doc", "c.*")
     reveal = disclosing(near, docs, text_col).select("entity", "term")
     terms = (near.join(reveal, ["entity", "term"], "left_semi").groupBy("key")
              .agg(F.sort_array(F.collect_set(F.struct(F.lit(TERM).alias("kind"), "start", "end"))).alias("terms")))
