@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, jaccard, knn, langid, lines, packing, pii, repeats, secrets, token_counts
+from . import (contamination, jaccard, knn, langid, lines, negatives, packing, pii, repeats, secrets, sharding,
+               token_counts, whitening)
 from .common import count_kind, of_kinds, prepare, sha256, spans_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,9 +90,50 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * c::DOUBLE)::BIGINT FOR c IN embedding] AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+           list_sum([p[1] * p[2] FOR p IN list_zip(a.x, b.x)])::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 10
+"""
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+        F.col("place").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        F.col("slot").alias("virtual_slot"), "map_version")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_secrets, op2_jaccard, op3_top_k, op4_packing, op5_contamination, op6_personal_data, op7_language, op8_lines, op9_repeats, op10_token_counts)}
+    return {f.__name__: f for f in (
+        op1_secrets, op2_jaccard, op3_top_k, op4_packing, op5_contamination, op6_personal_data, op7_language, op8_lines,
+        op9_repeats, op10_token_counts, op11_whitening, op12_hard_negatives, op13_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_contamination": OP5_SQL}
+    return {"op5_contamination": OP5_SQL, "op12_hard_negatives": OP12_SQL}

@@ -1,0 +1,102 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+from rollwise.llm import queries, sharding as S
+from rollwise.session import scratch_path
+
+from .frames import docs
+
+
+def corpus(n=600, seed=3):
+    rng = random.Random(seed)
+    texts = [None, "", "é" * 50] + ["x" * rng.choice([1, 5, 40, 300, 2000]) + str(rng.random()) for _ in range(n - 3)]
+    return list(range(n)), texts
+
+
+def check(rows, ids, texts, shards=S.SHARDS, slots=S.SLOTS):
+    size = lambda t: len((t or "").encode()) + 1
+    want = Counter((i, size(t), zlib.crc32((t or "").encode())) for i, t in zip(ids, texts, strict=True))
+    assert Counter((r["id"], r["size"], r["text_crc32"]) for r in rows) == want
+    places, sizes = defaultdict(list), [0] * shards
+    for r in rows:
+        places[r["shard"]].append(r["place"])
+        sizes[r["shard"]] += r["size"]
+    assert all(0 <= s < shards and sorted(p) == list(range(len(p))) for s, p in places.items())
+    # shards differ by a record or by a part of a slot (about a mean slot) at most
+    largest = max([size(t) for t in texts], default=0)
+    assert max(sizes) - min(sizes) <= max(largest, 2 * sum(sizes) / slots), sizes
+
+
+def test_records_sizes_places_and_balance(spark):
+    ids, texts = corpus()
+    check(S.sharded(docs(spark, texts, ids, extra=True, partitions=5)).collect(), ids, texts)
+
+
+def test_hot_repeated_rows_are_split(spark):
+    ids, texts = corpus(400)
+    ids, texts = ids + [7] * 300 + [None] * 300, texts + ["same text " * 20] * 300 + [None] * 300
+    rows = S.sharded(docs(spark, texts, ids, partitions=4), slots=64).collect()
+    check(rows, ids, texts, slots=64)
+    hot = {(r["slot"], r["part"]) for r in rows if r["id"] == 7 and r["size"] == 201}
+    assert len({s for s, _ in hot}) == 1 and len(hot) > 5
+
+
+def test_empty_table_and_one_giant(spark):
+    assert S.sharded(docs(spark, []), slots=16).collect() == []
+    rows = S.sharded(docs(spark, ["a" * 1_000_000] + ["b"] * 50)).collect()
+    check(rows, list(range(51)), ["a" * 1_000_000] + ["b"] * 50)
+
+
+def test_map_versions_are_edited_and_kept(spark):
+    ids, texts = corpus()
+    root = scratch_path(spark, "test-slot-map")
+    first = S.sharded(docs(spark, texts, ids), slots=32, map_root=root).collect()
+    assert S.map_versions(spark, root) == [0, 1] and {r["map_version"] for r in first} == {1}
+    # the same records need no edit; others edit few entries
+    again = S.sharded(docs(spark, texts, ids, partitions=7), slots=32, map_root=root).collect()
+    assert S.map_versions(spark, root) == [0, 1]
+    assert {(r["id"], r["shard"]) for r in again} == {(r["id"], r["shard"]) for r in first}
+    more = S.sharded(docs(spark, texts + ["y" * 9000], [*ids, 9999]), slots=32, map_root=root).collect()
+    check(more, [*ids, 9999], [*texts, "y" * 9000], slots=32)
+    old, new = S.read_map(spark, root, 1), S.read_map(spark, root)
+    assert 0 < sum(old[k] != new[k] for k in old) < 16
+    assert S.read_map(spark, scratch_path(spark, "none")) == {}
+
+
+def test_a_grown_map_moves_slots_into_the_new_shard_only(spark):
+    ids, texts = corpus()
+    held, _ = S.slot_sizes(S.slotted(docs(spark, texts, ids), slots=256), 256)
+    sizes = {k: b for k, (b, _) in held.items()}
+    even = S.rebalanced(S.even_map(8, 256), sizes, 8)
+    more = S.grown(even, sizes, 8)
+    assert set(more) == set(even) and all(more[k] in (even[k], 8) for k in even)
+    total = Counter()
+    for k, b in sizes.items():
+        total[more[k]] += b
+    share = sum(sizes.values()) / 9
+    assert len(total) == 9 and abs(total[8] - share) <= max(sizes.values())
+    # without records, by slots
+    assert Counter(S.grown(S.even_map(8, 90), {}, 8).values())[8] == 10
+
+
+def test_written_shards_hold_every_row_once(spark):
+    ids, texts = corpus(200)
+    df = docs(spark, texts, ids, extra=True).withColumn("shard", F.lit("x")).withColumn("slot", F.lit(1))
+    path = scratch_path(spark, "test-shards")
+    S.write_shards(df, path, shards=4, slots=64)
+    back = spark.read.parquet(path)
+    assert back.columns == [*df.columns, "_shard"]
+    key = lambda rows: sorted((r["doc_id"], r["text"] or "", r["shard"]) for r in rows)
+    assert key(back.collect()) == key(df.collect())
+    assert {r["_shard"] for r in back.collect()} == {0, 1, 2, 3}
+
+
+def test_query(spark):
+    rows = queries.op13_sharding(spark, "/root/testdata/sf0.001").collect()
+    every = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    assert {(r["doc_id"], r["size"], r["text_crc32"]) for r in rows} == {
+        (d["doc_id"], len((d["text"] or "").encode()) + 1, zlib.crc32((d["text"] or "").encode())) for d in every}
+    assert {(r["law"], r["grown_shard"]) for r in rows} == {("bytes", None)} and {r["shard"] for r in rows} == set(range(8))
