@@ -77,12 +77,27 @@ def _one_row_per_key(dim: DataFrame, key: str, org: str, what: str) -> DataFrame
         key, org, *[F.col("_row." + c).alias(c) for c in rest])
 
 
-def enrich(feed: DataFrame, cities: DataFrame, catalogue: DataFrame, spec: PlatformSpec,
+class Checked:
+    """Dimensions whose keys have been found unique (``checked``): joined without looking again."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+
+def checked(cities: DataFrame, catalogue: DataFrame, spec: PlatformSpec) -> tuple[Checked, Checked]:
+    """Both dimensions after ``check_dimensions``, for many plans over the same files (a stream's batches)."""
+    check_dimensions(cities, catalogue, spec)
+    return Checked(cities), Checked(catalogue)
+
+
+def enrich(feed: DataFrame, cities: DataFrame | Checked, catalogue: DataFrame | Checked, spec: PlatformSpec,
            city_col: str, item_col: str, org_col: str = "organizationId") -> DataFrame:
-    """Feed rows with ``scm_*`` and ``scd_*`` columns; unmatched rows keep NULLs. A dimension
-    with two rows of one key fails when the rows are computed."""
-    c = _one_row_per_key(city_dim(cities, spec), CITY + "key", CITY + "org", "static_city_mapping")
-    s = _one_row_per_key(catalogue_dim(catalogue, spec), SKU + "key", SKU + "org", "static_combined_data")
+    """Feed rows with ``scm_*`` and ``scd_*`` columns; unmatched rows keep NULLs. A dimension that is not
+    ``Checked`` and has two rows of one key fails when the rows are computed."""
+    c = city_dim(cities.rows, spec) if isinstance(cities, Checked) else _one_row_per_key(
+        city_dim(cities, spec), CITY + "key", CITY + "org", "static_city_mapping")
+    s = catalogue_dim(catalogue.rows, spec) if isinstance(catalogue, Checked) else _one_row_per_key(
+        catalogue_dim(catalogue, spec), SKU + "key", SKU + "org", "static_combined_data")
     f = feed.withColumn("_sku_key", sku_key(F.col(item_col), spec))
     out = f.join(c, (f[city_col] == c[CITY + "key"]) & (f[org_col] == c[CITY + "org"]), "left")
     out = out.join(s, (out["_sku_key"] == s[SKU + "key"]) & (out[org_col] == s[SKU + "org"]), "left")

@@ -102,6 +102,16 @@ def representative_line(lines: DataFrame, spec: PlatformSpec, extra_keys: tuple[
                  .select(*fulfillment_columns(spec), *extra_keys)
 
 
+def repriced(report: DataFrame, prices: DataFrame, spec: PlatformSpec) -> DataFrame:
+    """The report with each line's price and amount from ``prices`` (0 where there is none). All lines of a key
+    have one price (its SKU's of its day), so which of them stands for the key does not depend on it."""
+    p = prices.select(F.col("sku").alias("_p_sku"), F.col("orderdate").alias("_p_day"), F.col("mrp").alias("_p_mrp"))
+    out = report.join(p, (F.lower("itemid") == p["_p_sku"]) & (report["orderdate"] == p["_p_day"]), "left")
+    price = zero_if_null(F.col("_p_mrp").cast("double"))
+    return (out.withColumn("mrp", price).withColumn("total_amount", po_amount(F.col("mrp"), F.col("quantity")))
+            .select(*fulfillment_columns(spec)))
+
+
 def fulfillment_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame, spec: PlatformSpec,
                        prices: DataFrame | None = None) -> DataFrame:
     """R7-R9 (R9 needs ``prices=daily_min_price(zepto sales feed)``)."""

@@ -2,11 +2,14 @@
 
 A backfill of a month range replaces exactly these months (also those left without rows),
 so running it twice equals running it once, and it never adds on top of rows written by a
-stream (each writes its own table, see ``plans.incremental``). An inventory rebuild of a
-range starts from the latest earlier daily row of every series, read from the table's
-earlier months, and corrects the first later row of every series, whose run rate
-compares with the range: the months that hold such rows are rewritten with them. What is
-read from the table is written to the shared checkpoint folder before the table is.
+stream (each writes its own table, see ``plans.incremental``). Every job writes new versions and
+ends in one log entry (``sources.report_io``): killed before, it has changed nothing.
+
+An inventory rebuild of a range needs the last daily row of every series before the range (its
+first run rate compares with it) and corrects the first row after it. Both come from edge
+snapshots (``plans.snapshots``): a closing of the month before and an opening of the month after,
+which the rebuild leaves behind for the next one; months between the range and the nearest
+snapshot are read as well. The months that hold a row whose rate changes are rewritten with it.
 """
 
 from __future__ import annotations
@@ -20,11 +23,13 @@ from ..operators.fulfillment import fulfillment_report
 from ..operators.inventory import (INV_ANY, INV_KEYS, INV_SERIES, INV_SUM, INVENTORY_COLUMNS, inventory_report,
                                    latest_before)
 from ..operators.sales import sales_report, sales_strict
-from ..session import checkpoint_root
-from ..sources.report_io import MONTH, write_report
+from ..sources.report_io import MONTH, MONTHS, VERSION, current_rows, write_report, write_version
 from ..specs import PlatformSpec
-from ..windows import month_window
-from . import files
+from ..windows import first_day, month_after, month_before, month_window
+from . import tablelog
+from .snapshots import (CLOSINGS, OPENINGS, closing_before, drop_snapshots, first_rows, opening_after, snapshot_path,
+                        write_snapshot)
+from .tablelog import Section, State
 
 
 def feed_date(kind: str, spec: PlatformSpec) -> str:
@@ -44,25 +49,77 @@ def build_report(kind: str, spec: PlatformSpec, feed: DataFrame, cities: DataFra
 
 
 DAILY = [*INV_KEYS, *INV_ANY, *INV_SUM]
-
-
-def _later_rows(spark: SparkSession, out: str, last_month: int, ends: DataFrame) -> DataFrame:
-    """The table's rows in the later months that hold a series' first row after ``ends`` (the
-    latest row of each series up to the range) with another run rate than stored, corrected."""
-    later = spark.read.parquet(out).filter(F.col(MONTH) > last_month)
-    first = later.groupBy(*INV_SERIES).agg(F.min("reportdate").alias("reportdate"))
-    prior = ends.select(*INV_SERIES, *[F.col(c).alias("_" + c) for c in ("backendinvqty", "total_quantity")])
+#: What an opening holds of the first later row of a series.
+STOCK = ["backendinvqty", "total_quantity"]
+RATES = ["run_rate_backend", "run_rate_total"]
+
+
+def _snapshot(spark: SparkSession, out: str, state: State, section: str, month: int) -> DataFrame:
+    return spark.read.parquet(snapshot_path(out, section, month, state.section(section)[month]))
+
+
+def last_rows(spark: SparkSession, out: str, state: State, month: int) -> DataFrame:
+    """The last daily row of every series in the months before ``month``: the nearest closing and the months since."""
+    c = closing_before(state, month)
+    rows = current_rows(spark, out, state, (month_after(c) if c else 0, month_before(month))).select(*DAILY)
+    if c is not None:
+        rows = rows.unionByName(_snapshot(spark, out, state, CLOSINGS, c))
+    return latest_before(rows, first_day(month))
+
+
+def next_rows(spark: SparkSession, out: str, state: State, month: int) -> DataFrame:
+    """The first row of every series in the months after ``month``, with its month: the nearest opening and the months before it."""
+    columns = [*INV_SERIES, "reportdate", MONTH, *STOCK, *RATES]
+    o = opening_after(state, month)
+    rows = current_rows(spark, out, state, (month_after(month), month_before(o) if o else 999912)).select(*columns)
+    if o is not None:
+        rows = rows.unionByName(_snapshot(spark, out, state, OPENINGS, o).select(*columns))
+    return first_rows(rows)
+
+
+def _rebuild_inventory(spark: SparkSession, spec: PlatformSpec, feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
+                       out: str, months: tuple[int, int], partitions: int | None, base: State) -> None:
+    first, last = months
+    version = tablelog.new_version()
+    before = month_before(first)
+    seed = (_snapshot(spark, out, base, CLOSINGS, before) if before in base.section(CLOSINGS)
+            else write_snapshot(last_rows(spark, out, base, first), out, CLOSINGS, before, version))
+    new = write_version(build_report("inventory", spec, feed, cities, catalogue, last_snapshots=seed), out, "inventory",
+                        version, partitions)
+    rows = seed
+    if new:
+        written = spark.read.parquet(out).filter((F.col(VERSION) == version) & F.col(MONTH).isin(*new))
+        rows = rows.unionByName(written.select(*DAILY))
+    closing = write_snapshot(latest_before(rows, first_day(month_after(last))), out, CLOSINGS, last, version)
+    # the first later row of a series follows the closing: its rates are worked out again
+    prior = closing.select(*INV_SERIES, *[F.col(c).alias("_" + c) for c in STOCK])
     rate = lambda c: depletion(F.coalesce(F.col("_" + c), F.lit(0.0)), F.col(c))
-    fixed = (later.join(first, [*INV_SERIES, "reportdate"]).join(prior, INV_SERIES, "left")
-             .select(*INV_SERIES, "reportdate", MONTH, rate("backendinvqty").alias("_back"), rate("total_quantity").alias("_total"),
-                     "run_rate_backend", "run_rate_total")
-             .filter((F.col("_back") != F.col("run_rate_backend")) | (F.col("_total") != F.col("run_rate_total")))
-             .drop("run_rate_backend", "run_rate_total").checkpoint(eager=True))
-    months = [r[MONTH] for r in fixed.select(MONTH).distinct().collect()]  # at most all months
-    rows = later.filter(F.col(MONTH).isin(*months) if months else F.lit(False))
-    return (rows.join(fixed.drop(MONTH), [*INV_SERIES, "reportdate"], "left")
-            .withColumn("run_rate_backend", F.coalesce("_back", "run_rate_backend"))
-            .withColumn("run_rate_total", F.coalesce("_total", "run_rate_total")).select(*INVENTORY_COLUMNS))
+    later = next_rows(spark, out, base, last).join(prior, INV_SERIES, "left")
+    later = later.withColumns({"_rate_back": rate("backendinvqty"), "_rate_total": rate("total_quantity")})
+    # a new series starts from no stock: both rates are 0 there, as is the formula
+    moved = (F.col("_rate_back") != F.col("run_rate_backend")) | (F.col("_rate_total") != F.col("run_rate_total"))
+    opening = write_snapshot(later.select(*INV_SERIES, "reportdate", MONTH, *STOCK, F.col("_rate_back").alias(RATES[0]),
+                                          F.col("_rate_total").alias(RATES[1]), moved.alias("moved")),
+                             out, OPENINGS, month_after(last), version)
+    fixed = opening.filter("moved")
+    where = sorted(r[MONTH] for r in fixed.select(MONTH).distinct().collect())  # at most all months
+    if where:
+        right = fixed.select(*INV_SERIES, "reportdate", *[F.col(c).alias("_" + c) for c in RATES])
+        held = current_rows(spark, out, base).filter(F.col(MONTH).isin(*where)).join(right, [*INV_SERIES, "reportdate"], "left")
+        write_version(held.withColumns({c: F.coalesce("_" + c, c) for c in RATES}).select(*INVENTORY_COLUMNS), out,
+                      "inventory", version, partitions)
+
+    def change(sections: dict[str, Section]) -> None:
+        held = sections.setdefault(MONTHS, {})
+        for m in [m for m in held if first <= m <= last]:
+            del held[m]
+        held.update({m: [version] for m in (*new, *where)})
+        drop_snapshots(sections, first, max([last, *where]))
+        sections[CLOSINGS].update({last: version} | ({} if before in sections[CLOSINGS] else {before: version}))
+        sections[OPENINGS][month_after(last)] = version
+
+    # the snapshots rest on every month outside the range too
+    tablelog.commit(spark, out, base, change, lambda now: tablelog.changed(base, now, MONTHS))
 
 
 def backfill(spark: SparkSession, kind: str, spec: PlatformSpec, feed: DataFrame,
@@ -70,34 +127,23 @@ def backfill(spark: SparkSession, kind: str, spec: PlatformSpec, feed: DataFrame
              months: tuple[int, int] | None = None, prices: DataFrame | None = None,
              partitions: int | None = None, check_dims: bool = True) -> None:
     """Recompute report months from the feed and replace them in ``out`` (the whole table
-    without ``months``). ``check_dims``: fail on duplicate dimension keys first."""
-    checkpoint_root(spark)
+    without ``months``). ``check_dims``: fail on duplicate dimension keys first. ``tablelog.Conflict`` is raised, and
+    nothing changed, if another job has meanwhile replaced what this one builds on."""
     if check_dims:
         check_dimensions(cities, catalogue, spec)
-    if months is None:
-        write_report(build_report(kind, spec, feed, cities, catalogue, prices), out, kind, partitions=partitions,
-                     overwrite_mode="static")
-        return
-    w = month_window(*months)
-    feed = feed.filter(w.contains(F.to_date(F.col(feed_date(kind, spec)))))
-    if kind != "inventory" or not files.has_data(spark, out):
-        write_report(build_report(kind, spec, feed, cities, catalogue, prices), out, kind, partitions=partitions,
-                     months=months)
-        return
-    earlier = spark.read.parquet(out).filter(F.col(MONTH) < months[0]).select(*DAILY)
-    # One row per series, cut from the table we are about to overwrite.
-    last = latest_before(earlier, w.start).checkpoint(eager=True)
-    new = build_report(kind, spec, feed, cities, catalogue, prices, last).checkpoint(eager=True)
-    ends = (new.select(*DAILY).unionByName(last).groupBy(*INV_SERIES)
-            .agg(F.max_by(F.struct("backendinvqty", "total_quantity"), "reportdate").alias("_e"))
-            .select(*INV_SERIES, "_e.*"))
-    later = _later_rows(spark, out, months[1], ends).checkpoint(eager=True)
-    write_report(new.unionByName(later), out, kind, partitions=partitions, months=months)
+    if months is not None:
+        feed = feed.filter(month_window(*months).contains(F.to_date(F.col(feed_date(kind, spec)))))
+        base = tablelog.read_state(spark, out)
+        if kind == "inventory" and base.section(MONTHS):
+            _rebuild_inventory(spark, spec, feed, cities, catalogue, out, months, partitions, base)
+            return
+    write_report(build_report(kind, spec, feed, cities, catalogue, prices), out, kind, partitions=partitions,
+                 months=months, overwrite_mode="dynamic" if months else "static")
 
 
 def refresh_strict_view(spark: SparkSession, spec: PlatformSpec, feed: DataFrame,
                         cities: DataFrame, catalogue: DataFrame, out: str, check_dims: bool = True) -> None:
-    """Rebuild the stored strict view as a whole (static overwrite)."""
+    """Rebuild the stored strict view as a whole."""
     if check_dims:
         check_dimensions(cities, catalogue, spec)
     write_report(sales_strict(feed, cities, catalogue, spec), out, "sales_strict",

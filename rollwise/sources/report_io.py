@@ -1,23 +1,37 @@
-"""Month-partitioned, clustered report tables on parquet, and pruned reads.
+"""Month-partitioned, clustered, versioned report tables on parquet, and pruned reads.
 
-Layout: ``<path>/yyyymm=<YYYYMM>/part-*.parquet``. Before the write the rows
-are range-partitioned on (month, table sort key) and sorted within each task,
+Layout::
+
+    <path>/yyyymm=<m>/version=<v>/part-*.parquet    rows of month m as write v left them
+    <path>/_log/                                    which versions are the table (``plans.tablelog``)
+
+A write goes to folders of its own and becomes the table by one log entry at its end: a job
+that is killed before leaves the old table readable, and readers never see half a write. Before the write
+the rows are range-partitioned on (month, table sort key) and sorted within each task,
 so every file covers a narrow key range: parquet min/max statistics then skip
 row groups for tenant and date predicates, and a month is spread over many
 tasks instead of landing in one. A backfill of a month range replaces exactly these
-months, also those that have no rows any more; one of the whole table replaces it.
+months, also those that have no rows any more; one of the whole table replaces it. Which months a
+write has rows of is read off its folders: the report is planned and run once. ``vacuum_report``
+deletes what the log no longer names.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.measures import yyyymm
-from ..plans import files
+from ..plans import files, tablelog
+from ..plans.tablelog import Section, State
 from ..windows import DateWindow
 
 MONTH = "yyyymm"
+VERSION = "version"
+#: The log's section of a report table: month -> its versions.
+MONTHS = "months"
 
 # Date column and sort key of each report table (the tables' ORDER BY clauses).
 LAYOUT = {
@@ -26,6 +40,7 @@ LAYOUT = {
     "inventory": ("reportdate", ["organizationid", "reportdate", "active", "backendfacilityname", "itemid"]),
     "fulfillment": ("orderdate", ["organizationid", "orderdate", "brands_choice", "ponumber",
                                   "po_status", "brand_internal_sku_code", "itemid"]),
+    "prices": ("orderdate", ["sku", "orderdate"]),
 }
 
 
@@ -42,26 +57,79 @@ def clustered(df: DataFrame, kind: str, partitions: int | None = None) -> DataFr
     return out.sortWithinPartitions(*keys)
 
 
+def write_version(df: DataFrame, path: str, kind: str, version: int, partitions: int | None = None,
+                  max_records_per_file: int = 5_000_000) -> list[int]:
+    """Write rows as version ``version`` of their months, not yet part of the table; returns the months written."""
+    rows = clustered(df, kind, partitions).withColumn(VERSION, F.lit(version))
+    (rows.write.mode("append").option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy(MONTH, VERSION).parquet(path))
+    return written_months(df.sparkSession, path, VERSION, version)
+
+
+def written_months(spark: SparkSession, path: str, column: str, value: int) -> list[int]:
+    """The months that have a folder ``column=value`` (rows without a date are in none)."""
+    found = (p.split(f"{MONTH}=", 1)[1].split("/", 1)[0]
+             for p in files.matching(spark, f"{path.rstrip('/')}/{MONTH}=*/{column}={value}"))
+    return sorted(int(m) for m in found if m.isdigit())
+
+
 def write_report(df: DataFrame, path: str, kind: str, mode: str = "overwrite",
                  partitions: int | None = None, max_records_per_file: int = 5_000_000,
                  overwrite_mode: str = "dynamic", months: tuple[int, int] | None = None) -> None:
     """Write by column name, partitioned by month.
 
-    With ``mode="overwrite"`` only the months present in ``df`` are replaced (dynamic partition
-    overwrite), and those of the range ``months`` that are not present are removed;
-    ``overwrite_mode="static"`` replaces the whole table."""
+    With ``mode="overwrite"`` only the months present in ``df`` are replaced, and those of the range
+    ``months`` that are not present are removed; ``overwrite_mode="static"`` replaces the whole
+    table. ``mode="append"`` adds to the months. ``Conflict`` is raised, and nothing changed, if another
+    writer has meanwhile replaced one of these months."""
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode must be 'overwrite' or 'append', not {mode!r}")
     spark = df.sparkSession
-    before = files.matching(spark, f"{path.rstrip('/')}/{MONTH}=*")
-    if months and before:
-        present = {r[MONTH] for r in df.select(yyyymm(F.col(date_column(kind))).alias(MONTH)).distinct().collect()}
-    (clustered(df, kind, partitions).write.mode(mode)
-     .option("partitionOverwriteMode", overwrite_mode)
-     .option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy(MONTH).parquet(path))
-    for old in before if months else ():
-        month = old.rsplit("=", 1)[1]
-        if month.isdigit() and months[0] <= int(month) <= months[1] and int(month) not in present:
-            files.delete(spark, old)
+    base, version = tablelog.read_state(spark, path), tablelog.new_version()
+    new = write_version(df, path, kind, version, partitions, max_records_per_file)
+
+    def change(sections: dict[str, Section]) -> None:
+        if overwrite_mode == "static" and mode == "overwrite":
+            sections.clear()
+        held = sections.setdefault(MONTHS, {})
+        if mode == "append":
+            held.update({m: [*held.get(m, []), version] for m in new})
+            return
+        if months:
+            for m in [m for m in held if months[0] <= m <= months[1]]:
+                del held[m]
+        held.update({m: [version] for m in new})
+
+    static = overwrite_mode == "static"
+    mine = lambda now: {m for m in {*new, *now.section(MONTHS)} if static or m in new or (
+        months and months[0] <= m <= months[1])}
+    clashes = lambda now: [] if mode == "append" else tablelog.changed(base, now, MONTHS, mine(now))
+    tablelog.commit(spark, path, base, change, clashes)
+
+
+def current_rows(spark: SparkSession, path: str, state: State | None = None,
+                 months: tuple[int, int] = (0, 999912)) -> DataFrame:
+    """The table's rows (of months first..last) with their month, by partition filters: versions that the log does
+    not name are not opened."""
+    state = state or tablelog.read_state(spark, path)
+    if not state.number:
+        raise FileNotFoundError(f"no report has been written to {path}")
+    by_version: dict[int, list[int]] = {}
+    for m, versions in sorted(state.section(MONTHS).items()):
+        for v in versions if months[0] <= m <= months[1] else ():
+            by_version.setdefault(v, []).append(m)
+    named = [F.col(MONTH).between(ms[0], ms[-1]) & F.col(MONTH).isin(*ms) & (F.col(VERSION) == v) for v, ms in by_version.items()]
+    return spark.read.parquet(path).filter(reduce(lambda a, b: a | b, named, F.lit(False))).drop(VERSION)
+
+
+def vacuum_report(spark: SparkSession, path: str) -> None:
+    """Delete versions that the log does not name (no writer, and no reader of an older state, may be running)."""
+    held = {(m, v) for m, versions in tablelog.read_state(spark, path).section(MONTHS).items() for v in versions}
+    for folder in files.matching(spark, f"{path.rstrip('/')}/{MONTH}=*/{VERSION}=*"):
+        month, version = (part.split("=", 1)[1] for part in folder.rsplit("/", 2)[1:])
+        if not month.isdigit() or (int(month), int(version)) not in held:
+            files.delete(spark, folder)
+    tablelog.prune(spark, path)
 
 
 def write_colocated(df: DataFrame, table: str, path: str, kind: str, buckets: int,
@@ -75,11 +143,10 @@ def write_colocated(df: DataFrame, table: str, path: str, kind: str, buckets: in
 
 
 def read_report(spark: SparkSession, path: str, kind: str, window: DateWindow | None = None) -> DataFrame:
-    """Read a report; with a window, prune months (partition filter) and push the
-    date predicate to the parquet scan. Spark does not derive the month bound from
-    the date predicate by itself, so both are added here."""
-    df = spark.read.parquet(path)
-    if window is not None:
-        lo, hi = window.months()
-        df = df.filter(F.col(MONTH).between(lo, hi) & window.contains(F.col(date_column(kind))))
-    return df.drop(MONTH)
+    """Read a report; with a window, only its months (partition filter), and the date predicate is
+    pushed to the parquet scan. Spark does not derive the month bound from the date
+    predicate by itself, so both are added here."""
+    if window is None:
+        return current_rows(spark, path).drop(MONTH)
+    df = current_rows(spark, path, months=window.months())
+    return df.filter(window.contains(F.col(date_column(kind)))).drop(MONTH)

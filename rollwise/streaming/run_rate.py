@@ -8,9 +8,15 @@ The days the batch touched, and for each series the day after them, are then rat
 from the merged days and emitted. So days that arrive late, or in parts over several
 batches, are merged in and the following day is corrected; nothing is dropped.
 
+What a batch reads does not grow with the table's age: the sums of its series (a semi-join) in the months
+from its own first one on, and the closing before (``plans.snapshots``), which holds the day
+that the first of them compares with. A batch of current data reads the current month; one with
+late days reads from their month on. The stream keeps the table that way itself: it closes
+the month before as soon as a batch starts a new one, and merges the loads of the months after every
+``compact_every`` batches.
+
 An emission is written to its own ``batch_id`` folder; the newest one of a day counts.
-A replayed batch rewrites its folders. Series the batch does not touch are not read
-beyond a semi-join on the table; compaction keeps that table at one row per day.
+A replayed batch rewrites its folders.
 """
 
 from __future__ import annotations
@@ -21,56 +27,75 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from .. import schemas
+from ..functions.measures import depletion, state_columns
 from ..operators.enrich import check_dimensions
-from ..operators.inventory import INV_SERIES
-from ..plans import files
-from ..plans.incremental import BATCH, merge_partials, partial_rows, read_partials, write_batch
+from ..operators.inventory import INV_KEYS, INV_SERIES
+from ..operators.rollup import rollup
+from ..plans import tablelog
+from ..plans.incremental import (BATCH, close_month, compact_months, held_months, partial_rows, partials_before,
+                                 read_partials, write_batch)
+from ..plans.snapshots import closing_before
+from ..sources.report_io import MONTH
 from ..specs import PlatformSpec
-from .incremental import Source, current
+from ..windows import first_day
+from .incremental import Dimensions, Source, _start
+
+STOCK = ["backendinvqty", "total_quantity"]
+RATES = [*STOCK, "run_rate_backend", "run_rate_total"]
+
 
-RATES = ["backendinvqty", "total_quantity", "run_rate_backend", "run_rate_total"]
+def rated_days(spark: SparkSession, root: str, batch_id: int, months: list[int]) -> DataFrame:
+    """Current rates of the days that load ``batch_id`` (of ``months``) touched and, per series, of the day after each."""
+    state = tablelog.read_state(spark, root)
+    columns = [*INV_KEYS, *(x for c in STOCK for x in state_columns(c))]
+    mine = spark.read.parquet(f"{root.rstrip('/')}/batches").filter(F.col(MONTH).isin(*months) & (F.col(BATCH) == batch_id))
+    parts = read_partials(spark, root, "inventory", (months[0], 999912), state, batch_id, new_load=batch_id)
+    parts = parts.select(*columns, (~F.col("_new")).alias("_old"))
+    if held_months(spark, root)[0] < months[0]:
+        before = partials_before(spark, root, first_day(months[0]), state, batch_id)
+        parts = parts.unionByName(before.select(*columns, F.lit(True).alias("_old")))
+    parts = parts.join(mine.select(*INV_SERIES).distinct(), INV_SERIES, "left_semi")
+    days = rollup(parts.repartition(*INV_SERIES), INV_KEYS, ["_old"], STOCK)
+    w = Window.partitionBy(*INV_SERIES).orderBy("reportdate")
+    rated = days.select(
+        *INV_KEYS, *STOCK, "_old", F.lag("_old", 1, True).over(w).alias("_old_before"),
+        depletion(F.lag("backendinvqty", 1, 0.0).over(w), F.col("backendinvqty")).alias("run_rate_backend"),
+        depletion(F.lag("total_quantity", 1, 0.0).over(w), F.col("total_quantity")).alias("run_rate_total"))
+    return rated.filter("NOT (_old AND _old_before)").select(*INV_SERIES, "reportdate", *RATES)
 
 
-def rated_days(spark: SparkSession, root: str, spec: PlatformSpec, touched: DataFrame) -> DataFrame:
-    """Current rates of the ``touched`` (series, reportdate) and of the day after each."""
-    series = touched.select(*INV_SERIES).distinct()
-    parts = read_partials(spark, root, "inventory").join(series, INV_SERIES, "left_semi")
-    days = merge_partials(parts, "inventory", spec).select(*INV_SERIES, "reportdate", *RATES)
-    mark = touched.select(*INV_SERIES, "reportdate").distinct().withColumn("_touched", F.lit(True))
-    days = days.join(mark, [*INV_SERIES, "reportdate"], "left")
-    before = F.lag("_touched").over(Window.partitionBy(*INV_SERIES).orderBy("reportdate"))
-    return days.withColumn("_after", before).filter("_touched OR _after").drop("_touched", "_after")
+def close_behind(spark: SparkSession, root: str, spec: PlatformSpec, months: list[int]) -> None:
+    """Close the newest month before ``months`` unless it has been: batches of ``months`` then read no month before."""
+    earlier = [m for m in held_months(spark, root) if m < months[0]]
+    if earlier:
+        closed = closing_before(tablelog.read_state(spark, root), months[0])
+        if closed is None or closed < earlier[-1]:
+            close_month(spark, root, spec, earlier[-1])
 
 
 def run_rate_stream(spark: SparkSession, spec: PlatformSpec, feed_path: str, feed_schema: StructType | None,
                     cities: Source, catalogue: Source, root: str, checkpoint: str,
                     max_files_per_trigger: int | None = None, available_now: bool = True,
-                    processing_time: str | None = None, check_dims: bool = False) -> StreamingQuery:
+                    processing_time: str | None = None, check_dims: bool = False, compact_every: int = 20) -> StreamingQuery:
     """Start the stream; ``root`` gets the daily table (``days``) and the emissions (``live``)."""
     days = f"{root.rstrip('/')}/days"
+    dims = Dimensions(cities, catalogue, spec)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        c, k = current(cities), current(catalogue)
+        c, k = dims.now()
         if check_dims:
-            check_dimensions(c, k, spec)
-        write_batch(partial_rows("inventory", batch, c, k, spec), days, "inventory", batch_id)
-        if not files.has_data(spark, f"{days}/batches"):  # no line so far
+            check_dimensions(c.rows, k.rows, spec)
+        months = write_batch(partial_rows("inventory", batch, c, k, spec), days, "inventory", batch_id)
+        if not months:  # no line with a date
             return
-        touched = (spark.read.parquet(f"{days}/batches").filter(F.col(BATCH) == batch_id)
-                   .select(*INV_SERIES, "reportdate"))
-        rated_days(spark, days, spec, touched).write.mode("overwrite").parquet(
+        close_behind(spark, days, spec, months)
+        rated_days(spark, days, batch_id, months).write.mode("overwrite").parquet(
             f"{root.rstrip('/')}/live/{BATCH}={batch_id}")
+        if batch_id % compact_every == compact_every - 1:
+            compact_months(spark, days, "inventory", spec, 0, 999912)
 
     schema = feed_schema or schemas.feed_schema(spec.name, "inventory")   # declared, never inferred
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    w = reader.parquet(feed_path).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    if processing_time:
-        w = w.trigger(processingTime=processing_time)
-    elif available_now:
-        w = w.trigger(availableNow=True)
-    return w.start()
+    return _start(spark, feed_path, schema, each, checkpoint, max_files_per_trigger, available_now, processing_time)
 
 
 def current_run_rates(spark: SparkSession, root: str) -> DataFrame:

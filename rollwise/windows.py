@@ -79,6 +79,22 @@ def month_window(first: int, last: int) -> DateWindow:
     return DateWindow(f"{first // 100:04d}-{first % 100:02d}-01", f"{last // 100:04d}-{last % 100:02d}-31")
 
 
+def month_before(month: int) -> int:
+    """The month (yyyymm) before."""
+    y, m = _shift(*divmod(month, 100), -1)
+    return y * 100 + m
+
+
+def month_after(month: int) -> int:
+    """The month (yyyymm) after."""
+    y, m = _shift(*divmod(month, 100), 1)
+    return y * 100 + m
+
+
+def first_day(month: int) -> dt.date:
+    return dt.date(month // 100, month % 100, 1)
+
+
 def months_between(first: int, last: int) -> list[int]:
     """The months first..last (yyyymm, inclusive)."""
     out, (y, m) = [], divmod(first, 100)
