@@ -14,13 +14,14 @@ from .operators.fulfillment import daily_min_price, fulfillment_report
 from .operators.inventory import inventory_report
 from .operators.sales import (STRICT_REDSHIFT_COLUMNS, STRICT_STATES_COLUMNS, merge_states, sales_report,
                               sales_states, sales_strict)
-from .plans.backfill import backfill, refresh_strict_view
-from .plans.incremental import (KINDS, backfill_months, compact_month, partial_rows, read_merged,
-                                split_merge, write_batch)
+from .plans.backfill import backfill, refresh_changed_months, refresh_strict_view
+from .plans.incremental import (KINDS, backfill_months, close_month, compact_month, compact_months, partial_rows,
+                                read_merged, split_merge, write_batch)
 from .session import apply_conf, scratch_path
 from .sources import fixtures as fx
-from .sources.report_io import read_report, write_colocated
-from .streaming.incremental import stream_report
+from .sources.report_io import (read_report, with_catalogue_of_now, write_colocated,
+                                write_colocated_catalogue)
+from .streaming.incremental import read_prices, read_priced, stream_prices, stream_report
 from .streaming.run_rate import current_run_rates, run_rate_stream
 from .specs import platform
 from .windows import DateWindow
@@ -248,6 +249,51 @@ def _colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(*STRICT_REDSHIFT_COLUMNS)
 
 
+#: Catalogue columns that the co-located join looks up anew.
+NOW = ["category", "brand", "margin"]
+
+
+def _colocated_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strict view and the catalogue, both bucketed by item, joined bucket to bucket."""
+    unique = scratch_path(spark).rsplit("/", 1)[1]
+    view, items = f"rollwise_view_{unique}", f"rollwise_catalogue_{unique}"
+    write_colocated(_strict(spark, sf_dir), view, scratch_path(spark, "colocated_view"), "sales_strict", buckets=16)
+    write_colocated_catalogue(fx.catalogue(spark, sf_dir), platform("blinkit"), items, scratch_path(spark, "colocated_catalogue"), buckets=16)
+    joined = with_catalogue_of_now(spark.table(view), spark.table(items), NOW)
+    return joined.select("organizationid", "itemid", "reportdate", "brands_choice", "gmv", *[f"{c}_now" for c in NOW])
+
+
+def _refresh_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strict view made from the feed's files while Feb and Mar 1998 were not there yet, then refreshed twice: with their
+    files (these months alone are rewritten) and with nothing new."""
+    feed, cities, cat, _ = _inputs(spark, sf_dir, "sales", "blinkit")
+    base, spec = scratch_path(spark, "strict_by_change"), platform("blinkit")
+    feed = _staged(feed, base + "/staged")
+    late = F.to_date(F.col(spec.sales.date)).between(F.lit(DateWindow("1998-02-01", "1998-03-31").start),
+                                                     F.lit(DateWindow("1998-02-01", "1998-03-31").end))
+    refresh = lambda: refresh_changed_months(spark, spec, base + "/feed", cities, cat, base + "/view", feed.schema)
+    feed.filter(~late).write.mode("append").parquet(base + "/feed")
+    refresh()
+    feed.filter(late).write.mode("append").parquet(base + "/feed")
+    again, nothing = refresh(), refresh()
+    if again != [199802, 199803] or nothing:
+        raise RuntimeError(f"months rewritten: {again}, {nothing}")
+    return read_report(spark, base + "/view", "sales_strict")
+
+
+def _price_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Zepto sales feed in three loads, streamed into the price table, merged in part, read."""
+    feed, _, _, _ = _inputs(spark, sf_dir, "sales", "zepto")
+    base = scratch_path(spark, "prices")
+    feed = _staged(feed, base + "/staged")
+    for i in range(LOADS):
+        feed.filter(_load(feed, LOADS) == i).write.mode("append").parquet(base + "/feed")
+        stream_prices(spark, base + "/feed", feed.schema, base + "/table", base + "/checkpoint").awaitTermination()
+        if i == 1:
+            compact_months(spark, base + "/table", "prices", platform("zepto"), 199601, 199712)
+    return read_prices(spark, base + "/table")
+
+
 def _compacted(kind: str, mkt: str) -> Query:
     """Three loads, two months compacted, a fourth load, merged read."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,6 +324,23 @@ def _merged_window(kind: str, mkt: str) -> Query:
     return q
 
 
+def _closed_window(mkt: str) -> Query:
+    """Inventory loads, a month closed after the second, the third load late for it, a compaction that takes in
+    what the closing lacks, merged read of the window after: the window's months and one closing are opened."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        feed, cities, cat, _ = _inputs(spark, sf_dir, "inventory", mkt)
+        spec = platform(mkt)
+        root = scratch_path(spark, "closed_window", mkt)
+        feed = _staged(feed, root + "/feed")
+        for i in range(LOADS):
+            write_batch(partial_rows("inventory", feed.filter(_load(feed, LOADS) == i), cities, cat, spec), root, "inventory", i)
+            if i == 1:
+                close_month(spark, root, spec, 199801)
+        compact_months(spark, root, "inventory", spec, 199701, 199712)
+        return read_merged(spark, root, "inventory", spec, WINDOW)
+    return q
+
+
 def _backfill_into_stream_table(kind: str, mkt: str, compact: bool) -> Query:
     """Loads for everything but part of Feb 1998, Feb 1998 backfilled from the whole feed
     (superseding its earlier load), a later load, and optionally compaction of both kinds of
@@ -316,6 +379,22 @@ def _emptied_stream_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_merged(spark, root, "sales", spec)
 
 
+def _priced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zepto purchase orders and sales both arrive in loads, the sales of each step after its orders, so that
+    prices are late for every load: the merged read with the price table is the report all the same."""
+    feed, _, _, _ = _inputs(spark, sf_dir, "fulfillment", "zepto")
+    base = scratch_path(spark, "stream", "zepto_priced")
+    feed, sales = _staged(feed, base + "/staged"), _staged(fx.sales_feed(spark, sf_dir, "zepto"), base + "/staged_sales")
+    for i in range(LOADS):
+        feed.filter(_load(feed, LOADS) == i).write.mode("append").parquet(base + "/feed")
+        sales.filter(_load(sales, LOADS) == i).write.mode("append").parquet(base + "/sales")
+        stream_report(spark, "fulfillment", platform("zepto"), base + "/feed", feed.schema,
+                      lambda: fx.city_mapping(spark, sf_dir), lambda: fx.catalogue(spark, sf_dir), base + "/table",
+                      base + "/checkpoint", price_root=base + "/prices").awaitTermination()
+        stream_prices(spark, base + "/sales", sales.schema, base + "/prices", base + "/checkpoint_prices").awaitTermination()
+    return read_priced(spark, base + "/table", base + "/prices", platform("zepto"))
+
+
 def _stream(kind: str, mkt: str) -> Query:
     """The feed arrives as files in loads, each streamed by a run of its own from the same
     checkpoint; merged read."""
@@ -377,6 +456,11 @@ def jobs() -> dict[str, tuple[Query, str]]:
         "i6_rebuild_emptied_month": (_rebuild_emptied_month, O.outside(O.sales_report("instamart"), "sales", feb)),
         "i6_emptied_month_of_stream_table": (_emptied_stream_month, O.outside(O.sales_report("zepto"), "sales", feb)),
         "i7_refresh_strict_view": (_refresh_strict, O.strict_sales(STRICT_REDSHIFT_COLUMNS)),
+        "i7_refresh_changed_months": (_refresh_changed, O.strict_sales(STRICT_REDSHIFT_COLUMNS)),
         "s9_colocated_strict_view": (_colocated, O.strict_sales(STRICT_REDSHIFT_COLUMNS)),
+        "s9_colocated_join": (_colocated_join, O.strict_with_catalogue()),
+        "i3_closed_window_inventory": (_closed_window("zepto"), O.inside(O.inventory_report("zepto"), "inventory", WINDOW)),
+        "i2_price_table": (_price_stream, O.daily_min_price()),
+        "i2_incremental_fulfillment_late_prices": (_priced_stream, O.fulfillment_report("zepto")),
     }
     return out

@@ -133,6 +133,11 @@ def to_double(text: Column) -> Column:
     return text.try_cast("double")
 
 
+def rejected(text: Column) -> Column:
+    """Whether a text is there but is no number (``to_double`` drops it)."""
+    return text.isNotNull() & to_double(text).isNull()
+
+
 def yyyymm(d: Column) -> Column:
     """Month partition value of a date, e.g. 199802."""
     return (F.year(d) * 100 + F.month(d)).cast("int")

@@ -8,10 +8,11 @@ makes them deterministic and mergeable. Money sums are exact.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.measures import net_sales, taxes_paid, to_double, unit_price, zero_if_null
+from ..functions.measures import net_sales, rejected, taxes_paid, to_double, unit_price, zero_if_null
 from ..functions.defaults import UNKNOWN
 from ..specs import PlatformSpec
 from .enrich import CITY, SKU, enrich, sku_key
@@ -38,12 +39,31 @@ def _fallback(scd_col: str, feed_col: str | None) -> Column:
     return _first_known(*cols)
 
 
+#: What an observation of a default report counts: feed lines whose text became 0 because it is no number.
+REJECTS = {"cogs": "cogs_rejected", "taxes": "taxes_rejected"}
+
+
+def reject_counts(seen: Observation) -> dict[str, int]:
+    """The counts of an observation whose report has been computed; 0 where Spark had nothing to compute (a feed that it
+    knows to be empty is not planned, and its observation not filled)."""
+    try:
+        found = seen.get
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() != "AssertionError":
+            raise
+        found = {}
+    return {n: found.get(n, 0) for n in REJECTS.values()}
+
+
 def sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
-                spec: PlatformSpec, carry: tuple[str, ...] = ()) -> DataFrame:
+                spec: PlatformSpec, carry: tuple[str, ...] = (), rejects: Observation | None = None) -> DataFrame:
     """One enriched row per feed row, defaults applied (the view's SELECT before GROUP BY).
-    ``carry``: feed columns passed through unchanged (e.g. a split key)."""
+    ``carry``: feed columns passed through unchanged (e.g. a split key). ``rejects`` counts lines (``REJECTS``)
+    while the report is computed, without a job of its own; a filter on the report is then not pushed below."""
     s = spec.sales
     e = enrich(feed, cities, catalogue, spec, city_col=s.city, item_col=s.item)
+    if rejects is not None:
+        e = e.observe(rejects, *[F.count_if(rejected(F.col(SKU + c))).alias(n) for c, n in REJECTS.items()])
     margin = zero_if_null(F.col(SKU + "margin"))
     tax = zero_if_null(to_double(F.col(SKU + "taxes")))
     gmv = zero_if_null(F.col(s.gmv).cast("double"))
@@ -82,8 +102,9 @@ def rollup_sales(lines: DataFrame, spec: PlatformSpec, extra_keys: tuple[str, ..
 
 
 def sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
-                 spec: PlatformSpec, nulls: str = "default", partial: bool = False) -> DataFrame:
-    """R1-R3.
+                 spec: PlatformSpec, nulls: str = "default", partial: bool = False,
+                 rejects: Observation | None = None) -> DataFrame:
+    """R1-R3. ``rejects``: see ``sales_lines``; its counts are there once the report has been computed.
 
     ``nulls="strict"``: the NULL-keeping variant (R10's columns and rules).
     ``partial=True``: mergeable partial rows of one load (``rollup_sales`` merges them)."""
@@ -92,7 +113,7 @@ def sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
                              final=not partial)
     if nulls != "default":
         raise ValueError(f"nulls must be 'default' or 'strict', not {nulls!r}")
-    return rollup_sales(sales_lines(feed, cities, catalogue, spec), spec, final=not partial)
+    return rollup_sales(sales_lines(feed, cities, catalogue, spec, rejects=rejects), spec, final=not partial)
 
 
 # ----------------------------------------------------------- strict variants

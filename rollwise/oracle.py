@@ -175,6 +175,15 @@ def strict_sales(order: list[str]) -> str:
     FROM lines GROUP BY {', '.join(keys)}"""
 
 
+def strict_with_catalogue() -> str:
+    """The strict view's sums with the item's catalogue columns looked up anew."""
+    return f"""
+    SELECT v.organizationid, v.itemid, v.reportdate, v.brands_choice, v.gmv,
+           k.category AS category_now, k.brand AS brand_now, k.margin AS margin_now
+    FROM ({strict_sales(["itemid", "brands_choice", "reportdate", "organizationid", "gmv"])}) v
+    LEFT JOIN ({CATALOGUE}) k ON v.itemid = k.sku_code AND v.organizationid = k.organizationid"""
+
+
 # -------------------------------------------------------------- dashboards
 ORG = "org-1"
 WINDOW = DateWindow("1998-02-02", "1998-02-31")

@@ -14,16 +14,20 @@ snapshot are read as well. The months that hold a row whose rate changes are rew
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..functions.measures import depletion
-from ..operators.enrich import check_dimensions
+from .. import schemas
+from ..functions.measures import depletion, yyyymm
+from ..operators.enrich import catalogue_dim, check_dimensions, city_dim
 from ..operators.fulfillment import fulfillment_report
 from ..operators.inventory import (INV_ANY, INV_KEYS, INV_SERIES, INV_SUM, INVENTORY_COLUMNS, inventory_report,
                                    latest_before)
-from ..operators.sales import sales_report, sales_strict
-from ..sources.report_io import MONTH, MONTHS, VERSION, current_rows, write_report, write_version
+from ..operators.sales import reject_counts, sales_report, sales_strict
+from ..sources.report_io import MONTH, MONTHS, current_rows, version_path, write_report, write_version
 from ..specs import PlatformSpec
 from ..windows import first_day, month_after, month_before, month_window
 from . import tablelog
@@ -38,9 +42,9 @@ def feed_date(kind: str, spec: PlatformSpec) -> str:
 
 def build_report(kind: str, spec: PlatformSpec, feed: DataFrame, cities: DataFrame,
                  catalogue: DataFrame, prices: DataFrame | None = None,
-                 last_snapshots: DataFrame | None = None) -> DataFrame:
+                 last_snapshots: DataFrame | None = None, rejects: Observation | None = None) -> DataFrame:
     if kind == "sales":
-        return sales_report(feed, cities, catalogue, spec)
+        return sales_report(feed, cities, catalogue, spec, rejects=rejects)
     if kind == "inventory":
         return inventory_report(feed, cities, catalogue, spec, last_snapshots)
     if kind == "fulfillment":
@@ -88,8 +92,7 @@ def _rebuild_inventory(spark: SparkSession, spec: PlatformSpec, feed: DataFrame,
                         version, partitions)
     rows = seed
     if new:
-        written = spark.read.parquet(out).filter((F.col(VERSION) == version) & F.col(MONTH).isin(*new))
-        rows = rows.unionByName(written.select(*DAILY))
+        rows = rows.unionByName(spark.read.parquet(version_path(out, version)).select(*DAILY))
     closing = write_snapshot(latest_before(rows, first_day(month_after(last))), out, CLOSINGS, last, version)
     # the first later row of a series follows the closing: its rates are worked out again
     prior = closing.select(*INV_SERIES, *[F.col(c).alias("_" + c) for c in STOCK])
@@ -105,7 +108,7 @@ def _rebuild_inventory(spark: SparkSession, spec: PlatformSpec, feed: DataFrame,
     where = sorted(r[MONTH] for r in fixed.select(MONTH).distinct().collect())  # at most all months
     if where:
         right = fixed.select(*INV_SERIES, "reportdate", *[F.col(c).alias("_" + c) for c in RATES])
-        held = current_rows(spark, out, base).filter(F.col(MONTH).isin(*where)).join(right, [*INV_SERIES, "reportdate"], "left")
+        held = current_rows(spark, out, base, (where[0], where[-1])).filter(F.col(MONTH).isin(*where)).join(right, [*INV_SERIES, "reportdate"], "left")
         write_version(held.withColumns({c: F.coalesce("_" + c, c) for c in RATES}).select(*INVENTORY_COLUMNS), out,
                       "inventory", version, partitions)
 
@@ -125,10 +128,11 @@ def _rebuild_inventory(spark: SparkSession, spec: PlatformSpec, feed: DataFrame,
 def backfill(spark: SparkSession, kind: str, spec: PlatformSpec, feed: DataFrame,
              cities: DataFrame, catalogue: DataFrame, out: str,
              months: tuple[int, int] | None = None, prices: DataFrame | None = None,
-             partitions: int | None = None, check_dims: bool = True) -> None:
+             partitions: int | None = None, check_dims: bool = True) -> dict[str, int]:
     """Recompute report months from the feed and replace them in ``out`` (the whole table
     without ``months``). ``check_dims``: fail on duplicate dimension keys first. ``tablelog.Conflict`` is raised, and
-    nothing changed, if another job has meanwhile replaced what this one builds on."""
+    nothing changed, if another job has meanwhile replaced what this one builds on. Returns the counts of
+    COGS and TAXES texts that became 0 (``operators.sales.REJECTS``), gathered by the write; of other kinds none."""
     if check_dims:
         check_dimensions(cities, catalogue, spec)
     if months is not None:
@@ -136,9 +140,11 @@ def backfill(spark: SparkSession, kind: str, spec: PlatformSpec, feed: DataFrame
         base = tablelog.read_state(spark, out)
         if kind == "inventory" and base.section(MONTHS):
             _rebuild_inventory(spark, spec, feed, cities, catalogue, out, months, partitions, base)
-            return
-    write_report(build_report(kind, spec, feed, cities, catalogue, prices), out, kind, partitions=partitions,
+            return {}
+    rejects = Observation() if kind == "sales" else None
+    write_report(build_report(kind, spec, feed, cities, catalogue, prices, rejects=rejects), out, kind, partitions=partitions,
                  months=months, overwrite_mode="dynamic" if months else "static")
+    return reject_counts(rejects) if rejects else {}
 
 
 def refresh_strict_view(spark: SparkSession, spec: PlatformSpec, feed: DataFrame,
@@ -149,3 +155,72 @@ def refresh_strict_view(spark: SparkSession, spec: PlatformSpec, feed: DataFrame
     write_report(sales_strict(feed, cities, catalogue, spec), out, "sales_strict",
                  overwrite_mode="static")
 
+
+# ------------------------------------------------------- refresh by change
+#: The log's section: 0 -> [version of the list of feed files, fingerprint of the dimensions].
+SOURCES = "sources"
+_FILE = ["file_path", "file_size", "file_modification_time"]
+
+
+def _files(rows: DataFrame, *more: Column) -> DataFrame:
+    return rows.select(*[F.col(f"_metadata.{c}").alias(c) for c in _FILE], *more)
+
+
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """The parquet files below ``path``, by listing: none is opened."""
+    return _files(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                  .option("recursiveFileLookup", "true").load(path))
+
+
+def _fingerprint(cities: DataFrame, catalogue: DataFrame, spec: PlatformSpec) -> str:
+    dims = (city_dim(cities, spec), catalogue_dim(catalogue, spec))
+    totals = [d.agg(F.count("*"), F.bit_xor(F.xxhash64(*d.columns)), F.sum(F.xxhash64(*d.columns).cast("decimal(38,0)"))).first()
+              for d in dims]
+    return "/".join(":".join(str(x) for x in t) for t in totals)
+
+
+def refresh_changed_months(spark: SparkSession, spec: PlatformSpec, feed_path: str, cities: DataFrame,
+                           catalogue: DataFrame, out: str, feed_schema: StructType | None = None) -> list[int]:
+    """I7 by change: bring the stored strict view up to date with the feed's files; returns the months rewritten.
+
+    The table keeps a list of the feed files it was made from, with size, time and the months in each. Files that
+    are new, changed or gone give the months to rewrite, and only files with rows of these months are read again.
+    Other dimension rows than last time, or no list yet, rewrite everything. ``Conflict`` is raised, and nothing changed, if
+    another job has meanwhile refreshed the table."""
+    check_dimensions(cities, catalogue, spec)
+    base, version = tablelog.read_state(spark, out), tablelog.new_version()
+    schema, date = feed_schema or schemas.feed_schema(spec.name, "sales"), spec.sales.date
+    read = lambda *paths: spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
+    month = F.coalesce(yyyymm(F.to_date(F.col(date))), F.lit(0)).alias(MONTH)
+    dims, known = _fingerprint(cities, catalogue, spec), base.section(SOURCES).get(0)
+    root = f"{out.rstrip('/')}/_sources"
+    whole = known is None or known[1] != dims
+    paths = lambda rows: [unquote(r[0]) for r in rows.select("file_path").distinct().collect()]
+    if whole:
+        held, months = _files(read(feed_path), month).distinct(), None
+    else:
+        before, now = spark.read.parquet(f"{root}/{known[0]}"), _listed(spark, feed_path)
+        gone = before.join(now, _FILE, "left_anti")
+        new = paths(now.join(before, _FILE, "left_anti"))
+        stay = before.join(now, _FILE, "left_semi")
+        held = stay.unionByName(_files(read(*new), month).distinct()) if new else stay
+        touched = gone.select(MONTH).unionByName(_files(read(*new), month).select(MONTH)) if new else gone.select(MONTH)
+        months = sorted(r[MONTH] for r in touched.distinct().collect())
+        if not new and not months:
+            return []
+    held.write.parquet(f"{root}/{version}")
+    if whole:
+        feed = read(feed_path)
+    else:
+        inside = paths(spark.read.parquet(f"{root}/{version}").filter(F.col(MONTH).isin(*months))) if months else []
+        feed = (read(*inside) if inside else spark.createDataFrame([], schema)).withColumn("_m", month).filter(F.col("_m").isin(*months)).drop("_m")
+    written = write_version(sales_strict(feed, cities, catalogue, spec), out, "sales_strict", version)
+
+    def change(sections: dict[str, Section]) -> None:
+        old = sections.get(MONTHS, {})
+        sections[MONTHS] = {m: v for m, v in old.items() if not whole and m not in months} | {m: [version] for m in written}
+        sections[SOURCES] = {0: [version, dims]}
+
+    tablelog.commit(spark, out, base, change, lambda now: tablelog.changed(base, now, MONTHS) + tablelog.changed(base, now, SOURCES))
+    return written if whole else months
+

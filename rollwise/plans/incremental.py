@@ -33,7 +33,7 @@ import datetime as dt
 import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.enrich import check_dimensions
@@ -41,7 +41,7 @@ from ..operators.fulfillment import daily_min_price, fulfillment_lines, represen
 from ..operators.inventory import daily_stock, inventory_lines, latest_before, with_run_rates
 from ..operators.sales import rollup_sales, sales_lines
 from ..functions.measures import yyyymm
-from ..sources.report_io import MONTH, date_column, written_months
+from ..sources.report_io import MONTH, date_column
 from ..specs import PlatformSpec
 from ..windows import DateWindow, first_day, month_after, month_window, months_between
 from . import files, tablelog
@@ -59,12 +59,12 @@ TRIES = 5
 
 def partial_rows(kind: str, feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
                  spec: PlatformSpec, prices: DataFrame | None = None,
-                 extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    """Partial rows of one load (``extra_keys``: feed columns kept as extra group keys).
+                 extra_keys: tuple[str, ...] = (), rejects: Observation | None = None) -> DataFrame:
+    """Partial rows of one load (``extra_keys``: feed columns kept as extra group keys; ``rejects``: see ``sales_lines``).
     Sales and inventory stop after the hash level of the rollup (one shuffle per
     load); the merge on read finishes it."""
     if kind == "sales":
-        return rollup_sales(sales_lines(feed, cities, catalogue, spec, extra_keys), spec, extra_keys,
+        return rollup_sales(sales_lines(feed, cities, catalogue, spec, extra_keys, rejects), spec, extra_keys,
                             final=False)
     if kind == "inventory":
         return daily_stock(inventory_lines(feed, cities, catalogue, spec, extra_keys), extra_keys,
@@ -111,11 +111,16 @@ def _folder(root: str, name: str) -> str:
 
 
 def _write_months(rows: DataFrame, path: str, kind: str, column: str, value: int) -> None:
-    """Rows below ``path`` by month and ``column``. The rebalance gives a month the files its
+    """Rows below ``path`` by month and ``column``, into folders that no other write has. The rebalance gives a month the files its
     size asks for, large months several."""
     out = rows.withColumn(MONTH, yyyymm(F.col(date_column(kind)))).withColumn(column, F.lit(value).cast("long"))
-    (out.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(MONTH, column).parquet(path))
+    out.hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH, column).parquet(path)
+
+
+def _written_months(spark: SparkSession, path: str, column: str, value: int) -> list[int]:
+    """The months that have a folder ``column=value`` (rows without a date are in none)."""
+    found = (p.split(f"{MONTH}=", 1)[1].split("/", 1)[0] for p in files.matching(spark, f"{path}/{MONTH}=*/{column}={value}"))
+    return sorted(int(m) for m in found if m.isdigit())
 
 
 def _load_mark(root: str, batch_id: int) -> str:
@@ -131,7 +136,7 @@ def write_batch(rows: DataFrame, root: str, kind: str, batch_id: int) -> list[in
     for old in files.matching(spark, f"{path}/{MONTH}=*/{BATCH}={batch_id}"):
         files.delete(spark, old)
     _write_months(rows, path, kind, BATCH, batch_id)
-    months = written_months(spark, path, BATCH, batch_id)
+    months = _written_months(spark, path, BATCH, batch_id)
     files.create_text(spark, mark, json.dumps(months))
     return months
 

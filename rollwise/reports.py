@@ -7,7 +7,7 @@ incremental loads. Each is the shared builder with the marketplace's spec.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -20,16 +20,19 @@ from .streaming.run_rate import run_rate_stream
 
 
 # R1-R3 -------------------------------------------------------------------
-def blinkit_sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame) -> DataFrame:
-    return sales_report(feed, cities, catalogue, BLINKIT)
+def blinkit_sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
+                         rejects: Observation | None = None) -> DataFrame:
+    return sales_report(feed, cities, catalogue, BLINKIT, rejects=rejects)
 
 
-def instamart_sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame) -> DataFrame:
-    return sales_report(feed, cities, catalogue, INSTAMART)
+def instamart_sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
+                           rejects: Observation | None = None) -> DataFrame:
+    return sales_report(feed, cities, catalogue, INSTAMART, rejects=rejects)
 
 
-def zepto_sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame) -> DataFrame:
-    return sales_report(feed, cities, catalogue, ZEPTO)
+def zepto_sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
+                       rejects: Observation | None = None) -> DataFrame:
+    return sales_report(feed, cities, catalogue, ZEPTO, rejects=rejects)
 
 
 # R4-R6 -------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 Layout::
 
-    <path>/yyyymm=<m>/version=<v>/part-*.parquet    rows of month m as write v left them
+    <path>/version=<v>/yyyymm=<m>/part-*.parquet    rows of month m as write v left them
     <path>/_log/                                    which versions are the table (``plans.tablelog``)
 
 A write goes to folders of its own and becomes the table by one log entry at its end: a job
@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.measures import yyyymm
+from ..operators.enrich import SKU, catalogue_dim
 from ..plans import files, tablelog
 from ..plans.tablelog import Section, State
+from ..specs import PlatformSpec
 from ..windows import DateWindow
 
 MONTH = "yyyymm"
@@ -51,26 +53,23 @@ def date_column(kind: str) -> str:
 def clustered(df: DataFrame, kind: str, partitions: int | None = None) -> DataFrame:
     """Month column + range partitioning and in-task sort on the sort key."""
     date, sort = LAYOUT[kind]
-    out = df.withColumn(MONTH, yyyymm(F.col(date)))
+    out = df.withColumn(MONTH, F.coalesce(yyyymm(F.col(date)), F.lit(0)))  # rows without a date are month 0
     keys = [MONTH, *sort]
     out = out.repartitionByRange(partitions, *keys) if partitions else out.repartitionByRange(*keys)
     return out.sortWithinPartitions(*keys)
 
 
+def version_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/{VERSION}={version}"
+
+
 def write_version(df: DataFrame, path: str, kind: str, version: int, partitions: int | None = None,
                   max_records_per_file: int = 5_000_000) -> list[int]:
     """Write rows as version ``version`` of their months, not yet part of the table; returns the months written."""
-    rows = clustered(df, kind, partitions).withColumn(VERSION, F.lit(version))
-    (rows.write.mode("append").option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy(MONTH, VERSION).parquet(path))
-    return written_months(df.sparkSession, path, VERSION, version)
-
-
-def written_months(spark: SparkSession, path: str, column: str, value: int) -> list[int]:
-    """The months that have a folder ``column=value`` (rows without a date are in none)."""
-    found = (p.split(f"{MONTH}=", 1)[1].split("/", 1)[0]
-             for p in files.matching(spark, f"{path.rstrip('/')}/{MONTH}=*/{column}={value}"))
-    return sorted(int(m) for m in found if m.isdigit())
+    (clustered(df, kind, partitions).write.mode("append").option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy(MONTH).parquet(version_path(path, version)))
+    found = files.matching(df.sparkSession, f"{version_path(path, version)}/{MONTH}=*")
+    return sorted(int(p.rsplit("=", 1)[1]) for p in found)
 
 
 def write_report(df: DataFrame, path: str, kind: str, mode: str = "overwrite",
@@ -108,26 +107,39 @@ def write_report(df: DataFrame, path: str, kind: str, mode: str = "overwrite",
 
 
 def current_rows(spark: SparkSession, path: str, state: State | None = None,
-                 months: tuple[int, int] = (0, 999912)) -> DataFrame:
-    """The table's rows (of months first..last) with their month, by partition filters: versions that the log does
-    not name are not opened."""
+                 months: tuple[int, int] | None = None) -> DataFrame:
+    """The table's rows (of months first..last) with their month. The log says which folders hold them: others are
+    not listed, so that a read of few months does not depend on the table's size."""
     state = state or tablelog.read_state(spark, path)
     if not state.number:
         raise FileNotFoundError(f"no report has been written to {path}")
     by_version: dict[int, list[int]] = {}
     for m, versions in sorted(state.section(MONTHS).items()):
-        for v in versions if months[0] <= m <= months[1] else ():
+        for v in versions:
             by_version.setdefault(v, []).append(m)
-    named = [F.col(MONTH).between(ms[0], ms[-1]) & F.col(MONTH).isin(*ms) & (F.col(VERSION) == v) for v, ms in by_version.items()]
-    return spark.read.parquet(path).filter(reduce(lambda a, b: a | b, named, F.lit(False))).drop(VERSION)
+    if months is None:
+        folders = [version_path(path, v) for v in by_version]
+        inside = F.lit(True)
+    else:
+        by_version = {v: [m for m in ms if months[0] <= m <= months[1]] for v, ms in by_version.items()}
+        folders = [f"{version_path(path, v)}/{MONTH}={m}" for v, ms in by_version.items() for m in ms]
+        inside = F.col(MONTH).between(*months)
+    named = [F.col(MONTH).isin(*ms) & (F.col(VERSION) == v) for v, ms in by_version.items() if ms]
+    if not folders:  # the columns of any version, and no row
+        folders = files.matching(spark, f"{path.rstrip('/')}/{VERSION}=*")
+    rows = spark.read.option("basePath", path).parquet(*folders)
+    return rows.filter(inside & reduce(lambda a, b: a | b, named, F.lit(False))).drop(VERSION)
 
 
 def vacuum_report(spark: SparkSession, path: str) -> None:
     """Delete versions that the log does not name (no writer, and no reader of an older state, may be running)."""
-    held = {(m, v) for m, versions in tablelog.read_state(spark, path).section(MONTHS).items() for v in versions}
-    for folder in files.matching(spark, f"{path.rstrip('/')}/{MONTH}=*/{VERSION}=*"):
-        month, version = (part.split("=", 1)[1] for part in folder.rsplit("/", 2)[1:])
-        if not month.isdigit() or (int(month), int(version)) not in held:
+    held = {(v, m) for m, versions in tablelog.read_state(spark, path).section(MONTHS).items() for v in versions}
+    for folder in files.matching(spark, f"{path.rstrip('/')}/{VERSION}=*/{MONTH}=*"):
+        version, month = (int(part.split("=", 1)[1]) for part in folder.rsplit("/", 2)[1:])
+        if (version, month) not in held:
+            files.delete(spark, folder)
+    for folder in files.matching(spark, f"{path.rstrip('/')}/{VERSION}=*"):
+        if not files.matching(spark, f"{folder}/{MONTH}=*") and held:
             files.delete(spark, folder)
     tablelog.prune(spark, path)
 
@@ -142,6 +154,23 @@ def write_colocated(df: DataFrame, table: str, path: str, kind: str, buckets: in
      .saveAsTable(table))
 
 
+def write_colocated_catalogue(catalogue: DataFrame, spec: PlatformSpec, table: str, path: str, buckets: int) -> None:
+    """The catalogue bucketed by item as the view is (the same number of ``buckets``), columns as in the view."""
+    rows = catalogue_dim(catalogue, spec)
+    names = {"key": "itemid", "org": "organizationid"}
+    plain = [F.col(c).alias(names.get(c.removeprefix(SKU), c.removeprefix(SKU))) for c in rows.columns]
+    (rows.select(*plain).write.mode("overwrite").option("path", path).bucketBy(buckets, "itemid").sortBy("itemid")
+     .saveAsTable(table))
+
+
+def with_catalogue_of_now(view: DataFrame, catalogue: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of the co-located view with the item's ``columns`` of the co-located catalogue, as ``<column>_now``: bucket to
+    bucket, nothing is shuffled (``session.SQL_CONF`` lets a join use the buckets of one of its keys), unless the
+    catalogue is small enough for Spark to broadcast."""
+    now = catalogue.select("itemid", "organizationid", *[F.col(c).alias(f"{c}_now") for c in columns])
+    return view.join(now, ["itemid", "organizationid"], "left")
+
+
 def read_report(spark: SparkSession, path: str, kind: str, window: DateWindow | None = None) -> DataFrame:
     """Read a report; with a window, only its months (partition filter), and the date predicate is
     pushed to the parquet scan. Spark does not derive the month bound from the date

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -28,6 +28,7 @@ from .. import schemas
 from ..functions.measures import yyyymm
 from ..operators.enrich import Checked, check_dimensions, checked
 from ..operators.fulfillment import daily_min_price, repriced
+from ..operators.sales import reject_counts
 from ..plans import files
 from ..plans.incremental import held_months, merge_rows, partial_rows, read_merged, read_partials, write_batch
 from ..specs import PlatformSpec, platform
@@ -127,11 +128,13 @@ def stream_report(spark: SparkSession, kind: str, spec: PlatformSpec, feed_path:
                   checkpoint: str, sales_feed: Source | None = None,
                   max_files_per_trigger: int | None = None, available_now: bool = True,
                   processing_time: str | None = None, check_dims: bool = False,
-                  price_root: str | None = None) -> StreamingQuery:
+                  price_root: str | None = None,
+                  on_rejects: Callable[[int, dict[str, int]], None] | None = None) -> StreamingQuery:
     """Start the incremental load of one report; returns the running query. The dimensions
     are read in every micro-batch; a duplicate key fails the batch. ``check_dims`` checks in every batch, also
     where the files are the same. Zepto fulfillment takes its prices from ``price_root``
-    (``stream_prices``) or, without one, from ``sales_feed``."""
+    (``stream_prices``) or, without one, from ``sales_feed``. ``on_rejects`` is given each sales batch's id and its counts of
+    COGS and TAXES texts that became 0, gathered by the batch's own write."""
     dims = Dimensions(cities, catalogue, spec)
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -142,7 +145,10 @@ def stream_report(spark: SparkSession, kind: str, spec: PlatformSpec, feed_path:
         if kind == "fulfillment" and spec.fulfillment.unit_price is None:
             prices = (stored_prices_for(batch, spec, price_root) if price_root
                       else prices_for(batch, spec, current(sales_feed)))
-        write_batch(partial_rows(kind, batch, c, k, spec, prices), root, kind, batch_id)
+        rejects = Observation() if on_rejects and kind == "sales" else None
+        write_batch(partial_rows(kind, batch, c, k, spec, prices, rejects=rejects), root, kind, batch_id)
+        if rejects:
+            on_rejects(batch_id, reject_counts(rejects))
 
     schema = feed_schema or schemas.feed_schema(spec.name, kind)   # declared, never inferred
     return _start(spark, feed_path, schema, each, checkpoint, max_files_per_trigger, available_now, processing_time)

@@ -1,0 +1,173 @@
+"""Refresh of the stored view by change, reject counts gathered on the way, joins bucket to bucket, row order."""
+
+import glob
+import os
+
+import duckdb
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from rollwise import catalog, reports
+from rollwise.operators.sales import sales_strict
+from rollwise.plans import tablelog
+from rollwise.plans.backfill import backfill, refresh_changed_months
+from rollwise.session import local_path, scratch_path
+from rollwise.sources import fixtures as fx
+from rollwise.sources.report_io import (MONTHS, read_report, with_catalogue_of_now, write_colocated,
+                                        write_colocated_catalogue)
+from rollwise.specs import BLINKIT, platform
+from rollwise.streaming.incremental import stream_report
+
+from .conftest import SF_CHECK, SF_SMALL, rows
+from .frames import D, catalogue, cities, feed, sku
+from .test_plans import plan_text
+
+
+def sale(spark, rows_):
+    return feed(spark, "blinkit", "sales", [(i, d, t, "Soap", 2.0, v, "Pune") for i, d, t, v in rows_])
+
+
+# ------------------------------------------------------------------ refresh
+def test_a_refresh_rewrites_the_months_of_changed_files_only(spark):
+    c, k = cities(spark), catalogue(spark)
+    base = scratch_path(spark, "test-refresh")
+    out, path = base + "/view", base + "/feed"
+    parts = {"a": [("A1", D(2026, 1, 3), "t1", 10.0), ("A1", D(2026, 2, 3), "t1", 20.0)],
+             "b": [("A1", D(2026, 2, 4), "t2", 5.0)], "c": [("ZZ", D(2026, 3, 1), "t1", 7.0), ("A1", None, "t1", 1.0)]}
+
+    def put(name):
+        sale(spark, parts[name]).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
+
+    def check(want):
+        before = tablelog.read_state(spark, out).section(MONTHS)
+        got = refresh_changed_months(spark, BLINKIT, path, c, k, out)
+        assert got == want
+        after = tablelog.read_state(spark, out).section(MONTHS)
+        # the other months' versions are the ones they were
+        assert {m: v for m, v in before.items() if m not in want} == {m: v for m, v in after.items() if m not in want}
+        assert all(before.get(m) != after.get(m) for m in want)
+        every = sale(spark, [r for p in parts.values() for r in p])
+        assert rows(read_report(spark, out, "sales_strict")) == rows(sales_strict(every, c, k, BLINKIT))
+
+    for name in parts:
+        put(name)
+    check([0, 202601, 202602, 202603])      # month 0: rows without a date
+    check([])
+    parts["d"] = [("A1", D(2026, 4, 1), "t1", 9.0)]
+    put("d")
+    check([202604])
+    parts["b"] = [("A1", D(2026, 2, 4), "t2", 6.0), ("A1", D(2026, 5, 4), "t2", 1.5)]   # replaced by another file
+    put("b")
+    check([202602, 202605])
+    import shutil
+    shutil.rmtree(local_path(path) + "/a")   # gone, and January with it
+    del parts["a"]
+    check([202601, 202602])
+    assert 202601 not in tablelog.read_state(spark, out).section(MONTHS)
+    # other dimension rows: everything
+    k = catalogue(spark, [sku("t1", "A1", category="New"), sku("t2", "A1", prid="P2", margin=20.0)])
+    check([0, 202602, 202603, 202604, 202605])
+    with pytest.raises(ValueError, match="duplicate"):
+        refresh_changed_months(spark, BLINKIT, path, c, catalogue(spark, [sku("t1", "A1"), sku("t1", "A1", prid="P9")]), out)
+
+
+def test_a_refresh_reads_only_files_with_the_months_to_rewrite(spark, monkeypatch):
+    c, k = cities(spark), catalogue(spark)
+    base = scratch_path(spark, "test-refresh-files")
+    for m in (1, 2, 3):
+        sale(spark, [("A1", D(2026, m, 3), "t1", 10.0 * m)]).coalesce(1).write.parquet(f"{base}/feed/m{m}")
+    refresh_changed_months(spark, BLINKIT, base + "/feed", c, k, base + "/view")
+    sale(spark, [("A1", D(2026, 2, 9), "t1", 1.0)]).coalesce(1).write.parquet(f"{base}/feed/more")
+    # a file of another month that cannot be read any more is not opened
+    for f in glob.glob(local_path(base) + "/feed/m3/*.parquet"):
+        stat = os.stat(f)
+        with open(f, "r+b") as h:
+            h.write(b"XXXX")
+        os.utime(f, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    assert refresh_changed_months(spark, BLINKIT, base + "/feed", c, k, base + "/view") == [202602]
+    got = {str(r["reportdate"]): r["gmv"] for r in read_report(spark, base + "/view", "sales_strict").collect()}
+    assert got == {"2026-01-03": 10.0, "2026-02-03": 20.0, "2026-02-09": 1.0, "2026-03-03": 30.0}
+
+
+# ------------------------------------------------------------ reject counts
+BAD = [sku("t1", "A1", cogs="12,50", taxes="18"), sku("t2", "A1", cogs="", taxes="n/a"), sku("t1", "B2", cogs=None, taxes="5")]
+SOLD = [("A1", D(2026, 1, 3), "t1", 10.0), ("A1", D(2026, 1, 3), "t1", 11.0), ("A1", D(2026, 2, 4), "t2", 5.0),
+        ("B2", D(2026, 2, 4), "t1", 5.0), ("ZZ", D(2026, 2, 4), "t1", 5.0)]
+WANT = {"cogs_rejected": 3, "taxes_rejected": 1}   # lines; a missing text or item is no reject
+
+
+def jobs(spark, run, group):
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    run()
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_rejected_texts_are_counted_while_the_report_is_computed(spark):
+    c, k, f = cities(spark), catalogue(spark, BAD), sale(spark, SOLD)
+    seen = Observation()
+    report = reports.blinkit_sales_report(f, c, k, rejects=seen)
+    assert jobs(spark, report.collect, "counted") == jobs(spark, reports.blinkit_sales_report(f, c, k).collect, "plain") > 0
+    assert dict(seen.get) == WANT
+    assert rows(report) == rows(reports.blinkit_sales_report(f, c, k))
+    assert {r["cogs"] for r in report.collect()} == {0.0}
+
+
+def test_backfills_and_streams_give_the_counts(spark):
+    c, k, f = cities(spark), catalogue(spark, BAD), sale(spark, SOLD)
+    base = scratch_path(spark, "test-rejects")
+    assert backfill(spark, "sales", BLINKIT, f, c, k, base + "/t") == WANT
+    assert backfill(spark, "sales", BLINKIT, f, c, k, base + "/t", months=(202602, 202602)) == {"cogs_rejected": 1, "taxes_rejected": 1}
+    assert backfill(spark, "sales", BLINKIT, f, c, k, base + "/t", months=(202512, 202512)) == {"cogs_rejected": 0, "taxes_rejected": 0}
+    f.coalesce(1).write.parquet(base + "/feed")
+    told = {}
+    stream_report(spark, "sales", BLINKIT, base + "/feed", None, c, k, base + "/s", base + "/c",
+                  on_rejects=told.__setitem__).awaitTermination()
+    assert told == {0: WANT}
+
+
+# ------------------------------------------------------------ bucket to bucket
+def test_the_view_joins_the_catalogue_bucket_to_bucket(spark):
+    c, k = fx.city_mapping(spark, SF_SMALL), fx.catalogue(spark, SF_SMALL)
+    base = scratch_path(spark, "test-colocated")
+    strict = sales_strict(fx.sales_feed(spark, SF_SMALL, "blinkit"), c, k, platform("blinkit"))
+    write_colocated(strict, "view_colocated", base + "/v", "sales_strict", buckets=4)
+    write_colocated_catalogue(k, platform("blinkit"), "catalogue_colocated", base + "/k", buckets=4)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = with_catalogue_of_now(spark.table("view_colocated"), spark.table("catalogue_colocated"), ["category", "margin"])
+        text = plan_text(joined)
+        assert "SortMergeJoin LeftOuter" in text and "Exchange" not in text
+        assert "Exchange" not in plan_text(joined.groupBy("itemid").agg(F.sum("gmv")))
+        # the catalogue has not changed since: both say the same
+        assert joined.filter("NOT (category <=> category_now AND margin <=> margin_now)").count() == 0
+        assert joined.count() == strict.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.sql("DROP TABLE view_colocated")
+        spark.sql("DROP TABLE catalogue_colocated")
+
+
+# ------------------------------------------------------------------ row order
+ORDERS = {
+    "d1_brand_daily_sales": ["date"], "d3_item_pnl": ["category", "subcategory", "itemname"],
+    "d4_item_pnl_previous_month": ["category", "subcategory", "itemname"], "d5_city_list": ["city"],
+    "d6_city_category_totals": ["city", "category"], "d7_city_category_daily": ["city", "category", "reportdate"],
+    "d10_item_sales": ["itemid"], "d11_daily_category_totals": ["reportdate", "category"],
+    "d12_daily_category_totals_previous_month": ["reportdate", "category"],
+}
+
+
+@pytest.mark.parametrize("name", list(ORDERS))
+def test_dashboard_rows_come_in_order(spark, name):
+    """Values of the sort columns place by place (rows that tie may come either way)."""
+    keys = ", ".join(ORDERS[name])
+    got = [tuple(r) for r in catalog.queries()[name](spark, SF_CHECK).select(*ORDERS[name]).collect()]
+    with duckdb.connect() as db:
+        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
+            db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_CHECK}/{t}.parquet'")
+        want = db.execute(f"SELECT {keys} FROM ({catalog.oracle_sql()[name]}) ORDER BY {keys}").fetchall()
+    assert len(got) > 1 and got == want
