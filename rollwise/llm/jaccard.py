@@ -77,6 +77,8 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
     out = []
     for tag in (band, band + 1):  # sets of the band below meet this one under its own tag
         k = differing(percent, int(lows[tag + 1]))
+        if not k:  # only equal sets link, and they are one set already
+            continue
         n1 = (k + 2) // 2  # at most one difference in some part
         cells = n1 * PARTS
         # cells are equal ranges of the hash domain, so sorted elements lie in cell order
@@ -86,7 +88,7 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
         names = np.arange(cells, dtype=np.uint64).reshape(n1, PARTS)
         both = cell.sum(axis=1, dtype=np.uint64)[:, None] - cell  # all sub-parts but one
         out.append(mix(mix(both) + names * np.uint64(0x9E3779B97F4A7C15) + np.uint64((tag + 1) << 40)).ravel())
-    return np.concatenate(out)
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def _buckets(elements: np.ndarray) -> np.ndarray:
@@ -206,9 +208,12 @@ def _sign(width: int, percent: int, counts=None):
                 if not len(s) or (fp := set_id(s)) in seen:
                     continue
                 seen.add(fp)
-                sigs.append(signatures(s, percent) if counts is None else rare_signatures(s, percent, counts.value))
+                own = signatures(s, percent) if counts is None else rare_signatures(s, percent, counts.value)
+                if not len(own):
+                    continue
+                sigs.append(own)
                 owners.append(fp)
-                held += len(sigs[-1])
+                held += len(own)
                 if held >= BLOCK_SIGNATURES:
                     yield flush()
                     sigs, owners, seen, held = [], [], set(), 0

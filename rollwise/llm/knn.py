@@ -6,9 +6,10 @@ bounds of a Voronoi join apply:
 
 1. Pivots (a bounded sample, farthest first) split data and queries into cells; cells
    with near pivots form a few groups of queries.
-2. Summaries of the cells (the largest query distance, the smallest ``k + 1`` data
-   distances) give each query cell an upper bound of its (k+1)-th distance, and the
-   triangle inequality a lower bound for each data row. Only summaries reach the driver.
+2. Summaries of the cells (the largest query distance, the smallest data distances of
+   ``k + 1`` different ids) give each query cell an upper bound of the distance of its (k+1)-th
+   id, of which one may be the query's own, and the triangle inequality gives a lower bound for
+   each data row. Only summaries reach the driver.
 3. A data row goes only to the groups in which some cell's lower bound is within its
    upper bound. Groups are cut into blocks of queries and rows of a bounded size, so a
    hot cell (a third of all vectors equal, say) is many small tasks.
@@ -140,19 +141,25 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
                                              "q_cell int, q_dist double"), "knn_cells")
 
     def smallest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = pd.DataFrame({"cell": pd.Series(dtype="int32"), "dist": pd.Series(dtype="float64")})
+        best = pd.DataFrame({"cell": pd.Series(dtype="int32"), "id": pd.Series(dtype="int64"), "dist": pd.Series(dtype="float64")})
         for f in frames:
-            best = pd.concat([best, f]).sort_values("dist").groupby("cell").head(k + 1)
+            best = (pd.concat([best, f]).sort_values("dist").drop_duplicates(["cell", "id"]).groupby("cell").head(k + 1))
         yield best
 
-    summary = (placed.select("cell", "dist").mapInPandas(smallest, "cell int, dist double")
-               .groupBy("cell").agg(F.slice(F.sort_array(F.collect_list("dist")), 1, k + 1).alias("d")).collect())
+    nearest_ids = (placed.select("cell", "id", "dist").mapInPandas(smallest, "cell int, id long, dist double")
+                   .groupBy("cell", "id").agg(F.min("dist").alias("dist")))
+    summary = (nearest_ids.groupBy("cell")
+               .agg(F.slice(F.sort_array(F.collect_list(F.struct("dist", "id"))), 1, k + 1).alias("d")).collect())
     asked = {r["q_cell"]: r for r in placed.filter("q").groupBy("q_cell")
              .agg(F.max("q_dist").alias("far"), F.count("*").alias("n")).collect()}
     slack = 1e-6 * (1.0 + float(np.sqrt(top)))  # more than the rounding of any distance
     limit = {}
     for i, r in asked.items():
-        upper = sorted(r["far"] + between[i, s["cell"]] + d for s in summary for d in s["d"])
+        nearest_of: dict[int, float] = {}
+        for s in summary:
+            for d, ident in s["d"]:
+                nearest_of[ident] = min(r["far"] + between[i, s["cell"]] + d, nearest_of.get(ident, np.inf))
+        upper = sorted(nearest_of.values())
         limit[i] = upper[k] + slack if len(upper) > k else np.inf
     n_groups = int(group.max()) + 1
     q_blocks = [max(1, -(-sum(r["n"] for i, r in asked.items() if group[i] == g) // BLOCK_QUERIES))
@@ -185,7 +192,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     for i, g in enumerate(group):
         groups = F.when(F.col("q_cell") == i, F.lit(int(g))).otherwise(groups)
         blocks = F.when(F.col("q_cell") == i, F.lit(int(q_blocks[g]))).otherwise(blocks)
-    asks = (placed.filter("q").select("id", "v", groups.alias("g"), spread(blocks).alias("qb"))
+    asks = (placed.filter("q").select("id", "v", groups.alias("g"), spread(blocks).alias("qb")).distinct()
             .withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(d_blocks - 1)))))
 
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -4,9 +4,8 @@
    first. Bins with at most ``SLACK`` free places are emitted; the others are residual.
 2. Residual bins are items of the next level: spread over as many tasks as their
    number asks for (``ITEMS`` a task), packed best-fit again, and so on up the tree.
-   The last level is one task of at most ``ITEMS`` items; the climb also ends when a
-   level saves under a tenth of its bins (nothing fits any more, e.g. all items longer
-   than half a bin), whose bins are then emitted as they are.
+   Bins that not even the smallest residual could join are emitted on the way. The last level
+   is one task of at most ``ITEMS`` items; the climb also ends when a level saves no bin.
 
 A document is its ids and one end id. A longer document is cut into pieces of the whole
 capacity, of which the first may be shorter; nothing else is cut. Pieces of a sequence
@@ -154,9 +153,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
                        .select("leaf", F.coalesce("_to", "bin").alias("bin"),
                                (F.col("shift") + F.coalesce("_by", F.lit(0))).alias("shift")), "packed_moves")
         heads = packed.filter(F.col("shift") == 0)
-        if tasks == 1 or heads.count() > 0.9 * before:
+        if tasks == 1 or heads.count() == before:
             break
         items = heads.filter(~full).select(F.col("bin").alias("item"), F.col("fill").alias("size"))
+        least = items.agg(F.min("size")).first()[0] or 0
+        items = items.filter(F.col("size") + least <= capacity)  # what not even the smallest can join is done
         before, level = items.count(), level + 1
     final = moved.select(F.col("leaf").alias("bin"), F.col("bin").alias("_to"), "shift")
     out = ["id", "piece", "start", "length", "ids_crc32"]

@@ -31,6 +31,19 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+OP3_SQL = """
+WITH v AS (
+    SELECT vec_id, [floor(256 * c::DOUBLE)::BIGINT FOR c IN embedding] AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, d.vec_id, list_sum([p[1] * p[2] FOR p IN list_zip(q.x, d.x)])::BIGINT AS score
+    FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -136,4 +149,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_contamination": OP5_SQL, "op12_hard_negatives": OP12_SQL}
+    return {"op3_top_k": OP3_SQL, "op5_contamination": OP5_SQL, "op12_hard_negatives": OP12_SQL}

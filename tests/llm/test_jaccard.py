@@ -134,3 +134,16 @@ def test_connected_components(spark):
     got = C.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r["node"]: r["component"] for r in got} == want and len(got) == len(want)
     assert C.connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_many_different_short_texts_share_no_signature(spark):
+    # sets so small that only equal ones link: they are signed by nothing, so none is compared
+    sizes = [n for n in range(1, 12) if not any(J.differing(90, int(J.bands(90)[t + 1])) for t in (
+        int(np.searchsorted(J.bands(90), n, "right")) - 1, int(np.searchsorted(J.bands(90), n, "right"))))]
+    assert sizes[:4] == [1, 2, 3, 4]
+    rng = np.random.default_rng(4)
+    for n in sizes:
+        assert len(J.signatures(np.sort(rng.integers(1, 2**63, n, dtype=np.uint64)), 90)) == 0
+    texts = [f"w{i}" for i in range(1000)] + [f"w{i} v{i} u{i} t{i}" for i in range(1000)] + ["w5", "w7 v7 u7 t7"]
+    got = {r["id"]: r["component_id"] for r in J.components(docs(spark, texts)).collect()}
+    assert got == {i: i for i in range(2000)} | {2000: 5, 2001: 1007}

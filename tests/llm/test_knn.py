@@ -1,9 +1,10 @@
 import math
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
-from rollwise.llm import knn
+from rollwise.llm import knn, queries
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -52,3 +53,32 @@ def test_few_rows_and_none(spark):
 def test_large_components_stay_exact(spark):
     rows = [(i, [2.0**21 + i, 2.0**21 - 3 * i]) for i in range(12)]
     assert run(spark, rows, 3) == brute(rows, 3)
+
+
+def test_ids_on_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(12)
+    centres = rng.normal(0, 8, (5, 4))
+    vec = lambda i: (centres[i % 5] + rng.normal(0, 0.05, 4)).astype(np.float32).tolist()
+    # an id on a dozen rows near each other, one on a third of all, with equal and different vectors
+    same = vec(0)
+    rows = [(0, same if i % 2 else [x + i / 500 for x in same]) for i in range(12)]
+    rows += [(20, vec(2)) for _ in range(90)] + [(20, same)] + [(i, vec(i)) for i in range(40, 200)]
+    got = run(spark, rows, 20)
+    want = set()
+    good = [(i, tuple(math.floor(256 * float(np.float32(x))) for x in v)) for i, v in rows]
+    for q, a in set(good):
+        if q % 20 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in good if i != q)
+            want |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:5])}
+    assert got == want and {q for q, *_ in got} >= {0, 20, 40}
+
+
+def test_query_equals_its_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    got = queries.op3_top_k(spark, folder)
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet'")
+        want = db.execute(queries.OP3_SQL)
+        names = [c[0] for c in want.description]
+        assert sorted(map(tuple, got.select(*names).collect())) == sorted(want.fetchall())

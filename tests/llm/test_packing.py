@@ -79,6 +79,14 @@ def test_pieces_of_more_than_half_cannot_be_merged(spark, monkeypatch):
     assert check(packing.pack(docs(spark, texts, partitions=4), capacity=64).collect(), texts, range(40), 64) == 40
 
 
+def test_the_climb_goes_on_while_a_level_saves_anything(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ITEMS", 4)
+    # few small pieces among many that only they can join: most levels save little
+    texts = ["a" + " b" * 40] * 60 + ["a" + " b" * 15] * 12 + ["a"] * 30
+    rows = packing.pack(docs(spark, texts, partitions=20), capacity=64).collect()
+    assert check(rows, texts, range(len(texts)), 64) == 60
+
+
 def test_token_counts(spark, monkeypatch):
     monkeypatch.setattr(token_counts, "BLOCK_IDS", 16)
     ref = reference()
