@@ -42,7 +42,8 @@ def test_every_stage_against_brute_force(spark):
 
     before = sorted(rows_of(language).items())
     want = test_lines.brute([i for i, _ in before], [t for _, t in before])
-    assert rows_of(deduped) == {i: t for (i, _), t in zip(before, want, strict=True)}
+    left = {i: w for (i, t), w in zip(before, want, strict=True) if w == t or re.search(r"[^\W_]", w)}
+    assert rows_of(deduped) == left and len(left) < len(before)   # documents that lose every line go
     assert all(r["n_chars"] == len(r["text"]) for r in deduped.collect())
 
     before = sorted(rows_of(deduped).items())
