@@ -23,8 +23,6 @@ SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A join on (item, tenant) may use tables bucketed by item as they are.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Backfills overwrite only the months they rebuild.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

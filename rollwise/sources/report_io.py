@@ -165,10 +165,14 @@ def write_colocated_catalogue(catalogue: DataFrame, spec: PlatformSpec, table: s
 
 def with_catalogue_of_now(view: DataFrame, catalogue: DataFrame, columns: list[str]) -> DataFrame:
     """Rows of the co-located view with the item's ``columns`` of the co-located catalogue, as ``<column>_now``: bucket to
-    bucket, nothing is shuffled (``session.SQL_CONF`` lets a join use the buckets of one of its keys), unless the
-    catalogue is small enough for Spark to broadcast."""
-    now = catalogue.select("itemid", "organizationid", *[F.col(c).alias(f"{c}_now") for c in columns])
-    return view.join(now, ["itemid", "organizationid"], "left")
+    bucket, nothing is shuffled, unless the catalogue is small enough for Spark to broadcast.
+
+    The item is the only join key, as the buckets are by item alone; the tenant is compared within an item (as many
+    rows as tenants that list it), in a form that is not taken for a second key."""
+    now = catalogue.select(F.col("itemid").alias("_item"), F.col("organizationid").alias("_tenant"),
+                           *[F.col(c).alias(f"{c}_now") for c in columns])
+    tenant = F.col("organizationid").isNotNull() & F.nullif("organizationid", "_tenant").isNull()
+    return view.join(now, (F.col("itemid") == F.col("_item")) & tenant, "left").drop("_item", "_tenant")
 
 
 def read_report(spark: SparkSession, path: str, kind: str, window: DateWindow | None = None) -> DataFrame:
