@@ -15,7 +15,7 @@ DataFrame functions only.
    unless it overlaps an entity.
 
 Only what can reach these bounds is paired: entities of enough contexts and bits, terms that no more than 1 / ``SHARE`` times
-the entity's texts hold among the texts with entities. Texts are not shuffled for the counts, and ``d(t)`` is counted for terms of such pairs only.
+the entity's texts hold among the texts with entities, then pairs whose share and bits among these texts reach the bounds. Texts are not shuffled for the counts, and ``d(t)`` is counted for terms of such pairs only.
 
 Places count code points, ends are exclusive. Matches are leftmost and non-overlapping
 per kind; a match that fails its test is dropped and not tried again. The expressions
@@ -158,9 +158,11 @@ def candidates(found: DataFrame) -> DataFrame:
              .join(named.select("doc").distinct(), "doc", "left_semi"))
     held = terms.groupBy("term").agg(F.count("*").alias("held")).filter(F.col("held") >= SUPPORT)
     pairs = named.join(terms.join(held, "term"), "doc").filter(F.col("held") * SHARE <= F.col("texts"))
-    met = pairs.groupBy("entity", "term", "n", "total").agg(
+    met = pairs.groupBy("entity", "term", "n", "total", "held").agg(
         F.count("*").alias("c"), F.count_distinct("seen").alias("places"), F.count_distinct("sketch").alias("sketches"))
-    return met.filter((F.least("places", "sketches") >= SUPPORT) & (F.col("sketches") >= VARIED * F.col("c"))).drop("places", "sketches")
+    most = F.col("c") / F.col("held")  # of p: the term is in so many texts at least
+    return (met.filter((F.least("places", "sketches") >= SUPPORT) & (F.col("sketches") >= VARIED * F.col("c")))
+            .filter((most >= SHARE) & (F.log2(most * F.col("total") / F.col("n")) >= BITS)).drop("places", "sketches", "held"))
 
 
 def holders(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
