@@ -127,6 +127,34 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+OP9_SQL = """
+WITH byte AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), start AS (
+    SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM byte WHERE length(h) >= 800
+), string AS (
+    SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 800)) AS m FROM start
+), hit AS (
+    SELECT doc_id, i FROM string WHERE m IN (SELECT m FROM string GROUP BY m HAVING count(*) > 1)
+), step AS (
+    SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 1 ELSE 0 END AS fresh FROM hit
+), numbered AS (
+    SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM step
+), run AS (
+    SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY doc_id, g
+), gap AS (
+    SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM run
+), cut AS (
+    SELECT doc_id, sum(b - a) AS removed, count(*) AS spans, max(b) AS stop,
+           string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+    FROM gap JOIN byte USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head || substr(h, 2 * stop + 1), h))) AS kept_sha256
+FROM byte LEFT JOIN cut USING (doc_id)
+"""
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -177,4 +205,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard": OP2_SQL, "op3_top_k": OP3_SQL, "op5_contamination": OP5_SQL, "op12_hard_negatives": OP12_SQL}
+    return {"op2_jaccard": OP2_SQL, "op3_top_k": OP3_SQL, "op5_contamination": OP5_SQL, "op9_repeats": OP9_SQL,
+            "op12_hard_negatives": OP12_SQL}
