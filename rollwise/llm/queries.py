@@ -130,10 +130,14 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9_SQL = """
 WITH byte AS (
     SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), block AS (
+    SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399, 512)) AS base FROM byte WHERE length(h) >= 800
+), part AS (
+    SELECT doc_id, base, substr(h, 2 * base + 1, 2 * (512 + 399)) AS h FROM block
 ), start AS (
-    SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM byte WHERE length(h) >= 800
+    SELECT doc_id, base, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM part
 ), string AS (
-    SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 800)) AS m FROM start
+    SELECT doc_id, base + i AS i, md5_number(substr(h, 2 * i + 1, 800)) AS m FROM start
 ), hit AS (
     SELECT doc_id, i FROM string WHERE m IN (SELECT m FROM string GROUP BY m HAVING count(*) > 1)
 ), step AS (
