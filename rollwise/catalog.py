@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from . import oracle as O
 from .operators import dashboard as D
+from .operators.enrich import checked_keys
 from .operators.fulfillment import daily_min_price, fulfillment_report
 from .operators.inventory import inventory_report
+from .operators.rollup import Arrange
 from .operators.sales import (STRICT_REDSHIFT_COLUMNS, STRICT_STATES_COLUMNS, merge_states, sales_report,
                               sales_states, sales_strict)
 from .plans.backfill import backfill, refresh_changed_months, refresh_strict_view
@@ -19,7 +21,7 @@ from .plans.incremental import (KINDS, backfill_months, close_month, compact_mon
                                 read_merged, split_merge, write_batch)
 from .session import apply_conf, scratch_path
 from .sources import fixtures as fx
-from .sources.report_io import (read_report, with_catalogue_of_now, write_colocated,
+from .sources.report_io import (colocated, read_report, with_catalogue_of_now, write_colocated,
                                 write_colocated_catalogue)
 from .streaming.incremental import read_prices, read_priced, stream_prices, stream_report
 from .streaming.run_rate import current_run_rates, run_rate_stream
@@ -46,9 +48,9 @@ def build_sales(spark: SparkSession, sf_dir: str, mkt: str) -> DataFrame:
     return sales_report(fx.sales_feed(spark, sf_dir, mkt), cities, cat, platform(mkt))
 
 
-def _strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _strict(spark: SparkSession, sf_dir: str, arrange: Arrange | None = None) -> DataFrame:
     apply_conf(spark)
-    return sales_strict(fx.sales_feed(spark, sf_dir, "blinkit"), *dims(spark, sf_dir), platform("blinkit"))
+    return sales_strict(fx.sales_feed(spark, sf_dir, "blinkit"), *dims(spark, sf_dir), platform("blinkit"), arrange)
 
 
 def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +247,7 @@ def _refresh_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strict view as a bucketed table, read back."""
     name = "rollwise_strict_" + scratch_path(spark).rsplit("/", 1)[1]
-    write_colocated(_strict(spark, sf_dir), name, scratch_path(spark, "colocated"), "sales_strict", buckets=16)
+    write_colocated(_strict(spark, sf_dir, colocated("sales_strict", 16)), name, scratch_path(spark, "colocated"), "sales_strict", buckets=16)
     return spark.table(name).select(*STRICT_REDSHIFT_COLUMNS)
 
 
@@ -257,7 +259,7 @@ def _colocated_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strict view and the catalogue, both bucketed by item, joined bucket to bucket."""
     unique = scratch_path(spark).rsplit("/", 1)[1]
     view, items = f"rollwise_view_{unique}", f"rollwise_catalogue_{unique}"
-    write_colocated(_strict(spark, sf_dir), view, scratch_path(spark, "colocated_view"), "sales_strict", buckets=16)
+    write_colocated(_strict(spark, sf_dir, colocated("sales_strict", 16)), view, scratch_path(spark, "colocated_view"), "sales_strict", buckets=16)
     write_colocated_catalogue(fx.catalogue(spark, sf_dir), platform("blinkit"), items, scratch_path(spark, "colocated_catalogue"), buckets=16)
     joined = with_catalogue_of_now(spark.table(view), spark.table(items), NOW)
     return joined.select("organizationid", "itemid", "reportdate", "brands_choice", "gmv", *[f"{c}_now" for c in NOW])
@@ -299,6 +301,7 @@ def _compacted(kind: str, mkt: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, cities, cat, prices = _inputs(spark, sf_dir, kind, mkt)
         spec = platform(mkt)
+        cities, cat = checked_keys(cities, cat, spec)
         root = scratch_path(spark, "partials", f"{mkt}_{kind}")
         feed = _staged(feed, root + "/feed")
         for i in range(LOADS + 1):
@@ -315,6 +318,7 @@ def _merged_window(kind: str, mkt: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, cities, cat, prices = _inputs(spark, sf_dir, kind, mkt)
         spec = platform(mkt)
+        cities, cat = checked_keys(cities, cat, spec)
         root = scratch_path(spark, "window", f"{mkt}_{kind}")
         feed = _staged(feed, root + "/feed")
         for i in range(LOADS):
@@ -330,6 +334,7 @@ def _closed_window(mkt: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, cities, cat, _ = _inputs(spark, sf_dir, "inventory", mkt)
         spec = platform(mkt)
+        cities, cat = checked_keys(cities, cat, spec)
         root = scratch_path(spark, "closed_window", mkt)
         feed = _staged(feed, root + "/feed")
         for i in range(LOADS):
@@ -348,6 +353,7 @@ def _backfill_into_stream_table(kind: str, mkt: str, compact: bool) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, cities, cat, prices = _inputs(spark, sf_dir, kind, mkt)
         spec = platform(mkt)
+        cities, cat = checked_keys(cities, cat, spec)
         root = scratch_path(spark, "backfill_stream", f"{mkt}_{kind}")
         feed = _staged(feed, root + "/feed")
         feb, load = _in_feb(getattr(spec, kind).date), _load(feed, 2)
@@ -370,6 +376,7 @@ def _emptied_stream_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads, Feb 1998 compacted, then backfilled from a feed without rows of it."""
     feed, cities, cat, _ = _inputs(spark, sf_dir, "sales", "zepto")
     spec = platform("zepto")
+    cities, cat = checked_keys(cities, cat, spec)
     root = scratch_path(spark, "emptied_stream")
     feed = _staged(feed, root + "/feed")
     for i in range(2):

@@ -84,12 +84,25 @@ class Checked:
         self.rows = rows
 
 
-def checked(cities: DataFrame, catalogue: DataFrame, spec: PlatformSpec) -> tuple[Checked, Checked]:
+def dimension_rows(dim: DataFrame | Checked) -> DataFrame:
+    return dim.rows if isinstance(dim, Checked) else dim
+
+
+def checked(cities: DataFrame | Checked, catalogue: DataFrame | Checked, spec: PlatformSpec) -> tuple[Checked, Checked]:
     """Both dimensions after ``check_dimensions``, for many plans over the same files (a stream's batches)."""
+    cities, catalogue = dimension_rows(cities), dimension_rows(catalogue)
     check_dimensions(cities, catalogue, spec)
     return Checked(cities), Checked(catalogue)
 
 
+def checked_keys(cities: DataFrame, catalogue: DataFrame, spec: PlatformSpec) -> tuple[Checked, Checked]:
+    """As ``checked``, but rows with a null in the key may repeat: they match no feed row."""
+    for dim, key, org, what in ((city_dim(cities, spec), CITY + "key", CITY + "org", "static_city_mapping"),
+                                (catalogue_dim(catalogue, spec), SKU + "key", SKU + "org", "static_combined_data")):
+        assert_unique(dim.filter(F.col(key).isNotNull() & F.col(org).isNotNull()), [org, key], what)
+    return Checked(cities), Checked(catalogue)
+
+
 def enrich(feed: DataFrame, cities: DataFrame | Checked, catalogue: DataFrame | Checked, spec: PlatformSpec,
            city_col: str, item_col: str, org_col: str = "organizationId") -> DataFrame:
     """Feed rows with ``scm_*`` and ``scd_*`` columns; unmatched rows keep NULLs. A dimension that is not

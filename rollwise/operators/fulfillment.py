@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.measures import fill_rate, po_amount, received_quantity, zero_if_null
 from ..functions.defaults import NO_DATE, UNKNOWN
 from ..specs import PlatformSpec
-from .enrich import CITY, SKU, enrich, sku_key
+from .enrich import CITY, SKU, enrich
 
 
 FUL_KEYS = ["itemid", "ponumber", "po_status", "brand_internal_sku_code", "brands_choice",
@@ -58,7 +58,8 @@ def fulfillment_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
         if prices is None:
             raise ValueError(f"{spec.name} fulfillment needs daily_min_price(sales feed)")
         p = prices.select(F.col("sku").alias("_p_sku"), F.col("orderdate").alias("_p_day"), F.col("mrp").alias("_p_mrp"))
-        e = e.join(p, (F.lower(F.col(s.item).cast("string")) == p["_p_sku"])
+        sku = F.col("_sku_key") if spec.lower_sku else F.lower(F.col(s.item).cast("string"))
+        e = e.join(p, (sku == p["_p_sku"])
                    & (F.to_date(F.col(s.date)) == p["_p_day"]), "left")
         price = zero_if_null(F.col("_p_mrp").cast("double"))
     else:
@@ -73,7 +74,7 @@ def fulfillment_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
     amount = (zero_if_null(F.col(s.amount).cast("double")) if s.amount
               else po_amount(price, F.col(s.ordered)))
     cols = {
-        "itemid": sku_key(F.col(s.item), spec),
+        "itemid": F.col("_sku_key"),
         "ponumber": F.col(s.po),
         "po_status": F.coalesce(F.col(s.status), F.lit(UNKNOWN)) if s.status else F.lit(UNKNOWN),
         "brand_internal_sku_code": F.coalesce(F.col(SKU + "brand_internal_sku_code"), F.lit(UNKNOWN)),
@@ -94,9 +95,12 @@ def fulfillment_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
     return e.select(*[c.alias(n) for n, c in cols.items()], *carry)
 
 
-def representative_line(lines: DataFrame, spec: PlatformSpec, extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    """A5: one line per key (also merges partial rows of the same schema)."""
+def representative_line(lines: DataFrame, spec: PlatformSpec, extra_keys: tuple[str, ...] = (), merging: bool = False) -> DataFrame:
+    """A5: one line per key (also merges partial rows of the same schema). ``merging``: the rows are partial rows, about one
+    per key and load, so they are shuffled first and sorted once."""
     keys = [*FUL_KEYS, *extra_keys]
+    if merging:
+        lines = lines.repartition(*keys)
     picked = lines.groupBy(*keys).agg(F.min(F.struct(*FUL_LINE)).alias("_line"))
     return picked.select(*keys, *[F.col("_line." + c).alias(c) for c in FUL_LINE]) \
                  .select(*fulfillment_columns(spec), *extra_keys)

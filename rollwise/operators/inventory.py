@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from ..functions.measures import depletion, zero_if_null
 from ..functions.defaults import UNKNOWN
 from ..specs import PlatformSpec
-from .enrich import CITY, SKU, enrich, sku_key
+from .enrich import CITY, SKU, enrich
 from .rollup import rollup
 
-INV_KEYS = ["organizationid", "itemid", "backendfacilityname", "reportdate"]
-INV_SERIES = ["organizationid", "itemid", "backendfacilityname"]
+# The item comes first: rows are sorted by these, and the first column settles most comparisons.
+INV_SERIES = ["itemid", "backendfacilityname", "organizationid"]
+INV_KEYS = [*INV_SERIES, "reportdate"]
 INV_ANY = ["itemname", "productid", "category", "subcategory", "brand",
            "brand_internal_sku_code", "brands_choice", "active"]
 INV_SUM = ["total_quantity", "frontendinvqty", "backendinvqty"]
@@ -46,7 +47,7 @@ def inventory_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
     brand = [F.col(SKU + "brand")] + ([F.col(s.brand_fallback)] if s.brand_fallback else [])
     cols = {
         "organizationid": F.col("organizationId").cast("string"),
-        "itemid": sku_key(F.col(s.item), spec),
+        "itemid": F.col("_sku_key"),
         "backendfacilityname": _known(F.col(s.facility)),
         "reportdate": F.to_date(F.col(s.date)),
         "itemname": _known(F.col(s.name)),

@@ -19,6 +19,8 @@ and in partial rows (``functions.measures``); only the final rows hold doubles.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
@@ -26,6 +28,10 @@ from pyspark.sql.types import BinaryType, StringType
 from ..functions.measures import carried, state_columns, state_total, sum_states
 
 
+#: Places rows as they will be stored; gives them and the columns they are sorted by, new ones and keys.
+Arrange = Callable[[DataFrame], tuple[DataFrame, list[str]]]
+
+
 def _is_text(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, (StringType, BinaryType))
 
@@ -50,21 +56,36 @@ def totals(df: DataFrame, sums: list[str]) -> DataFrame:
 
 
 def rollup(lines: DataFrame, keys: list[str], mins: list[str], sums: list[str],
-           cluster_by: list[str] | None = None, final: bool = True, states: bool = False) -> DataFrame:
+           cluster_by: list[str] | None = None, final: bool = True, states: bool = False,
+           near: tuple[str, ...] = (), arrange: Arrange | None = None, counts: tuple[str, ...] = ()) -> DataFrame:
     """``lines``: rows with values, or partial rows. ``cluster_by``: a subset of ``keys`` to
     hash-partition the reduced level-1 rows by, when the next operator needs that
     clustering (e.g. a window over a series): one shuffle then serves both level 2 and
     that operator. ``final=False`` stops after level 1 (one shuffle): partial rows that
     may repeat a key (one per text variant); merging runs the full rollup again.
-    ``states=True`` gives merged partial rows, one per key."""
+    ``states=True`` gives merged partial rows, one per key.
+
+    Partial rows are about one per key and load, so they are not combined before their shuffle: it places
+    them by ``cluster_by`` or the keys and one aggregation merges them there.
+    ``near``: columns (that decide a key) by which a join may have placed the lines; as keys of level 1 they
+    spare its shuffle. ``arrange``: places the level-1 rows as they will be stored, by columns that the keys
+    decide; level 2 and the stored order then share one shuffle and one sort, and these columns stay in front.
+    ``counts``: further columns of integers, added up."""
     text = [c for c in mins if _is_text(lines, c)]
     values = [c for c in mins if c not in text]
     pairs = lambda of: [s for c in sums for s in sum_states(c, of)]
-    out = lines.groupBy(*keys, *text).agg(*[F.min(c).alias(c) for c in values], *pairs(has_states(lines, sums)))
-    if text and final:
-        if cluster_by:
-            out = out.repartition(*cluster_by)
-        out = out.groupBy(*keys).agg(*[F.min(c).alias(c) for c in mins], *pairs(True))
+    merging = has_states(lines, sums) and final
+    out = lines if merging else lines.groupBy(*keys, *text, *near).agg(
+        *[F.min(c).alias(c) for c in values], *pairs(has_states(lines, sums)), *[F.sum(c).alias(c) for c in counts]).drop(*near)
+    if (text or near or merging or arrange) and final:
+        first = []
+        if arrange:
+            out, first = arrange(out)
+        else:
+            out = out.repartition(*(cluster_by or keys))
+        # sorted by its keys, so these begin with the order wanted
+        out = out.groupBy(*first, *[k for k in keys if k not in first]).agg(
+            *[F.min(c).alias(c) for c in mins], *pairs(True), *[F.sum(c).alias(c) for c in counts])
     return totals(out, sums) if final and not states else _carry(out, sums)
 
 

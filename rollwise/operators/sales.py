@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 from ..functions.measures import net_sales, rejected, taxes_paid, to_double, unit_price, zero_if_null
 from ..functions.defaults import UNKNOWN
 from ..specs import PlatformSpec
-from .enrich import CITY, SKU, enrich, sku_key
-from .rollup import rollup, state_order
+from .enrich import CITY, SKU, enrich
+from .rollup import Arrange, rollup, state_order
 
 SALES_KEYS = ["organizationid", "reportdate", "itemid", "brands_choice"]
 SALES_ANY = ["category", "subcategory", "brand", "productid", "itemname",
              "brand_internal_sku_code", "cogs", "margin", "tax_rate", "active"]
 SALES_SUM = ["qty", "gmv", "net", "taxes_paid"]
+#: The feed's tenant as the catalogue is joined on it: of lines, not of partial rows.
+JOINED = "_joined_org"
 
 
 def sales_columns(spec: PlatformSpec) -> list[str]:
@@ -56,10 +58,12 @@ def reject_counts(seen: Observation) -> dict[str, int]:
 
 
 def sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
-                spec: PlatformSpec, carry: tuple[str, ...] = (), rejects: Observation | None = None) -> DataFrame:
+                spec: PlatformSpec, carry: tuple[str, ...] = (), rejects: Observation | None = None,
+                count_rejects: bool = False) -> DataFrame:
     """One enriched row per feed row, defaults applied (the view's SELECT before GROUP BY).
     ``carry``: feed columns passed through unchanged (e.g. a split key). ``rejects`` counts lines (``REJECTS``)
-    while the report is computed, without a job of its own; a filter on the report is then not pushed below."""
+    while the report is computed, without a job of its own; a filter on the report is then not pushed below.
+    ``count_rejects`` gives them as columns instead (0 or 1 in a line)."""
     s = spec.sales
     e = enrich(feed, cities, catalogue, spec, city_col=s.city, item_col=s.item)
     if rejects is not None:
@@ -70,7 +74,7 @@ def sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
     cols = {
         "organizationid": _first_known(F.col("organizationId")),
         "reportdate": F.to_date(F.col(s.date)),
-        "itemid": sku_key(F.col(s.item), spec),
+        "itemid": F.col("_sku_key"),
         "brands_choice": _first_known(F.col(CITY + "brands_choice")),
         "category": _fallback("category", s.category_fallback),
         "subcategory": _fallback("subcategory", s.subcategory_fallback),
@@ -89,31 +93,45 @@ def sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
     }
     if s.unit_price:
         cols["mrp"] = zero_if_null(F.col(s.unit_price).cast("double"))
+    cols[JOINED] = F.col("organizationId")
+    if count_rejects:
+        cols |= {n: rejected(F.col(SKU + c)).cast("bigint") for c, n in REJECTS.items()}
     return e.select(*[c.alias(n) for n, c in cols.items()], *carry)
 
 
 def rollup_sales(lines: DataFrame, spec: PlatformSpec, extra_keys: tuple[str, ...] = (),
-                 final: bool = True, states: bool = False) -> DataFrame:
+                 final: bool = True, states: bool = False, arrange: Arrange | None = None) -> DataFrame:
     """Group enriched lines or partial rows into report rows; ``final=False`` gives partial
-    rows, ``states=True`` merged partial rows (see ``rollup``)."""
+    rows, ``states=True`` merged partial rows, ``arrange`` rows placed as they are stored (see ``rollup``)."""
     mins = SALES_ANY + (["mrp"] if spec.sales.unit_price else [])
-    out = rollup(lines, [*SALES_KEYS, *extra_keys], mins, SALES_SUM, final=final, states=states)
-    return out.select(*state_order(sales_columns(spec), SALES_SUM, states or not final), *extra_keys)
+    near = (JOINED,) if JOINED in lines.columns else ()
+    counts = tuple(n for n in REJECTS.values() if n in lines.columns)
+    keys = sorted(SALES_KEYS, key="itemid".__ne__)  # sorted by these: the item settles most comparisons
+    out = rollup(lines, [*keys, *extra_keys], mins, SALES_SUM, final=final, states=states, near=near, arrange=arrange,
+                 counts=counts)
+    columns = [*state_order(sales_columns(spec), SALES_SUM, states or not final), *extra_keys]
+    return out.select(*columns, *[c for c in out.columns if arrange and c not in columns])
 
 
 def sales_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
                  spec: PlatformSpec, nulls: str = "default", partial: bool = False,
-                 rejects: Observation | None = None) -> DataFrame:
-    """R1-R3. ``rejects``: see ``sales_lines``; its counts are there once the report has been computed.
+                 rejects: Observation | None = None, arrange: Arrange | None = None) -> DataFrame:
+    """R1-R3. ``rejects``: see ``sales_lines``; its counts are there once the report has been computed. ``arrange``: see
+    ``rollup``.
 
     ``nulls="strict"``: the NULL-keeping variant (R10's columns and rules).
     ``partial=True``: mergeable partial rows of one load (``rollup_sales`` merges them)."""
     if nulls == "strict":
         return rollup_strict(strict_sales_lines(feed, cities, catalogue, spec), STRICT_REDSHIFT_COLUMNS,
-                             final=not partial)
+                             final=not partial, arrange=arrange)
     if nulls != "default":
         raise ValueError(f"nulls must be 'default' or 'strict', not {nulls!r}")
-    return rollup_sales(sales_lines(feed, cities, catalogue, spec, rejects=rejects), spec, final=not partial)
+    if arrange is None or rejects is None:
+        return rollup_sales(sales_lines(feed, cities, catalogue, spec, rejects=rejects), spec, final=not partial, arrange=arrange)
+    # the rows may be computed once more to find where to place them: counts are taken after that
+    out = rollup_sales(sales_lines(feed, cities, catalogue, spec, count_rejects=True), spec, arrange=arrange)
+    seen = out.observe(rejects, *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in REJECTS.values()])
+    return seen.drop(*REJECTS.values())
 
 
 # ----------------------------------------------------------- strict variants
@@ -141,7 +159,7 @@ def strict_sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
     tax = to_double(F.col(SKU + "taxes"))
     gmv = F.col(s.gmv).cast("double")
     cols = {
-        "itemid": F.col(s.item),
+        "itemid": F.col(s.item if spec.lower_sku else "_sku_key"),
         "brands_choice": F.col(CITY + "brands_choice"),
         "reportdate": F.to_date(F.col(s.date)),
         "organizationid": F.col("organizationId"),
@@ -160,21 +178,25 @@ def strict_sales_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
         "gmv": gmv,
         "net": net_sales(gmv, margin, tax),
         "taxes_paid": taxes_paid(gmv, margin, tax),
+        JOINED: F.col("organizationId"),
     }
     return e.select(*[c.alias(n) for n, c in cols.items()], *carry)
 
 
 def rollup_strict(lines: DataFrame, columns: list[str], extra_keys: tuple[str, ...] = (),
-                  final: bool = True, states: bool = False) -> DataFrame:
-    """Group strict lines or their states into rows; ``states=True`` gives mergeable states."""
-    out = rollup(lines, [*STRICT_KEYS, *extra_keys], STRICT_ANY, SALES_SUM, final=final, states=states)
-    return out.select(*state_order(columns, SALES_SUM, states or not final), *extra_keys)
+                  final: bool = True, states: bool = False, arrange: Arrange | None = None) -> DataFrame:
+    """Group strict lines or their states into rows; ``states=True`` gives mergeable states, ``arrange`` rows placed as
+    they are stored (see ``rollup``)."""
+    near = (JOINED,) if JOINED in lines.columns else ()
+    out = rollup(lines, [*STRICT_KEYS, *extra_keys], STRICT_ANY, SALES_SUM, final=final, states=states, near=near, arrange=arrange)
+    columns = [*state_order(columns, SALES_SUM, states or not final), *extra_keys]
+    return out.select(*columns, *[c for c in out.columns if arrange and c not in columns])
 
 
 def sales_strict(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
-                 spec: PlatformSpec) -> DataFrame:
-    """The stored (Redshift) view; unit price = MIN(revenue / quantity)."""
-    return rollup_strict(strict_sales_lines(feed, cities, catalogue, spec), STRICT_REDSHIFT_COLUMNS)
+                 spec: PlatformSpec, arrange: Arrange | None = None) -> DataFrame:
+    """The stored (Redshift) view; unit price = MIN(revenue / quantity). ``arrange``: see ``rollup``."""
+    return rollup_strict(strict_sales_lines(feed, cities, catalogue, spec), STRICT_REDSHIFT_COLUMNS, arrange=arrange)
 
 
 def sales_states(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,

@@ -22,12 +22,13 @@ from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..functions.measures import depletion, yyyymm
-from ..operators.enrich import catalogue_dim, check_dimensions, city_dim
+from ..operators.enrich import catalogue_dim, checked, city_dim
 from ..operators.fulfillment import fulfillment_report
 from ..operators.inventory import (INV_ANY, INV_KEYS, INV_SERIES, INV_SUM, INVENTORY_COLUMNS, inventory_report,
                                    latest_before)
+from ..operators.rollup import Arrange
 from ..operators.sales import reject_counts, sales_report, sales_strict
-from ..sources.report_io import MONTH, MONTHS, current_rows, version_path, write_report, write_version
+from ..sources.report_io import MONTH, MONTHS, arranged, current_rows, version_path, write_report, write_version
 from ..specs import PlatformSpec
 from ..windows import first_day, month_after, month_before, month_window
 from . import tablelog
@@ -42,9 +43,10 @@ def feed_date(kind: str, spec: PlatformSpec) -> str:
 
 def build_report(kind: str, spec: PlatformSpec, feed: DataFrame, cities: DataFrame,
                  catalogue: DataFrame, prices: DataFrame | None = None,
-                 last_snapshots: DataFrame | None = None, rejects: Observation | None = None) -> DataFrame:
+                 last_snapshots: DataFrame | None = None, rejects: Observation | None = None,
+                 arrange: Arrange | None = None) -> DataFrame:
     if kind == "sales":
-        return sales_report(feed, cities, catalogue, spec, rejects=rejects)
+        return sales_report(feed, cities, catalogue, spec, rejects=rejects, arrange=arrange)
     if kind == "inventory":
         return inventory_report(feed, cities, catalogue, spec, last_snapshots)
     if kind == "fulfillment":
@@ -134,7 +136,7 @@ def backfill(spark: SparkSession, kind: str, spec: PlatformSpec, feed: DataFrame
     nothing changed, if another job has meanwhile replaced what this one builds on. Returns the counts of
     COGS and TAXES texts that became 0 (``operators.sales.REJECTS``), gathered by the write; of other kinds none."""
     if check_dims:
-        check_dimensions(cities, catalogue, spec)
+        cities, catalogue = checked(cities, catalogue, spec)
     if months is not None:
         feed = feed.filter(month_window(*months).contains(F.to_date(F.col(feed_date(kind, spec)))))
         base = tablelog.read_state(spark, out)
@@ -142,7 +144,8 @@ def backfill(spark: SparkSession, kind: str, spec: PlatformSpec, feed: DataFrame
             _rebuild_inventory(spark, spec, feed, cities, catalogue, out, months, partitions, base)
             return {}
     rejects = Observation() if kind == "sales" else None
-    write_report(build_report(kind, spec, feed, cities, catalogue, prices, rejects=rejects), out, kind, partitions=partitions,
+    arrange = arranged(kind, partitions) if kind == "sales" else None
+    write_report(build_report(kind, spec, feed, cities, catalogue, prices, rejects=rejects, arrange=arrange), out, kind, partitions=partitions,
                  months=months, overwrite_mode="dynamic" if months else "static")
     return reject_counts(rejects) if rejects else {}
 
@@ -151,8 +154,8 @@ def refresh_strict_view(spark: SparkSession, spec: PlatformSpec, feed: DataFrame
                         cities: DataFrame, catalogue: DataFrame, out: str, check_dims: bool = True) -> None:
     """Rebuild the stored strict view as a whole."""
     if check_dims:
-        check_dimensions(cities, catalogue, spec)
-    write_report(sales_strict(feed, cities, catalogue, spec), out, "sales_strict",
+        cities, catalogue = checked(cities, catalogue, spec)
+    write_report(sales_strict(feed, cities, catalogue, spec, arranged("sales_strict")), out, "sales_strict",
                  overwrite_mode="static")
 
 
@@ -187,7 +190,7 @@ def refresh_changed_months(spark: SparkSession, spec: PlatformSpec, feed_path: s
     are new, changed or gone give the months to rewrite, and only files with rows of these months are read again.
     Other dimension rows than last time, or no list yet, rewrite everything. ``Conflict`` is raised, and nothing changed, if
     another job has meanwhile refreshed the table."""
-    check_dimensions(cities, catalogue, spec)
+    dimensions = checked(cities, catalogue, spec)
     base, version = tablelog.read_state(spark, out), tablelog.new_version()
     schema, date = feed_schema or schemas.feed_schema(spec.name, "sales"), spec.sales.date
     read = lambda *paths: spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
@@ -214,7 +217,7 @@ def refresh_changed_months(spark: SparkSession, spec: PlatformSpec, feed_path: s
     else:
         inside = paths(spark.read.parquet(f"{root}/{version}").filter(F.col(MONTH).isin(*months))) if months else []
         feed = (read(*inside) if inside else spark.createDataFrame([], schema)).withColumn("_m", month).filter(F.col("_m").isin(*months)).drop("_m")
-    written = write_version(sales_strict(feed, cities, catalogue, spec), out, "sales_strict", version)
+    written = write_version(sales_strict(feed, *dimensions, spec, arranged("sales_strict")), out, "sales_strict", version)
 
     def change(sections: dict[str, Section]) -> None:
         old = sections.get(MONTHS, {})

@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.measures import yyyymm
-from ..operators.enrich import SKU, catalogue_dim
+from ..operators.enrich import SKU, catalogue_dim, dimension_rows
+from ..operators.rollup import Arrange
 from ..plans import files, tablelog
 from ..plans.tablelog import Section, State
 from ..specs import PlatformSpec
@@ -50,13 +51,21 @@ def date_column(kind: str) -> str:
     return LAYOUT[kind][0]
 
 
+def arranged(kind: str, partitions: int | None = None) -> Arrange:
+    """Month column + range partitioning on the sort key, for rows that are still to be merged (``rollup``)."""
+    def place(df: DataFrame) -> tuple[DataFrame, list[str]]:
+        date, sort = LAYOUT[kind]
+        out = df.withColumn(MONTH, F.coalesce(yyyymm(F.col(date)), F.lit(0)))  # rows without a date are month 0
+        keys = [MONTH, *sort]
+        return (out.repartitionByRange(partitions, *keys) if partitions else out.repartitionByRange(*keys)), keys
+    return place
+
+
 def clustered(df: DataFrame, kind: str, partitions: int | None = None) -> DataFrame:
-    """Month column + range partitioning and in-task sort on the sort key."""
-    date, sort = LAYOUT[kind]
-    out = df.withColumn(MONTH, F.coalesce(yyyymm(F.col(date)), F.lit(0)))  # rows without a date are month 0
-    keys = [MONTH, *sort]
-    out = out.repartitionByRange(partitions, *keys) if partitions else out.repartitionByRange(*keys)
-    return out.sortWithinPartitions(*keys)
+    """Month column + range partitioning and in-task sort on the sort key. Rows that have been ``arranged`` have the
+    month and stay where they are."""
+    out = df if MONTH in df.columns else arranged(kind, partitions)(df)[0]
+    return out.sortWithinPartitions(MONTH, *LAYOUT[kind][1])
 
 
 def version_path(path: str, version: int) -> str:
@@ -144,22 +153,38 @@ def vacuum_report(spark: SparkSession, path: str) -> None:
     tablelog.prune(spark, path)
 
 
+#: The bucket of a row, as Spark counts it; not stored.
+BUCKET = "_bucket"
+
+
+def colocated(kind: str, buckets: int, key: str = "itemid") -> Arrange:
+    """Rows by month and bucket, for rows that are still to be merged (``rollup``)."""
+    def place(df: DataFrame) -> tuple[DataFrame, list[str]]:
+        date, _ = LAYOUT[kind]
+        out = df.withColumns({MONTH: yyyymm(F.col(date)), BUCKET: F.pmod(F.hash(key), F.lit(buckets))})
+        return out.repartition(MONTH, BUCKET), [MONTH, BUCKET, key, date]
+    return place
+
+
 def write_colocated(df: DataFrame, table: str, path: str, kind: str, buckets: int,
                     key: str = "itemid") -> None:
     """The stored view's DISTKEY(itemid) / SORTKEY(itemid, date) as a bucketed table,
-    so later joins and aggregations on the item read without a shuffle."""
+    so later joins and aggregations on the item read without a shuffle. A bucket of a month is one file: its rows are brought
+    together first, unless they have been placed so (``colocated``)."""
     date, _ = LAYOUT[kind]
-    (df.withColumn(MONTH, yyyymm(F.col(date))).write.mode("overwrite")
+    rows = df if BUCKET in df.columns else colocated(kind, buckets, key)(df)[0]
+    (rows.drop(BUCKET).write.mode("overwrite")
      .option("path", path).partitionBy(MONTH).bucketBy(buckets, key).sortBy(key, date)
      .saveAsTable(table))
 
 
 def write_colocated_catalogue(catalogue: DataFrame, spec: PlatformSpec, table: str, path: str, buckets: int) -> None:
     """The catalogue bucketed by item as the view is (the same number of ``buckets``), columns as in the view."""
-    rows = catalogue_dim(catalogue, spec)
+    rows = catalogue_dim(dimension_rows(catalogue), spec)
     names = {"key": "itemid", "org": "organizationid"}
     plain = [F.col(c).alias(names.get(c.removeprefix(SKU), c.removeprefix(SKU))) for c in rows.columns]
-    (rows.select(*plain).write.mode("overwrite").option("path", path).bucketBy(buckets, "itemid").sortBy("itemid")
+    placed = rows.select(*plain).repartition(buckets, "itemid")  # a bucket is one file
+    (placed.write.mode("overwrite").option("path", path).bucketBy(buckets, "itemid").sortBy("itemid")
      .saveAsTable(table))
 
 
