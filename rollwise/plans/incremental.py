@@ -36,7 +36,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.enrich import check_dimensions
+from ..operators.enrich import checked
 from ..operators.fulfillment import daily_min_price, fulfillment_lines, representative_line
 from ..operators.inventory import daily_stock, inventory_lines, latest_before, with_run_rates
 from ..operators.sales import rollup_sales, sales_lines
@@ -86,7 +86,7 @@ def merge_rows(parts: DataFrame, kind: str, spec: PlatformSpec, states: bool = F
         return daily_stock(parts, states=states)
     if kind == "prices":
         return parts.groupBy("sku", "orderdate").agg(F.min("mrp").alias("mrp"))
-    return representative_line(parts, spec)
+    return representative_line(parts, spec, merging=True)
 
 
 def merge_partials(parts: DataFrame, kind: str, spec: PlatformSpec,
@@ -264,9 +264,12 @@ def _closed(spark: SparkSession, root: str, spec: PlatformSpec, parts: DataFrame
 
 
 def close_month(spark: SparkSession, root: str, spec: PlatformSpec, month: int) -> None:
-    """Inventory: write the closing of ``month``, from the nearest earlier one and the months since."""
+    """Inventory: write the closing of ``month``, from the nearest earlier one and the months since, unless the one there is
+    holds every load (a backfill of its months takes it away)."""
     for _ in range(TRIES):
         base, through, version = tablelog.read_state(spark, root), last_load(spark, root), tablelog.new_version()
+        if base.section(CLOSINGS).get(month, [0, None])[1] == through:  # a compaction has just written it
+            return
         _closed(spark, root, spec, partials_before(spark, root, first_day(month_after(month)), base, through), month, version)
 
         def change(sections: dict[str, Section]) -> None:
@@ -346,7 +349,7 @@ def backfill_months(spark: SparkSession, root: str, kind: str, spec: PlatformSpe
     (batch id above the mark) are added on top, so the feed read here must not contain them.
     ``Conflict`` is raised, and nothing changed, if another backfill has meanwhile replaced one of the months."""
     if check_dims:
-        check_dimensions(cities, catalogue, spec)
+        cities, catalogue = checked(cities, catalogue, spec)
     base, last = tablelog.read_state(spark, root), last_load(spark, root)
     day = F.to_date(F.col(getattr(spec, kind).date))
     inside = feed.filter(month_window(*months).contains(day))

@@ -55,7 +55,7 @@ def rated_days(spark: SparkSession, root: str, batch_id: int, months: list[int])
         before = partials_before(spark, root, first_day(months[0]), state, batch_id)
         parts = parts.unionByName(before.select(*columns, F.lit(True).alias("_old")))
     parts = parts.join(mine.select(*INV_SERIES).distinct(), INV_SERIES, "left_semi")
-    days = rollup(parts.repartition(*INV_SERIES), INV_KEYS, ["_old"], STOCK)
+    days = rollup(parts, INV_KEYS, ["_old"], STOCK, cluster_by=INV_SERIES)
     w = Window.partitionBy(*INV_SERIES).orderBy("reportdate")
     rated = days.select(
         *INV_KEYS, *STOCK, "_old", F.lag("_old", 1, True).over(w).alias("_old_before"),
@@ -103,4 +103,4 @@ def current_run_rates(spark: SparkSession, root: str) -> DataFrame:
     rows = spark.read.parquet(f"{root.rstrip('/')}/live")
     keys = [*INV_SERIES, "reportdate"]
     newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*RATES), BATCH).alias("_v"))
-    return newest.select(*keys, *[F.col("_v." + v).alias(v) for v in RATES])
+    return newest.select("organizationid", "itemid", "backendfacilityname", "reportdate", *[F.col("_v." + v).alias(v) for v in RATES])
