@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import oracle as O
 from .operators import dashboard as D
-from .operators.enrich import checked_keys
+from .operators.enrich import checked, checked_keys
 from .operators.fulfillment import daily_min_price, fulfillment_report
 from .operators.inventory import inventory_report
 from .operators.rollup import Arrange
@@ -23,7 +23,7 @@ from .session import apply_conf, scratch_path
 from .sources import fixtures as fx
 from .sources.report_io import (colocated, read_report, with_catalogue_of_now, write_colocated,
                                 write_colocated_catalogue)
-from .streaming.incremental import read_prices, read_priced, stream_prices, stream_report
+from .streaming.incremental import Dimensions, read_prices, read_priced, stream_prices, stream_report
 from .streaming.run_rate import current_run_rates, run_rate_stream
 from .specs import platform
 from .windows import DateWindow
@@ -187,11 +187,22 @@ def _staged(feed: DataFrame, path: str) -> DataFrame:
     return feed.sparkSession.read.parquet(path)
 
 
+def _staged_loads(feed: DataFrame, path: str, loads: int) -> list[DataFrame]:
+    """The feed as files, those of each load in a folder of its own, so that a load reads its own rows."""
+    feed.withColumn("_load", _load(feed, loads)).write.partitionBy("_load").parquet(path)
+    staged = feed.sparkSession.read.schema(feed.withColumn("_load", F.lit(0)).schema).parquet(path)
+    return [staged.filter(F.col("_load") == i).drop("_load") for i in range(loads)]
+
+
 def _load(feed: DataFrame, loads: int) -> Column:
     """The load a row arrives with: by a hash of the row, so every day is spread over all loads."""
     return F.pmod(F.xxhash64(*feed.columns), F.lit(loads))
 
 
+def _dimensions(spark: SparkSession, sf_dir: str, mkt: str) -> Dimensions:
+    return Dimensions(lambda: fx.city_mapping(spark, sf_dir), lambda: fx.catalogue(spark, sf_dir), platform(mkt))
+
+
 def _in_feb(feed_date: str) -> Column:
     return F.to_date(F.col(feed_date)).between(F.lit(WINDOW.start.replace(day=1)), F.lit(WINDOW.end))
 
@@ -207,6 +218,7 @@ def _backfill_roundtrip(kind: str, mkt: str) -> Query:
     """Backfill all months, rebuild Feb-Mar 1998 again (idempotent), read the table back."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, cities, cat, prices = _inputs(spark, sf_dir, kind, mkt)
+        cities, cat = checked(cities, cat, platform(mkt))
         out = scratch_path(spark, "backfill", f"{mkt}_{kind}")
         backfill(spark, kind, platform(mkt), feed, cities, cat, out, prices=prices)
         backfill(spark, kind, platform(mkt), feed, cities, cat, out, months=(199802, 199803), prices=prices)
@@ -220,6 +232,7 @@ def _rebuild_changed_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed, cities, cat, _ = _inputs(spark, sf_dir, "inventory", "blinkit")
     s = platform("blinkit").inventory
     wrong = feed.withColumn(s.backend, F.when(_in_feb(s.date), F.col(s.backend) * 2 + 500).otherwise(F.col(s.backend)))
+    cities, cat = checked(cities, cat, platform("blinkit"))
     out = scratch_path(spark, "rebuild", "changed")
     backfill(spark, "inventory", platform("blinkit"), wrong, cities, cat, out)
     backfill(spark, "inventory", platform("blinkit"), feed, cities, cat, out, months=FEB)
@@ -287,10 +300,9 @@ def _price_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Zepto sales feed in three loads, streamed into the price table, merged in part, read."""
     feed, _, _, _ = _inputs(spark, sf_dir, "sales", "zepto")
     base = scratch_path(spark, "prices")
-    feed = _staged(feed, base + "/staged")
-    for i in range(LOADS):
-        feed.filter(_load(feed, LOADS) == i).write.mode("append").parquet(base + "/feed")
-        stream_prices(spark, base + "/feed", feed.schema, base + "/table", base + "/checkpoint").awaitTermination()
+    for i, rows in enumerate(_staged_loads(feed, base + "/staged", LOADS)):
+        rows.write.mode("append").parquet(base + "/feed")
+        stream_prices(spark, base + "/feed", rows.schema, base + "/table", base + "/checkpoint").awaitTermination()
         if i == 1:
             compact_months(spark, base + "/table", "prices", platform("zepto"), 199601, 199712)
     return read_prices(spark, base + "/table")
@@ -303,9 +315,8 @@ def _compacted(kind: str, mkt: str) -> Query:
         spec = platform(mkt)
         cities, cat = checked_keys(cities, cat, spec)
         root = scratch_path(spark, "partials", f"{mkt}_{kind}")
-        feed = _staged(feed, root + "/feed")
-        for i in range(LOADS + 1):
-            write_batch(partial_rows(kind, feed.filter(_load(feed, LOADS + 1) == i), cities, cat, spec, prices), root, kind, i)
+        for i, rows in enumerate(_staged_loads(feed, root + "/feed", LOADS + 1)):
+            write_batch(partial_rows(kind, rows, cities, cat, spec, prices), root, kind, i)
             if i == LOADS - 1:
                 for month in (199802, 199601):
                     compact_month(spark, root, kind, spec, month)
@@ -320,9 +331,8 @@ def _merged_window(kind: str, mkt: str) -> Query:
         spec = platform(mkt)
         cities, cat = checked_keys(cities, cat, spec)
         root = scratch_path(spark, "window", f"{mkt}_{kind}")
-        feed = _staged(feed, root + "/feed")
-        for i in range(LOADS):
-            write_batch(partial_rows(kind, feed.filter(_load(feed, LOADS) == i), cities, cat, spec, prices), root, kind, i)
+        for i, rows in enumerate(_staged_loads(feed, root + "/feed", LOADS)):
+            write_batch(partial_rows(kind, rows, cities, cat, spec, prices), root, kind, i)
         compact_month(spark, root, kind, spec, 199801)
         return read_merged(spark, root, kind, spec, WINDOW)
     return q
@@ -336,9 +346,8 @@ def _closed_window(mkt: str) -> Query:
         spec = platform(mkt)
         cities, cat = checked_keys(cities, cat, spec)
         root = scratch_path(spark, "closed_window", mkt)
-        feed = _staged(feed, root + "/feed")
-        for i in range(LOADS):
-            write_batch(partial_rows("inventory", feed.filter(_load(feed, LOADS) == i), cities, cat, spec), root, "inventory", i)
+        for i, rows in enumerate(_staged_loads(feed, root + "/feed", LOADS)):
+            write_batch(partial_rows("inventory", rows, cities, cat, spec), root, "inventory", i)
             if i == 1:
                 close_month(spark, root, spec, 199801)
         compact_months(spark, root, "inventory", spec, 199701, 199712)
@@ -376,13 +385,13 @@ def _emptied_stream_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads, Feb 1998 compacted, then backfilled from a feed without rows of it."""
     feed, cities, cat, _ = _inputs(spark, sf_dir, "sales", "zepto")
     spec = platform("zepto")
-    cities, cat = checked_keys(cities, cat, spec)
+    cities, cat = checked(cities, cat, spec)
     root = scratch_path(spark, "emptied_stream")
-    feed = _staged(feed, root + "/feed")
-    for i in range(2):
-        write_batch(partial_rows("sales", feed.filter(_load(feed, 2) == i), cities, cat, spec), root, "sales", i)
+    loads = _staged_loads(feed, root + "/feed", 2)
+    for i, rows in enumerate(loads):
+        write_batch(partial_rows("sales", rows, cities, cat, spec), root, "sales", i)
     compact_month(spark, root, "sales", spec, 199802)
-    backfill_months(spark, root, "sales", spec, feed.filter(~_in_feb(spec.sales.date)), cities, cat, FEB)
+    backfill_months(spark, root, "sales", spec, loads[0].unionByName(loads[1]).filter(~_in_feb(spec.sales.date)), cities, cat, FEB)
     return read_merged(spark, root, "sales", spec)
 
 
@@ -391,14 +400,15 @@ def _priced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices are late for every load: the merged read with the price table is the report all the same."""
     feed, _, _, _ = _inputs(spark, sf_dir, "fulfillment", "zepto")
     base = scratch_path(spark, "stream", "zepto_priced")
-    feed, sales = _staged(feed, base + "/staged"), _staged(fx.sales_feed(spark, sf_dir, "zepto"), base + "/staged_sales")
-    for i in range(LOADS):
-        feed.filter(_load(feed, LOADS) == i).write.mode("append").parquet(base + "/feed")
-        sales.filter(_load(sales, LOADS) == i).write.mode("append").parquet(base + "/sales")
-        stream_report(spark, "fulfillment", platform("zepto"), base + "/feed", feed.schema,
-                      lambda: fx.city_mapping(spark, sf_dir), lambda: fx.catalogue(spark, sf_dir), base + "/table",
+    orders = _staged_loads(feed, base + "/staged", LOADS)
+    sales = _staged_loads(fx.sales_feed(spark, sf_dir, "zepto"), base + "/staged_sales", LOADS)
+    dimensions = _dimensions(spark, sf_dir, "zepto")
+    for order, sale in zip(orders, sales, strict=True):
+        order.write.mode("append").parquet(base + "/feed")
+        sale.write.mode("append").parquet(base + "/sales")
+        stream_report(spark, "fulfillment", platform("zepto"), base + "/feed", order.schema, dimensions, None, base + "/table",
                       base + "/checkpoint", price_root=base + "/prices").awaitTermination()
-        stream_prices(spark, base + "/sales", sales.schema, base + "/prices", base + "/checkpoint_prices").awaitTermination()
+        stream_prices(spark, base + "/sales", sale.schema, base + "/prices", base + "/checkpoint_prices").awaitTermination()
     return read_priced(spark, base + "/table", base + "/prices", platform("zepto"))
 
 
@@ -408,13 +418,12 @@ def _stream(kind: str, mkt: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, _, _, _ = _inputs(spark, sf_dir, kind, mkt)
         base = scratch_path(spark, "stream", f"{mkt}_{kind}")
-        feed = _staged(feed, base + "/staged")
         sales = (lambda: fx.sales_feed(spark, sf_dir, "zepto")) if (kind == "fulfillment" and mkt == "zepto") else None
-        for i in range(LOADS):
-            feed.filter(_load(feed, LOADS) == i).write.mode("append").parquet(base + "/feed")
-            stream_report(spark, kind, platform(mkt), base + "/feed", feed.schema,
-                          lambda: fx.city_mapping(spark, sf_dir), lambda: fx.catalogue(spark, sf_dir),
-                          base + "/table", base + "/checkpoint", sales_feed=sales).awaitTermination()
+        dimensions = _dimensions(spark, sf_dir, mkt)
+        for rows in _staged_loads(feed, base + "/staged", LOADS):
+            rows.write.mode("append").parquet(base + "/feed")
+            stream_report(spark, kind, platform(mkt), base + "/feed", rows.schema, dimensions, None, base + "/table",
+                          base + "/checkpoint", sales_feed=sales).awaitTermination()
         return read_merged(spark, base + "/table", kind, platform(mkt))
     return q
 
@@ -425,10 +434,9 @@ def _run_rate_stream(mkt: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, cities, cat, _ = _inputs(spark, sf_dir, "inventory", mkt)
         base = scratch_path(spark, "run_rate", mkt)
-        feed = _staged(feed, base + "/staged")
-        for i in range(LOADS):
-            feed.filter(_load(feed, LOADS) == i).write.mode("append").parquet(base + "/feed")
-            run_rate_stream(spark, platform(mkt), base + "/feed", feed.schema, cities, cat, base + "/out",
+        for rows in _staged_loads(feed, base + "/staged", LOADS):
+            rows.write.mode("append").parquet(base + "/feed")
+            run_rate_stream(spark, platform(mkt), base + "/feed", rows.schema, cities, cat, base + "/out",
                             base + "/checkpoint").awaitTermination()
         return current_run_rates(spark, base + "/out")
     return q

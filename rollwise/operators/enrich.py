@@ -55,7 +55,11 @@ def catalogue_dim(catalogue: DataFrame, spec: PlatformSpec) -> DataFrame:
 
 
 def assert_unique(dim: DataFrame, keys: list[str], what: str) -> None:
-    """A duplicate dimension row would multiply every sum joined to it."""
+    """A duplicate dimension row would multiply every sum joined to it. Equal keys have equal hashes, so the keys themselves
+    are only grouped where a hash comes twice."""
+    hashes = dim.groupBy(F.xxhash64(*keys).alias("_h")).count().filter(F.col("count") > 1)
+    if hashes.isEmpty():
+        return
     dups = dim.groupBy(*keys).count().filter(F.col("count") > 1).limit(5).collect()
     if dups:
         raise DuplicateDimensionKeys(f"{what}: duplicate keys {[tuple(r)[:-1] for r in dups]}")
@@ -78,10 +82,11 @@ def _one_row_per_key(dim: DataFrame, key: str, org: str, what: str) -> DataFrame
 
 
 class Checked:
-    """Dimensions whose keys have been found unique (``checked``): joined without looking again."""
+    """Dimensions whose keys have been found unique (``checked``): joined without looking again. ``nulls``: keys with a
+    null were left out of the check (``checked_keys``)."""
 
-    def __init__(self, rows: DataFrame):
-        self.rows = rows
+    def __init__(self, rows: DataFrame, nulls: bool = False):
+        self.rows, self.nulls = rows, nulls
 
 
 def dimension_rows(dim: DataFrame | Checked) -> DataFrame:
@@ -89,7 +94,10 @@ def dimension_rows(dim: DataFrame | Checked) -> DataFrame:
 
 
 def checked(cities: DataFrame | Checked, catalogue: DataFrame | Checked, spec: PlatformSpec) -> tuple[Checked, Checked]:
-    """Both dimensions after ``check_dimensions``, for many plans over the same files (a stream's batches)."""
+    """Both dimensions after ``check_dimensions``, for many plans over the same files (a stream's batches). What it has
+    checked before it does not check again."""
+    if all(isinstance(d, Checked) and not d.nulls for d in (cities, catalogue)):
+        return cities, catalogue
     cities, catalogue = dimension_rows(cities), dimension_rows(catalogue)
     check_dimensions(cities, catalogue, spec)
     return Checked(cities), Checked(catalogue)
@@ -100,7 +108,7 @@ def checked_keys(cities: DataFrame, catalogue: DataFrame, spec: PlatformSpec) ->
     for dim, key, org, what in ((city_dim(cities, spec), CITY + "key", CITY + "org", "static_city_mapping"),
                                 (catalogue_dim(catalogue, spec), SKU + "key", SKU + "org", "static_combined_data")):
         assert_unique(dim.filter(F.col(key).isNotNull() & F.col(org).isNotNull()), [org, key], what)
-    return Checked(cities), Checked(catalogue)
+    return Checked(cities, nulls=True), Checked(catalogue, nulls=True)
 
 
 def enrich(feed: DataFrame, cities: DataFrame | Checked, catalogue: DataFrame | Checked, spec: PlatformSpec,

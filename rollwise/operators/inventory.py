@@ -10,6 +10,8 @@ many rows as there are days, however skewed the feed.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,12 +89,13 @@ def with_run_rates(daily: DataFrame, last_snapshots: DataFrame | None = None) ->
 
     ``last_snapshots``: when only a date range is rebuilt, the latest earlier daily
     row of each series (see ``latest_before``). It feeds the lag of the range's
-    first day and is not returned.
+    first day and is not returned. Series that the range has no row of are left out before
+    the shuffle: a range is mostly much smaller than what precedes it.
     """
     if last_snapshots is None:
         return _rated(daily).select(*INVENTORY_COLUMNS)
-    both = daily.withColumn("_prior", F.lit(False)).unionByName(
-        last_snapshots.select(*daily.columns).withColumn("_prior", F.lit(True)))
+    prior = of_series(last_snapshots.select(*daily.columns), daily, "left_semi")
+    both = daily.withColumn("_prior", F.lit(False)).unionByName(prior.withColumn("_prior", F.lit(True)))
     return _rated(both).filter(~F.col("_prior")).select(*INVENTORY_COLUMNS)
 
 
@@ -102,6 +105,12 @@ def inventory_report(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
     return with_run_rates(daily_stock(inventory_lines(feed, cities, catalogue, spec)), last_snapshots)
 
 
+def of_series(rows: DataFrame, others: DataFrame, how: str) -> DataFrame:
+    """Rows whose series ``others`` has (``left_semi``) or has not (``left_anti``); a null equals a null."""
+    named = others.select(*[F.col(c).alias("_" + c) for c in INV_SERIES]).distinct()
+    return rows.join(named, reduce(Column.__and__, [F.col(c).eqNullSafe(F.col("_" + c)) for c in INV_SERIES]), how)
+
+
 def latest_before(daily: DataFrame, day) -> DataFrame:
     """Latest daily row per series strictly before ``day`` (one ``max_by`` aggregate:
     partial aggregation keeps a single candidate per series and task)."""

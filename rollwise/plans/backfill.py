@@ -24,15 +24,15 @@ from .. import schemas
 from ..functions.measures import depletion, yyyymm
 from ..operators.enrich import catalogue_dim, checked, city_dim
 from ..operators.fulfillment import fulfillment_report
-from ..operators.inventory import (INV_ANY, INV_KEYS, INV_SERIES, INV_SUM, INVENTORY_COLUMNS, inventory_report,
-                                   latest_before)
+from ..operators.inventory import (INV_ANY, INV_KEYS, INV_SERIES, INV_SUM, INVENTORY_COLUMNS, daily_stock, inventory_lines,
+                                   inventory_report, latest_before, of_series, with_run_rates)
 from ..operators.rollup import Arrange
 from ..operators.sales import reject_counts, sales_report, sales_strict
 from ..sources.report_io import MONTH, MONTHS, arranged, current_rows, version_path, write_report, write_version
 from ..specs import PlatformSpec
 from ..windows import first_day, month_after, month_before, month_window
 from . import tablelog
-from .snapshots import (CLOSINGS, OPENINGS, closing_before, drop_snapshots, first_rows, opening_after, snapshot_path,
+from .snapshots import (CLOSINGS, DAYS, OPENINGS, closing_before, drop_snapshots, first_rows, opening_after, snapshot_path,
                         write_snapshot)
 from .tablelog import Section, State
 
@@ -90,12 +90,12 @@ def _rebuild_inventory(spark: SparkSession, spec: PlatformSpec, feed: DataFrame,
     before = month_before(first)
     seed = (_snapshot(spark, out, base, CLOSINGS, before) if before in base.section(CLOSINGS)
             else write_snapshot(last_rows(spark, out, base, first), out, CLOSINGS, before, version))
-    new = write_version(build_report("inventory", spec, feed, cities, catalogue, last_snapshots=seed), out, "inventory",
-                        version, partitions)
-    rows = seed
-    if new:
-        rows = rows.unionByName(spark.read.parquet(version_path(out, version)).select(*DAILY))
-    closing = write_snapshot(latest_before(rows, first_day(month_after(last))), out, CLOSINGS, last, version)
+    # stored, so that the range's series are known when the seed is joined to them
+    daily = write_snapshot(daily_stock(inventory_lines(feed, cities, catalogue, spec)), out, DAYS, last, version)
+    new = write_version(with_run_rates(daily, seed), out, "inventory", version, partitions)
+    # the seed has one row of each series: only those of the range's series give way to a later one
+    rows = of_series(seed, daily, "left_anti").unionByName(latest_before(daily, first_day(month_after(last))).select(*DAILY))
+    closing = write_snapshot(rows, out, CLOSINGS, last, version)
     # the first later row of a series follows the closing: its rates are worked out again
     prior = closing.select(*INV_SERIES, *[F.col(c).alias("_" + c) for c in STOCK])
     rate = lambda c: depletion(F.coalesce(F.col("_" + c), F.lit(0.0)), F.col(c))

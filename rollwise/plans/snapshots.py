@@ -16,6 +16,8 @@ from ..operators.inventory import INV_SERIES
 from .tablelog import Section, State
 
 CLOSINGS, OPENINGS = "closings", "openings"
+#: The daily rows of a range while it is rebuilt: never named by the log.
+DAYS = "days"
 
 
 def snapshot_path(root: str, section: str, month: int, version: int) -> str:

@@ -46,7 +46,8 @@ def current(source: Source) -> DataFrame:
 
 class Dimensions:
     """Both dimensions for the batches of a stream: read anew in each, and their keys checked again
-    only when they come from other files than before (always, if Spark cannot tell the files)."""
+    only when they come from other files than before (always, if Spark cannot tell the files). Runs of a stream that follow
+    each other in one application may share one."""
 
     def __init__(self, cities: Source, catalogue: Source, spec: PlatformSpec):
         self.sources, self.spec = (cities, catalogue), spec
@@ -124,18 +125,18 @@ def _start(spark: SparkSession, feed_path: str, schema: StructType, each: Callab
 
 
 def stream_report(spark: SparkSession, kind: str, spec: PlatformSpec, feed_path: str,
-                  feed_schema: StructType | None, cities: Source, catalogue: Source, root: str,
+                  feed_schema: StructType | None, cities: Source | Dimensions, catalogue: Source | None, root: str,
                   checkpoint: str, sales_feed: Source | None = None,
                   max_files_per_trigger: int | None = None, available_now: bool = True,
                   processing_time: str | None = None, check_dims: bool = False,
                   price_root: str | None = None,
                   on_rejects: Callable[[int, dict[str, int]], None] | None = None) -> StreamingQuery:
-    """Start the incremental load of one report; returns the running query. The dimensions
+    """Start the incremental load of one report; returns the running query. The dimensions (or both of them in ``cities``)
     are read in every micro-batch; a duplicate key fails the batch. ``check_dims`` checks in every batch, also
     where the files are the same. Zepto fulfillment takes its prices from ``price_root``
     (``stream_prices``) or, without one, from ``sales_feed``. ``on_rejects`` is given each sales batch's id and its counts of
     COGS and TAXES texts that became 0, gathered by the batch's own write."""
-    dims = Dimensions(cities, catalogue, spec)
+    dims = cities if isinstance(cities, Dimensions) else Dimensions(cities, catalogue, spec)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         c, k = dims.now()
