@@ -23,6 +23,8 @@ from .enrich import CITY, SKU, enrich
 
 FUL_KEYS = ["itemid", "ponumber", "po_status", "brand_internal_sku_code", "brands_choice",
             "organizationid", "orderdate"]
+#: What a price is looked up by.
+PRICED = ["itemid", "orderdate"]
 # Order of the representative-line comparison (all fields are non-NULL).
 FUL_LINE = ["backendfacilityname", "quantity", "grn_quantity", "total_amount", "fill_rate_sku",
             "mrp", "appointmentdate", "expirydate", "itemname", "productid"]
@@ -97,10 +99,13 @@ def fulfillment_lines(feed: DataFrame, cities: DataFrame, catalogue: DataFrame,
 
 def representative_line(lines: DataFrame, spec: PlatformSpec, extra_keys: tuple[str, ...] = (), merging: bool = False) -> DataFrame:
     """A5: one line per key (also merges partial rows of the same schema). ``merging``: the rows are partial rows, about one
-    per key and load, so they are shuffled first and sorted once."""
+    per key and load, so they are shuffled first and sorted once; by item and day where the price is per item and day, so that
+    ``repriced`` finds them in place and in order."""
     keys = [*FUL_KEYS, *extra_keys]
     if merging:
-        lines = lines.repartition(*keys)
+        priced = spec.fulfillment.unit_price is None
+        keys = [*PRICED, *[k for k in keys if k not in PRICED]] if priced else keys
+        lines = lines.repartition(*(PRICED if priced else keys))
     picked = lines.groupBy(*keys).agg(F.min(F.struct(*FUL_LINE)).alias("_line"))
     return picked.select(*keys, *[F.col("_line." + c).alias(c) for c in FUL_LINE]) \
                  .select(*fulfillment_columns(spec), *extra_keys)
@@ -110,7 +115,8 @@ def repriced(report: DataFrame, prices: DataFrame, spec: PlatformSpec) -> DataFr
     """The report with each line's price and amount from ``prices`` (0 where there is none). All lines of a key
     have one price (its SKU's of its day), so which of them stands for the key does not depend on it."""
     p = prices.select(F.col("sku").alias("_p_sku"), F.col("orderdate").alias("_p_day"), F.col("mrp").alias("_p_mrp"))
-    out = report.join(p, (F.lower("itemid") == p["_p_sku"]) & (report["orderdate"] == p["_p_day"]), "left")
+    sku = F.col("itemid") if spec.lower_sku else F.lower("itemid")
+    out = report.join(p, (sku == p["_p_sku"]) & (report["orderdate"] == p["_p_day"]), "left")
     price = zero_if_null(F.col("_p_mrp").cast("double"))
     return (out.withColumn("mrp", price).withColumn("total_amount", po_amount(F.col("mrp"), F.col("quantity")))
             .select(*fulfillment_columns(spec)))
