@@ -92,7 +92,7 @@ def _rebuild_inventory(spark: SparkSession, spec: PlatformSpec, feed: DataFrame,
             else write_snapshot(last_rows(spark, out, base, first), out, CLOSINGS, before, version))
     # stored, so that the range's series are known when the seed is joined to them
     daily = write_snapshot(daily_stock(inventory_lines(feed, cities, catalogue, spec)), out, DAYS, last, version)
-    new = write_version(with_run_rates(daily, seed), out, "inventory", version, partitions)
+    new = write_version(with_run_rates(daily, of_series(seed, daily, "left_semi")), out, "inventory", version, partitions)
     # the seed has one row of each series: only those of the range's series give way to a later one
     rows = of_series(seed, daily, "left_anti").unionByName(latest_before(daily, first_day(month_after(last))).select(*DAILY))
     closing = write_snapshot(rows, out, CLOSINGS, last, version)
