@@ -16,10 +16,11 @@ from .operators.inventory import inventory_report
 from .operators.rollup import Arrange
 from .operators.sales import (STRICT_REDSHIFT_COLUMNS, STRICT_STATES_COLUMNS, merge_states, sales_report,
                               sales_states, sales_strict)
+from .plans import files
 from .plans.backfill import backfill, refresh_changed_months, refresh_strict_view
 from .plans.incremental import (KINDS, backfill_months, close_month, compact_month, compact_months, partial_rows,
                                 read_merged, split_merge, write_batch)
-from .session import apply_conf, scratch_path
+from .session import apply_conf, scratch_path, unsorted_write
 from .sources import fixtures as fx
 from .sources.report_io import (colocated, read_report, with_catalogue_of_now, write_colocated,
                                 write_colocated_catalogue)
@@ -189,11 +190,23 @@ def _staged(feed: DataFrame, path: str) -> DataFrame:
 
 def _staged_loads(feed: DataFrame, path: str, loads: int) -> list[DataFrame]:
     """The feed as files, those of each load in a folder of its own, so that a load reads its own rows."""
-    feed.withColumn("_load", _load(feed, loads)).write.partitionBy("_load").parquet(path)
+    with unsorted_write(feed.sparkSession):
+        feed.withColumn("_load", _load(feed, loads)).write.partitionBy("_load").parquet(path)
     staged = feed.sparkSession.read.schema(feed.withColumn("_load", F.lit(0)).schema).parquet(path)
     return [staged.filter(F.col("_load") == i).drop("_load") for i in range(loads)]
 
 
+def _arrive(rows: DataFrame, staged: str, load: int, feed: str) -> None:
+    """The files of a staged load move into the feed's folder, not written again (those of different loads bear the same names);
+    a load without rows arrives as an empty file."""
+    spark = rows.sparkSession
+    found = files.matching(spark, f"{staged}/_load={load}/*.parquet")
+    for path in found:
+        files.move(spark, path, f"{feed}/load-{load}-{path.rsplit('/', 1)[1]}")
+    if not found:
+        rows.write.mode("append").parquet(feed)
+
+
 def _load(feed: DataFrame, loads: int) -> Column:
     """The load a row arrives with: by a hash of the row, so every day is spread over all loads."""
     return F.pmod(F.xxhash64(*feed.columns), F.lit(loads))
@@ -301,7 +314,7 @@ def _price_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed, _, _, _ = _inputs(spark, sf_dir, "sales", "zepto")
     base = scratch_path(spark, "prices")
     for i, rows in enumerate(_staged_loads(feed, base + "/staged", LOADS)):
-        rows.write.mode("append").parquet(base + "/feed")
+        _arrive(rows, base + "/staged", i, base + "/feed")
         stream_prices(spark, base + "/feed", rows.schema, base + "/table", base + "/checkpoint").awaitTermination()
         if i == 1:
             compact_months(spark, base + "/table", "prices", platform("zepto"), 199601, 199712)
@@ -403,9 +416,9 @@ def _priced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _staged_loads(feed, base + "/staged", LOADS)
     sales = _staged_loads(fx.sales_feed(spark, sf_dir, "zepto"), base + "/staged_sales", LOADS)
     dimensions = _dimensions(spark, sf_dir, "zepto")
-    for order, sale in zip(orders, sales, strict=True):
-        order.write.mode("append").parquet(base + "/feed")
-        sale.write.mode("append").parquet(base + "/sales")
+    for i, (order, sale) in enumerate(zip(orders, sales, strict=True)):
+        _arrive(order, base + "/staged", i, base + "/feed")
+        _arrive(sale, base + "/staged_sales", i, base + "/sales")
         stream_report(spark, "fulfillment", platform("zepto"), base + "/feed", order.schema, dimensions, None, base + "/table",
                       base + "/checkpoint", price_root=base + "/prices").awaitTermination()
         stream_prices(spark, base + "/sales", sale.schema, base + "/prices", base + "/checkpoint_prices").awaitTermination()
@@ -420,8 +433,8 @@ def _stream(kind: str, mkt: str) -> Query:
         base = scratch_path(spark, "stream", f"{mkt}_{kind}")
         sales = (lambda: fx.sales_feed(spark, sf_dir, "zepto")) if (kind == "fulfillment" and mkt == "zepto") else None
         dimensions = _dimensions(spark, sf_dir, mkt)
-        for rows in _staged_loads(feed, base + "/staged", LOADS):
-            rows.write.mode("append").parquet(base + "/feed")
+        for i, rows in enumerate(_staged_loads(feed, base + "/staged", LOADS)):
+            _arrive(rows, base + "/staged", i, base + "/feed")
             stream_report(spark, kind, platform(mkt), base + "/feed", rows.schema, dimensions, None, base + "/table",
                           base + "/checkpoint", sales_feed=sales).awaitTermination()
         return read_merged(spark, base + "/table", kind, platform(mkt))
@@ -434,8 +447,8 @@ def _run_rate_stream(mkt: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, cities, cat, _ = _inputs(spark, sf_dir, "inventory", mkt)
         base = scratch_path(spark, "run_rate", mkt)
-        for rows in _staged_loads(feed, base + "/staged", LOADS):
-            rows.write.mode("append").parquet(base + "/feed")
+        for i, rows in enumerate(_staged_loads(feed, base + "/staged", LOADS)):
+            _arrive(rows, base + "/staged", i, base + "/feed")
             run_rate_stream(spark, platform(mkt), base + "/feed", rows.schema, cities, cat, base + "/out",
                             base + "/checkpoint").awaitTermination()
         return current_run_rates(spark, base + "/out")

@@ -1,6 +1,7 @@
 """Steps that decide how jobs grow: what is checked, shuffled or read once."""
 
 import datetime as dt
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,11 +10,11 @@ from rollwise import catalog
 from rollwise.operators.enrich import DuplicateDimensionKeys, assert_unique, checked, checked_keys
 from rollwise.operators.fulfillment import repriced
 from rollwise.operators.inventory import daily_stock, inventory_lines, inventory_report, of_series
-from rollwise.plans import tablelog
+from rollwise.plans import files, tablelog
 from rollwise.plans.backfill import backfill
-from rollwise.plans.incremental import merge_rows, read_merged
+from rollwise.plans.incremental import merge_partials, merge_rows, partial_rows, read_merged
 from rollwise.plans.snapshots import CLOSINGS, snapshot_path
-from rollwise.session import scratch_path
+from rollwise.session import apply_conf, scratch_path
 from rollwise.sources.report_io import read_report
 from rollwise.specs import BLINKIT, ZEPTO
 from rollwise.streaming import incremental as streams
@@ -81,6 +82,50 @@ def test_a_staged_load_reads_its_own_rows(spark):
         assert df.columns == f.columns and rows(df) == rows(f.filter(catalog._load(f, 3) == i))
 
 
+def test_a_staged_load_arrives_without_being_written_again(spark):
+    f, base = feed(spark, "blinkit", "inventory", STOCK), scratch_path(spark, "test-arrive")
+    loads = catalog._staged_loads(f.filter(catalog._load(f, 3) != 0), base + "/staged", 3)
+    staged = {i: [p.rsplit("/", 1)[1] for p in files.matching(spark, f"{base}/staged/_load={i}/*.parquet")] for i in range(3)}
+    for i, df in enumerate(loads):
+        catalog._arrive(df, base + "/staged", i, base + "/feed")
+        assert not files.matching(spark, f"{base}/staged/_load={i}/*.parquet")
+    arrived = [p.rsplit("/", 1)[1] for p in files.matching(spark, base + "/feed/*.parquet")]
+    moved = {f"load-{i}-{n}" for i, names in staged.items() for n in names}
+    assert moved < set(arrived) and len(arrived) == len(moved) + 1  # the first load has no rows, but a file
+    assert rows(spark.read.schema(f.schema).parquet(base + "/feed")) == rows(f.filter(catalog._load(f, 3) != 0))
+    first, second = files.matching(spark, base + "/feed/*.parquet")[:2]
+    with pytest.raises(OSError):
+        files.move(spark, first, second)
+
+
+def test_staged_loads_are_not_sorted(spark, monkeypatch):
+    seen, real = [], catalog.unsorted_write
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+
+    @contextmanager
+    def watched(session):
+        with real(session):
+            seen.append(session.conf.get(name))
+            yield
+    monkeypatch.setattr(catalog, "unsorted_write", watched)
+    before = spark.conf.get(name)
+    catalog._staged_loads(feed(spark, "blinkit", "inventory", STOCK), scratch_path(spark, "test-unsorted"), 3)
+    assert seen == ["16"] and spark.conf.get(name) == before
+
+
+def test_shuffled_dimensions_are_hashed_and_not_sorted(shuffled):  # noqa: F811
+    apply_conf(shuffled)
+    shuffled.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")  # what it measures is small here
+    try:
+        df = merge_partials(partial_rows("inventory", feed(shuffled, "blinkit", "inventory", STOCK), *checked(
+            cities(shuffled), catalogue(shuffled), BLINKIT), BLINKIT), "inventory", BLINKIT)
+        df.collect()
+        text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+    finally:
+        shuffled.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_runs_of_a_stream_may_share_their_checked_dimensions(spark, monkeypatch):
     looked, real = [], streams.checked
     monkeypatch.setattr(streams, "checked", lambda *a: looked.append(1) or real(*a))
