@@ -136,6 +136,36 @@ def test_connected_components(spark):
     assert C.connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_few_edges_take_their_rounds_in_one_task_and_as_many_by_shuffles(spark, monkeypatch):
+    edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 130)] + [(200, 201), (201, 202), (202, 200), (None, 5), (7, 7)]
+    df = spark.createDataFrame(edges * 2, "a long, b long").repartition(3)
+    sc, status = spark.sparkContext, spark.sparkContext.statusTracker()
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    want = {x: min(x // 100 * 100, 200) for pair in edges if None not in pair for x in pair}
+
+    def tasks(group):
+        sc.setJobGroup(group, group)
+        try:
+            assert {r["node"]: r["component"] for r in C.connected_components(df).collect()} == want
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        stages = {s for j in status.getJobIdsForGroup(group) for s in status.getJobInfo(j).stageIds}
+        return sum(x.numTasks for x in map(status.getStageInfo, stages) if x)
+
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        few = tasks("few edges")
+        monkeypatch.setattr(C, "FEW", 10)
+        many = tasks("many edges")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert few < 150 < many  # the first distinct and the result are shuffled, the rounds between are not
+
+
+
 def test_many_different_short_texts_share_no_signature(spark):
     # sets so small that only equal ones link: they are signed by nothing, so none is compared
     sizes = [n for n in range(1, 12) if not any(J.differing(90, int(J.bands(90)[t + 1])) for t in (
